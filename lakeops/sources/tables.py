@@ -24,9 +24,11 @@ def read_or_none(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
     """The table, or None when it does not exist yet. Any other problem is raised."""
+    if not path_exists(spark, path):
+        return None
     try:
         return read_table(spark, path, schema)
-    except AnalysisException as e:
+    except AnalysisException as e:  # gone since we looked
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise

@@ -28,7 +28,8 @@ def ingest_incremental(
     processing-time interval for a job that keeps watching. A batch that failed half
     way is handed over again, so the handler must be idempotent.
     """
-    reader = spark.readStream.schema(schema)
+    # every run lands in a directory of its own below src
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     writer = (

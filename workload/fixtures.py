@@ -179,7 +179,8 @@ def metric_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").where("role = 'assistant'")
     settings = F.struct(
-        F.col("temperature").cast("double"), F.lit(None).cast("bigint").alias("max_tokens")
+        F.col("temperature").cast("double").alias("temperature"),
+        F.lit(None).cast("bigint").alias("max_tokens"),
     )
     return project(turns, PROMPTS).select(
         "name", "prompt", "created_at", settings.alias("config"), F.array("label").alias("labels")
