@@ -33,7 +33,7 @@ def hours_between(earlier: Column, later: Column) -> Column:
 
 
 def iso_day(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd")
+    return F.to_date(ts).cast("string")
 
 
 def run_stamp(ts: Column) -> Column:

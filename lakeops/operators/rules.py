@@ -124,8 +124,11 @@ def with_reject_reasons(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Rows that break at least one rule, with their reasons."""
-    return with_reject_reasons(df, rules).where(F.size("reject_reasons") > 0)
+    """Rows that break at least one rule, with their reasons.
+
+    The filter tests the rules themselves, so reasons are only built for rejects.
+    """
+    return with_reject_reasons(df.where(~all_hold(rules)), rules)
 
 
 def reject_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -137,6 +140,18 @@ def reject_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return totals.select(F.inline(pairs))
 
 
+def not_stored(new: DataFrame, existing: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Rows of ``new`` without a match in ``existing``; a null key matches nothing.
+
+    The table is first reduced to the keys the batch brings. A batch small enough to be
+    broadcast, the usual case, then costs one scan of the table's key column and no
+    shuffle of the table; a partition column among the keys can prune that scan.
+    """
+    keys = list(on)
+    hits = existing.select(*keys).join(new.select(*keys).distinct(), keys, "left_semi")
+    return new.join(hits, keys, "left_anti")
+
+
 def funnel(
     raw: DataFrame, rules: Sequence[Rule], existing: DataFrame | None, key: str
 ) -> DataFrame:
@@ -148,7 +163,7 @@ def funnel(
     )
     fresh = accept(raw, rules).select(key)
     if existing is not None:
-        fresh = fresh.join(existing.select(key).distinct(), key, "left_anti")
+        fresh = not_stored(fresh, existing, [key])
     written = fresh.agg(
         F.lit(0).cast("bigint").alias("records_read"),
         F.lit(0).cast("bigint").alias("records_cleaned"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lakeops.functions.times import Moment, iso_day
+from lakeops.operators.rules import not_stored
 
 
 def to_silver_schema(
@@ -79,5 +80,5 @@ def anti_dedup(
     fresh = new
     if existing is not None:
         on = [key, partition_col] if scope == "partition" else [key]
-        fresh = new.join(existing.select(*on).distinct(), on, "left_anti")
+        fresh = not_stored(new, existing, on)
     return keep_first(fresh, key) if within_batch else fresh

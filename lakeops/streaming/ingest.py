@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.operators.rules import accept, sales_rules
 from lakeops.operators.silver import anti_dedup, to_silver_schema
 from lakeops.schemas import SALES_SILVER
+from lakeops.session import materialise
 from lakeops.sources.tables import append_partitioned, read_or_none
 
 
@@ -61,8 +62,11 @@ def silver_handler(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         typed = to_silver_schema(batch, run_date, as_of)
-        clean = accept(typed, sales_rules(as_of, max_product_id))
+        # parsed once; its stored size tells the join whether it can be broadcast
+        clean = materialise(accept(typed, sales_rules(as_of, max_product_id)), "batch-clean")
         stored = read_or_none(spark, path, SALES_SILVER)
+        if stored is not None and scope == "partition" and run_date is not None:
+            stored = stored.where(F.col("partition_date") == run_date)
         fresh = anti_dedup(clean, stored, "transaction_id", scope, within_batch)
         append_partitioned(fresh, path, list(partition_cols))
 
