@@ -19,7 +19,7 @@ def render(template: Column, variables: Column) -> Column:
 
     def piece(text: Column, i: Column) -> Column:
         raw = F.get(names, i)
-        name = F.trim(raw)
+        name = F.regexp_replace(raw, r"^\s+|\s+$", "")
         value = F.when(
             F.map_contains_key(variables, name),
             F.coalesce(F.try_element_at(variables, name), F.lit("")),

@@ -21,7 +21,8 @@ def windowed_rate(
     ``lateness`` has passed, which bounds the state; later rows are dropped.
     """
     return (
-        increments.withWatermark(ts, lateness)
+        increments.withColumn(ts, F.col(ts).cast("timestamp"))  # watermarks need an instant
+        .withWatermark(ts, lateness)
         .groupBy(*by, F.window(ts, f"{window_seconds} seconds"))
         .agg(F.sum(value).alias("increase"))
         .select(
