@@ -7,7 +7,7 @@ has none.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.functions.numeric import round_half_up
 from lakeops.functions.times import Moment, hours_between, parse_iso, wall_clock
@@ -16,6 +16,13 @@ from lakeops.sources.tables import balanced
 LOW_COMPLETENESS = 80.0
 
 
+def schema_violations(env: DataFrame) -> DataFrame:
+    """Records that lack an envelope field, with the fields they lack."""
+    return env.where(F.size("missing_fields") > 0).select(
+        "stream", "raw_id", "extracted_at", "missing_fields"
+    )
+
+
 def duplicate_ids(env: DataFrame) -> DataFrame:
     """Ids that occur more than once in a stream; a missing id counts as one id."""
     return (
@@ -30,21 +37,33 @@ def completeness(env: DataFrame, warn_below: float = LOW_COMPLETENESS) -> DataFr
 
     A null or empty value is a gap; a record without the key is not.
     """
-    totals = env.groupBy("stream").agg(F.count(F.lit(1)).alias("records"))
-    gaps = (
+    totals = env.groupBy("stream").agg(F.count(F.lit(1)).alias("total_records"))
+    return (
+        _gaps(env)
+        .join(totals, "stream")
+        .select(
+            "stream",
+            "field",
+            "missing",
+            round_half_up(_filled()).alias("completeness_pct"),
+            (_filled() < warn_below).alias("low"),
+        )
+    )
+
+
+def _gaps(env: DataFrame) -> DataFrame:
+    """Nulls and empty texts per stream and field; fields without any do not appear."""
+    return (
         env.select("stream", F.explode("data").alias("field", "text"))
         .where(F.col("text").isNull() | (F.col("text") == ""))
         .groupBy("stream", "field")
         .agg(F.count(F.lit(1)).alias("missing"))
     )
-    filled = (F.col("records") - F.col("missing")) / F.col("records") * 100.0
-    return gaps.join(totals, "stream").select(
-        "stream",
-        "field",
-        "missing",
-        round_half_up(filled).alias("completeness_pct"),
-        (filled < warn_below).alias("low"),
-    )
+
+
+def _filled() -> Column:
+    total = F.col("total_records")
+    return (total - F.col("missing")) / total * 100.0
 
 
 def mean_age_hours(env: DataFrame, as_of: Moment) -> DataFrame:
@@ -94,25 +113,25 @@ def stream_report(
         _per_id(env, F.sum(age).alias("age_sum"), F.count(age).alias("age_n")),
         (F.sum("age_sum") / F.nullif(F.sum("age_n"), F.lit(0))).alias("mean_age_hours"),
     )
-    gaps = (
-        completeness(env, warn_below)
-        .groupBy("stream")
+    # one row per stream meets the stream's few fields with gaps, and folds back to one
+    return (
+        scores.join(_gaps(env), "stream", "left")
+        .groupBy(*scores.columns)
         .agg(
-            F.count(F.lit(1)).alias("fields_with_gaps"),
-            F.count_if("low").alias("warnings"),
+            F.count("field").alias("fields_with_gaps"),
+            F.count_if(_filled() < warn_below).alias("warnings"),
         )
     )
-    zero = F.lit(0).cast("bigint")
-    return scores.join(gaps, "stream", "left").withColumns(
-        {
-            "fields_with_gaps": F.coalesce("fields_with_gaps", zero),
-            "warnings": F.coalesce("warnings", zero),
-        }
-    )
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    report.write.mode("append").option("ignoreNullFields", "false").json(path)
+def write_report(report: DataFrame, path: str, as_of: Moment, source: str) -> None:
+    """Append the report rows, stamped with the run and what was checked."""
+    stamped = report.select(
+        F.lit(str(as_of)).cast("timestamp").alias("timestamp"),
+        F.lit(source).alias("bronze_file"),
+        "*",
+    )
+    stamped.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
 def passed_records(records: DataFrame, report: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ def gauge_latest(
     mapping: Mapping[float, str] | None = None,
 ) -> DataFrame:
     """The newest value per series, with a text if the value is mapped to one."""
-    newest = F.max_by(value, F.struct(ts, *tie))
+    newest = F.max_by(value, F.struct(ts, *tie) if tie else F.col(ts))
     out = samples.groupBy(*by).agg(newest.alias("value"), F.max(ts).alias("last_ts"))
     if mapping is None:
         return out

@@ -42,6 +42,12 @@ def prompt_by_label(
     return with_config_defaults(out) if "config" in rest else out
 
 
+def _newest_prompt(label: str) -> Column:
+    """Aggregate: the text of the newest version that carries the label."""
+    carries = F.lit(True) if label == LATEST else F.array_contains("labels", label)
+    return F.max_by("prompt", F.when(carries, F.col("version")))
+
+
 def with_config_defaults(
     df: DataFrame,
     temperature: float = DEFAULT_TEMPERATURE,
@@ -86,10 +92,12 @@ def compare(
     Inputs meet the pair of versions of the prompt they name: one joined row per input,
     however many inputs or prompts there are.
     """
-    a = prompt_by_label(versioned, label_a).select("name", F.col("prompt").alias("_a"))
-    b = prompt_by_label(versioned, label_b).select("name", F.col("prompt").alias("_b"))
+    pairs = versioned.groupBy("name").agg(
+        _newest_prompt(label_a).alias("_a"), _newest_prompt(label_b).alias("_b")
+    )
+    both = pairs.where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
     filled = variables_of(variables)
-    sides = inputs.join(a.join(b, "name"), "name").withColumns(
+    sides = inputs.join(both, "name").withColumns(
         {"text_a": render_text(F.col("_a"), filled), "text_b": render_text(F.col("_b"), filled)}
     )
     return sides.select(

@@ -11,6 +11,7 @@ from lakeops.operators.envelope_checks import (
     promote_passed,
     promotion_rate,
     stream_report,
+    write_report,
 )
 from lakeops.session import materialise
 from lakeops.sources.envelopes import (
@@ -49,9 +50,14 @@ def run_gated_promotion(
 
 
 def check_and_promote(spark: SparkSession, bronze: str, root: str, as_of: Moment) -> GateResult:
-    """The part after landing: everything derives from the landed files."""
-    landed = read_envelope(spark, bronze)
+    """The part after landing: everything derives from the landed files.
+
+    The gzip text is unpacked and parsed once; checks and promotion read the stored
+    columns they need.
+    """
+    landed = materialise(read_envelope(spark, bronze), "landed")
     report = materialise(stream_report(landed, as_of), "stream-report")
-    report.write.mode("append").json(f"{root}/logs/dq_reports")
+    write_report(report, f"{root}/logs/dq_reports", as_of, bronze)
     promoted = promote_passed(landed, report, f"{root}/silver", as_of, bronze)
+    promoted.write.mode("append").json(f"{root}/logs/promotions")
     return GateResult(report, promoted, promotion_rate(report))

@@ -12,6 +12,7 @@ from lakeops.operators import checks as dq, gold, lineage, metrics
 from lakeops.operators.rules import Rule, accept, customer_rules, product_rules, sales_rules
 from lakeops.operators.silver import anti_dedup, to_silver_schema
 from lakeops.plans.gold_run import GOLD_TABLES, overall_status, run_gold
+from lakeops.plans.quality_run import check_table
 from lakeops.schemas import SALES_RAW, SALES_SILVER, STEP_STATUS
 from lakeops.session import materialise
 from lakeops.sources.json_files import LandResult, land_raw, load_dimension, read_json
@@ -29,6 +30,7 @@ class SalesConfig:
     as_of: str
     max_product_id: int = 50
     checks: Sequence[dq.Check] = field(default_factory=dq.silver_sales_checks)
+    checks_enabled: bool = True
     fail_on_error: bool = False
     aggregate: bool = True
     tiers: Sequence[tuple[float, str]] = gold.VALUE_TIERS
@@ -87,18 +89,16 @@ def run_sales(
     steps.append(("transform_to_silver", "success", counts["written"], detail))
     samples.append(_processed("silver", "sales", counts["written"]))
 
-    table = read_or_none(spark, silver_path, SALES_SILVER)
-    if table is None or table.isEmpty():
-        steps.append(("validate_quality", "skipped", 0, "empty table"))
-    else:
-        report = materialise(dq.run_checks(table, cfg.checks, cfg.as_of), "check-report")
-        failed = dq.failed_names(report)
-        samples += [(metrics.QUALITY_FAILURES, {"check_name": c}, 1.0) for c in failed]
-        status = "failed" if failed else "success"
-        steps.append(("validate_quality", status, len(failed), "; ".join(failed) or None))
-        if failed and cfg.fail_on_error:
-            _finish(spark, cfg, steps, samples)
-            raise dq.ChecksFailed(f"{len(failed)} check(s) failed: {failed}")
+    checked = check_table(
+        spark, silver_path, cfg.checks, cfg.as_of, SALES_SILVER, cfg.checks_enabled
+    )
+    failed = checked.failed_checks
+    detail = "; ".join(failed) or checked.reason
+    samples += [(metrics.QUALITY_FAILURES, {"check_name": c}, 1.0) for c in failed]
+    steps.append(("validate_quality", checked.status, len(failed), detail))
+    if checked.status in ("failed", "error") and cfg.fail_on_error:
+        _finish(spark, cfg, steps, samples)
+        raise dq.ChecksFailed(f"checks {checked.status}: {detail}")
 
     if cfg.aggregate:
         results = run_gold(

@@ -57,6 +57,12 @@ def test_missing_envelope_fields_and_duplicates(spark):
         ("c", line("1")),
     )
     assert rows(ec.duplicate_ids(env)) == [("a", "1", 2), ("b", None, 2)]
+    assert rows(ec.schema_violations(env), "stream", "raw_id", "missing_fields") == [
+        ("a", "2", [ev.EXTRACTED_AT]),
+        ("a", "3", [ev.DATA]),
+        ("b", None, [ev.RAW_ID]),
+        ("b", None, [ev.RAW_ID]),
+    ]
     got = {r["stream"]: r for r in ec.quality_score(env).collect()}
     assert (got["a"]["schema_errors"], got["a"]["duplicate_ids"]) == (2, 1)
     assert got["a"]["quality_score"] == 25.0 and not got["a"]["passed"]

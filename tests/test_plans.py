@@ -2,6 +2,7 @@ import pytest
 
 from lakeops.operators import checks as dq
 from lakeops.plans.gold_run import GOLD_TABLES, overall_status, run_gold
+from lakeops.plans.quality_run import check_table
 from lakeops.plans.sales_run import SalesConfig, run_sales
 from lakeops.schemas import CUSTOMERS, PRODUCTS
 from lakeops.sources.tables import append_partitioned, read_table
@@ -103,6 +104,23 @@ def test_nothing_to_do(spark, path):
     assert status(out) == {"ingest_to_bronze": ("skipped", 0)}
 
 
+def test_check_table_outcomes(spark, path):
+    checks = dq.silver_sales_checks()
+    t = path + "/t"
+    assert check_table(spark, t, checks, AS_OF).reason == "table_not_found"
+    assert check_table(spark, t, checks, AS_OF, enabled=False).reason == "disabled"
+    silver(spark, {}).limit(0).write.parquet(t)
+    assert check_table(spark, t, checks, AS_OF).reason == "empty_table"
+    silver(spark, {"total_amount": 100.0, "unit_price": 50.0}).write.mode("append").parquet(t)
+    late = check_table(spark, t, checks, AS_OF)
+    assert late.status == "failed" and late.failed_checks == ["Data is recent (within 2 hours)"]
+    assert check_table(spark, t, checks, "2024-05-10 11:00:00").status == "success"
+    broken = [dq.no_failed_rows("bad", "no_such_column > 1")]
+    assert check_table(spark, t, broken, AS_OF).status == "error"
+    with pytest.raises(Exception, match="no_such_column"):
+        check_table(spark, t, broken, AS_OF, fail_on_error=True)
+
+
 def test_checks_can_stop_the_run(spark, path):
     cfg = config(path, fail_on_error=True)
     with pytest.raises(dq.ChecksFailed):
