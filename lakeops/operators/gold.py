@@ -55,7 +55,7 @@ def product_performance(
             F.count("transaction_id").alias("transaction_count"),
             F.sum("quantity").alias("units_sold"),
             F.sum(to_units(F.col("total_amount"))).alias("revenue"),
-            F.avg("unit_price").alias("avg_selling_price"),
+            money_avg(F.col("unit_price")).alias("avg_selling_price"),
             F.min("unit_price").alias("min_price"),
             F.max("unit_price").alias("max_price"),
         )

@@ -103,7 +103,8 @@ def performance(per_day: bool = False, day: str | None = None) -> str:
     COUNT(s.transaction_id) AS transaction_count,
     CAST(SUM(s.quantity) AS BIGINT) AS units_sold,
     {money("s.total_amount")} AS revenue,
-    AVG(s.unit_price) AS avg_selling_price,
+    CAST(SUM(CAST(floor(s.unit_price * 10000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS DOUBLE)
+      / 10000.0::DOUBLE / COUNT(s.unit_price) AS avg_selling_price,
     MIN(s.unit_price) AS min_price,
     MAX(s.unit_price) AS max_price{data_date}
   FROM clean s JOIN products p ON s.product_id = p.product_id
