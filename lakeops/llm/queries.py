@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import decontaminate, jaccard_join, mixing, quality_rules, token_grammar
+from lakeops.llm import (
+    decontaminate,
+    html_main,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    mixing,
+    pii,
+    quality_rules,
+    token_grammar,
+    warc,
+)
 from lakeops.llm.frames import ship
 from lakeops.session import new_scratch
 
@@ -59,6 +70,45 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("row.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cleaned = line_dedup.clean(docs, line_dedup.build(docs), keep=["doc_id"])
+    return cleaned.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_scratch(spark, "warc")
+    index = warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_records(index, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_main.extract(pages).select("row.page_id", "row.url", "text", "n_chars")
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"), license_scan.notices(spark))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("licenses").cast("bigint").alias("n_licenses"),
+        F.concat_ws(",", "licenses").alias("licenses"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("row_of_id"),
+    ).drop("row_of_id")
+
+
 @query
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
