@@ -19,11 +19,11 @@ from lakeops.llm import (
     warc,
 )
 from lakeops.llm.frames import ship
+from lakeops.llm.oracles import ORACLES  # noqa: F401
 from lakeops.session import new_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
