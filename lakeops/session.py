@@ -30,7 +30,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def session(app: str = "lakeops", master: str | None = None, **conf: str) -> SparkSession:
     """Build (or get) a session with the library's settings."""
-    builder = SparkSession.builder.appName(app)
+    # the pools of run_gold share the executors only under fair scheduling
+    builder = SparkSession.builder.appName(app).config("spark.scheduler.mode", "FAIR")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -44,9 +45,10 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local session may go without the setting; it then gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="lakeops-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -58,6 +60,35 @@ def new_scratch(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Intermediate tables of one job, removed at its end, also when it fails.
+
+    Nothing that the job returns may still read them.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.root, self.n = spark, new_scratch(spark, label), 0
+
+    def store(self, df: DataFrame) -> DataFrame:
+        """As ``materialise``, below this job's folder."""
+        self.n += 1
+        path = f"{self.root}/{self.n}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.root)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path on whatever file system it names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch area and read it back.
 

@@ -2,7 +2,8 @@
 
 The table is a plain directory, so this is not a transaction: readers may see the
 moment between two partitions being swapped. A run that dies half way is healed by
-running it again with the same source.
+running it again with the same source: every stored row with a key of the source goes,
+wherever it lies, and the source's rows come in once.
 """
 
 from __future__ import annotations
@@ -13,13 +14,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakeops.session import materialise
+from lakeops.session import Scratch, remove
 from lakeops.sources.tables import create_partitioned, read_or_none, replace_partitions
 
-# Up to this many touched partitions become a literal filter that prunes directories;
-# beyond it the same selection is a join. The result is the same either way.
-PRUNE_BY_LITERAL = 1000
-
 
 @dataclass(frozen=True)
 class UpsertResult:
@@ -38,46 +35,83 @@ def upsert(
     """Merge ``source`` into the table at ``path`` on ``keys``.
 
     Only partitions that receive rows, or lose them because a matched row moves, are
-    rewritten. Rows with a null key match nothing; they are rejected unless
-    ``null_keys="insert"``, in which case every run inserts them again.
+    rewritten. A source without rows changes nothing and creates no table. Rows with a
+    null key match nothing; they are rejected unless ``null_keys="insert"``, in which
+    case every run inserts them again.
     """
-    source = materialise(source, "upsert-source")
-    _check_keys(source, keys, null_keys)
-
-    target = read_or_none(spark, path)
-    if target is None:
-        create_partitioned(source, path, partition_cols)
-        return UpsertResult(0, source.count())
-    target = target.select(*source.columns)
-
-    touched = source.select(*partition_cols).distinct()
-    if not set(partition_cols) <= set(keys):
-        # a matched row may sit in another partition than its replacement
-        left_behind = target.join(source.select(*keys), list(keys), "left_semi")
-        touched = touched.unionByName(left_behind.select(*partition_cols)).distinct()
-    touched = materialise(touched, "upsert-partitions")
-    affected = _in_partitions(target, touched, partition_cols)
-
-    replacement = source.withColumn("_hit", F.lit(True))
-    aliases = {c: f"_new_{c}" for c in source.columns}
-    renamed = replacement.withColumnsRenamed(aliases)
-    same_key = reduce(Column.__and__, [F.col(k) == F.col(aliases[k]) for k in keys])
-    rewritten = affected.join(renamed, same_key, "left").select(
-        *[
-            F.when(F.col("_hit"), F.col(aliases[c])).otherwise(F.col(c)).alias(c)
-            for c in source.columns
-        ],
-        F.when(F.col("_hit"), "updated").otherwise("kept").alias("_action"),
-    )
-    inserted = source.join(affected.select(*keys), list(keys), "left_anti").withColumn(
-        "_action", F.lit("inserted")
-    )
-    staged = materialise(rewritten.unionByName(inserted), "upsert-staged")
-
-    counts = {r["_action"]: r["n"] for r in staged.groupBy("_action").agg(F.count("*").alias("n")).collect()}
-    replace_partitions(staged.drop("_action"), path, partition_cols)
-    _drop_emptied(spark, touched, staged, path, partition_cols)
-    return UpsertResult(counts.get("updated", 0), counts.get("inserted", 0))
+    with Scratch(spark, "upsert") as scratch:
+        source = scratch.store(source)
+        _check_keys(source, keys, null_keys)
+        rows = source.count()
+        if not rows:
+            return UpsertResult(0, 0)
+        target = read_or_none(spark, path, source.schema)
+        if target is None:
+            create_partitioned(source, path, partition_cols)
+            return UpsertResult(0, rows)
+
+        # a matched row may sit in another partition than its replacement, unless the
+        # partition is part of the key: then the source's own partitions bound the search
+        wanted = source.select(*keys)
+        fixed = set(partition_cols) <= set(keys)
+        searched = _within(target, source, partition_cols) if fixed else target
+        matched = scratch.store(
+            searched.select(*dict.fromkeys([*keys, *partition_cols])).join(wanted, list(keys), "left_semi")
+        )
+        parts = source.select(*partition_cols).unionByName(matched.select(*partition_cols))
+        touched = scratch.store(parts.distinct())
+
+        affected = _within(target, touched, partition_cols).join(
+            _renamed(touched, partition_cols), _same(partition_cols), "left_semi"
+        )
+        kept = affected.join(wanted, list(keys), "left_anti")
+        staged = scratch.store(kept.unionByName(source))
+        emptied = touched.join(
+            _renamed(staged.select(*partition_cols).distinct(), partition_cols), _same(partition_cols), "left_anti"
+        )
+        # named before anything is swapped
+        gone = scratch.store(_directories(affected, emptied, partition_cols))
+        replace_partitions(staged, path, partition_cols)
+        for row in gone.toLocalIterator():  # directory names, one at a time
+            remove(spark, row["directory"])
+        updated = matched.select(*keys).distinct().count()
+        return UpsertResult(updated, rows - updated)
+
+
+def _renamed(parts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return parts.select(*[F.col(c).alias(f"_part_{c}") for c in cols])
+
+
+def _same(cols: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_part_{c}")) for c in cols])
+
+
+def _within(target: DataFrame, parts: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The target between the least and the greatest value of each partition column.
+
+    One row of bounds, whatever the number of partitions; as a filter on partition
+    columns it prunes directories.
+    """
+    bounds = parts.agg(
+        *[F.min(c).alias(f"low_{c}") for c in cols],
+        *[F.max(c).alias(f"high_{c}") for c in cols],
+        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in cols],
+    ).first()
+    for c in cols:
+        inside = F.lit(False)
+        if bounds[f"low_{c}"] is not None:
+            inside = F.col(c).between(F.lit(bounds[f"low_{c}"]), F.lit(bounds[f"high_{c}"]))
+        target = target.where(inside | F.col(c).isNull() if bounds[f"nulls_{c}"] else inside)
+    return target
+
+
+def _directories(affected: DataFrame, emptied: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Directories of the partitions all of whose rows move away; an overwrite leaves those alone."""
+    files = affected.select(*cols, F.col("_metadata.file_path").alias("file"))
+    # the path is told as a URI, in which a plus sign is itself
+    told = F.replace(F.regexp_replace("file", "/[^/]*$", ""), F.lit("+"), F.lit("%2B"))
+    directory = F.url_decode(told).alias("directory")
+    return files.join(_renamed(emptied, cols), _same(cols), "left_semi").select(directory).distinct()
 
 
 def _check_keys(source: DataFrame, keys: Sequence[str], null_keys: str) -> None:
@@ -87,45 +121,3 @@ def _check_keys(source: DataFrame, keys: Sequence[str], null_keys: str) -> None:
     repeated = source.where(~null_key).groupBy(*keys).count().where("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"source has more than one row for a merge key {list(keys)}")
-
-
-def _in_partitions(target: DataFrame, touched: DataFrame, cols: Sequence[str]) -> DataFrame:
-    values = touched.limit(PRUNE_BY_LITERAL + 1).collect()
-    if len(values) <= PRUNE_BY_LITERAL:
-        if not values:
-            return target.where(F.lit(False))
-        if len(cols) == 1:
-            known = [v[0] for v in values if v[0] is not None]
-            wanted = F.col(cols[0]).isin(known)
-            if len(known) < len(values):
-                wanted = wanted | F.col(cols[0]).isNull()
-            return target.where(wanted)
-        return target.where(
-            reduce(
-                Column.__or__,
-                [
-                    reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v[c])) for c in cols])
-                    for v in values
-                ],
-            )
-        )
-    renamed = touched.withColumnsRenamed({c: f"_part_{c}" for c in cols})
-    match = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_part_{c}")) for c in cols])
-    return target.join(renamed, match, "left_semi")
-
-
-def _drop_emptied(
-    spark: SparkSession, touched: DataFrame, staged: DataFrame, path: str, cols: Sequence[str]
-) -> None:
-    """Remove partitions all of whose rows moved away; an overwrite leaves those alone."""
-    kept = staged.select(*cols).distinct().withColumnsRenamed({c: f"_kept_{c}" for c in cols})
-    match = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_kept_{c}")) for c in cols])
-    emptied = touched.join(kept, match, "left_anti")
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    conf = spark._jsc.hadoopConfiguration()
-    for row in emptied.toLocalIterator():  # directory names, one at a time
-        directory = "/".join(
-            escape.getPartitionPathString(c, None if row[c] is None else str(row[c])) for c in cols
-        )
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{directory}")
-        target.getFileSystem(conf).delete(target, True)

@@ -60,11 +60,38 @@ def test_partition_values_that_need_escaping(spark, path):
     assert [d for d in os.listdir(t) if d.startswith("part=")] == ["part=plain"]
 
 
-def test_all_copies_in_the_table_are_updated(spark, path):
+def test_copies_in_the_table_become_one(spark, path):
     t = path + "/t"
     spark.createDataFrame([(1, "a", "x"), (1, "a", "y")], SCHEMA).write.partitionBy("part").parquet(t)
-    assert merge(spark, t, [(1, "a", "new")]) == up.UpsertResult(2, 0)
-    assert table(spark, t) == [(1, "a", "new"), (1, "a", "new")]
+    assert merge(spark, t, [(1, "a", "new")]) == up.UpsertResult(1, 0)
+    assert table(spark, t) == [(1, "a", "new")]
+
+
+def test_repeating_heals_a_run_that_died_between_two_swaps(spark, path):
+    t = path + "/t"
+    left = [(1, "a", "old"), (1, "b", "new"), (2, "a", "x"), (3, "b", "y")]
+    spark.createDataFrame(left, SCHEMA).write.partitionBy("part").parquet(t)
+    for _ in range(2):
+        merge(spark, t, [(1, "b", "new")], keys=["k"])
+        assert table(spark, t) == [(1, "b", "new"), (2, "a", "x"), (3, "b", "y")]
+
+
+def test_empty_first_build_creates_no_table(spark, path):
+    t = path + "/t"
+    assert merge(spark, t, []) == up.UpsertResult(0, 0)
+    assert not os.path.exists(t)
+    assert merge(spark, t, [(1, "a", "x")]) == up.UpsertResult(0, 1)
+
+
+def test_scratch_is_removed(spark, path):
+    from lakeops.session import scratch_root
+
+    before = set(os.listdir(scratch_root(spark)))
+    merge(spark, path + "/t", [(1, "a", "x")])
+    merge(spark, path + "/t", [(1, "b", "x")], keys=["k"])
+    with pytest.raises(ValueError):
+        merge(spark, path + "/t", [(None, "b", "x")], keys=["k"])
+    assert set(os.listdir(scratch_root(spark))) == before
 
 
 def test_two_rows_for_a_key_are_refused(spark, path):
@@ -81,10 +108,9 @@ def test_null_keys(spark, path):
         assert len(table(spark, t)) == n  # a null matches nothing, not even itself
 
 
-def test_many_partitions_take_the_join(spark, path, monkeypatch):
+def test_many_partitions(spark, path):
     t = path + "/t"
     merge(spark, t, [(i, f"p{i}", "x") for i in range(6)])
-    monkeypatch.setattr(up, "PRUNE_BY_LITERAL", 2)
     merge(spark, t, [(i, f"p{i}", "y") for i in range(4)])
     assert table(spark, t) == [(i, f"p{i}", "y" if i < 4 else "x") for i in range(6)]
 
