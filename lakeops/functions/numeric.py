@@ -4,25 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Amounts are summed as whole ten-thousandths in a long: exact in any order, inside
-# code generation, and an overflow fails the job (ANSI) instead of losing digits.
-MONEY_DIGITS = 4
+# Single amounts have up to 14 digits before the point, sums of them and sums of such
+# sums up to 34: exact in any order, and a decimal that overflows fails the job (ANSI).
+AMOUNT = "decimal(18,4)"
+TOTAL = "decimal(28,4)"
 
 
-def to_units(amount: Column, digits: int = MONEY_DIGITS) -> Column:
-    return F.floor(amount * float(10**digits) + 0.5)
+def finite(amount: Column) -> Column:
+    return ~(F.isnan(amount) | (F.abs(amount) == float("inf")))
 
 
-def from_units(units: Column, digits: int = MONEY_DIGITS) -> Column:
-    return units.cast("double") / float(10**digits)
+def money_sum(amount: Column, kind: str = AMOUNT, times: Column | None = None) -> Column:
+    """Exact sum as a double; ``kind=TOTAL`` for amounts that are themselves sums.
 
+    ``times`` counts each amount that often. A NaN or an infinity makes the sum so.
+    """
+    amount = amount.cast("double")
+    exact = F.when(finite(amount), amount).cast(kind)
+    plain = amount if times is None else amount * times
+    exact = exact if times is None else exact * times
+    odd = ~finite(amount)
+    return F.when(F.bool_or(odd), F.sum(F.when(odd, plain))).otherwise(F.sum(exact).cast("double"))
 
-def money_sum(amount: Column) -> Column:
-    return from_units(F.sum(to_units(amount)))
 
-
-def money_avg(amount: Column) -> Column:
-    return money_sum(amount) / F.count(amount)
+def money_avg(amount: Column, kind: str = AMOUNT) -> Column:
+    return money_sum(amount, kind) / F.count(amount)
 
 
 def round_half_up(value: Column, digits: int = 2) -> Column:

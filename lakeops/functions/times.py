@@ -8,8 +8,12 @@ from pyspark.sql import Column, functions as F
 
 Moment = str | dt.datetime | dt.date
 
-# Fixed value: a calendar date, optionally followed by a time and a zone.
-ISO_MOMENT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+# A calendar date, optionally followed by a time and a zone, with or without
+# separators, and the parts of it. More than six digits of a second are cut.
+ISO_MOMENT = (
+    r"^(\d{4})-?(\d{2})-?(\d{2})"
+    r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+)
 
 
 def wall_clock(moment: Moment) -> Column:
@@ -24,7 +28,15 @@ def calendar_day(moment: Moment) -> Column:
 
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text to wall-clock time. The zone is dropped, bad text gives null."""
-    return F.when(text.rlike(ISO_MOMENT), text.try_cast("timestamp_ntz"))
+
+    def part(i: int, default: str) -> Column:
+        found = F.regexp_extract(text, ISO_MOMENT, i)
+        return F.when(found == "", default).otherwise(found)
+
+    day = F.concat_ws("-", part(1, ""), part(2, ""), part(3, ""))
+    time = F.concat_ws(":", part(4, "00"), part(5, "00"), part(6, "00"))
+    plain = F.concat(day, F.lit(" "), time, F.lit("."), part(7, "0"))
+    return F.when(text.rlike(ISO_MOMENT), plain.try_cast("timestamp_ntz"))
 
 
 def hours_between(earlier: Column, later: Column) -> Column:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.functions.numeric import from_units, money_avg, money_sum, percentage, to_units
+from lakeops.functions.numeric import money_avg, money_sum, percentage
 from lakeops.functions.times import Moment, iso_day, wall_clock
 
 VALUE_TIERS = ((1000, "High Value"), (500, "Medium Value"))
@@ -54,8 +54,8 @@ def product_performance(
         .agg(
             F.count("transaction_id").alias("transaction_count"),
             F.sum("quantity").alias("units_sold"),
-            F.sum(to_units(F.col("total_amount"))).alias("revenue"),
-            money_avg(F.col("unit_price")).alias("avg_selling_price"),
+            money_sum(F.col("total_amount")).alias("revenue"),
+            F.avg("unit_price").alias("avg_selling_price"),
             F.min("unit_price").alias("min_price"),
             F.max("unit_price").alias("max_price"),
         )
@@ -66,7 +66,7 @@ def product_performance(
         "category",
         (F.col("transaction_count") * F.col("_copies")).alias("transaction_count"),
         (F.col("units_sold") * F.col("_copies")).alias("units_sold"),
-        from_units(F.col("revenue") * F.col("_copies")).alias("revenue"),
+        (F.col("revenue") * F.col("_copies")).alias("revenue"),
         "avg_selling_price",
         "min_price",
         "max_price",
@@ -89,7 +89,7 @@ def customer_segments(
         .groupBy("customer_id")
         .agg(
             F.count("transaction_id").alias("purchase_count"),
-            F.sum(to_units(F.col("total_amount"))).alias("total_spend"),
+            money_sum(F.col("total_amount")).alias("total_spend"),
             money_avg(F.col("total_amount")).alias("avg_order_value"),
             F.max("transaction_timestamp").alias("last_purchase_date"),
             F.min("transaction_timestamp").alias("first_purchase_date"),
@@ -99,7 +99,7 @@ def customer_segments(
         "customer_id",
         *attributes,
         (F.col("purchase_count") * F.col("_copies")).alias("purchase_count"),
-        from_units(F.col("total_spend") * F.col("_copies")).alias("total_spend"),
+        (F.col("total_spend") * F.col("_copies")).alias("total_spend"),
         "avg_order_value",
         "last_purchase_date",
         "first_purchase_date",
@@ -122,7 +122,8 @@ def _with_dimension(
 ) -> DataFrame:
     """Attach attributes. A dimension row stored n times counts n times, as in a join
     before the aggregation; ``_copies`` carries the n."""
-    rows = dimension.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("_copies"))
+    # one shuffle by the key serves both the grouping and the join
+    rows = dimension.repartition(key).groupBy(key, *attributes).agg(F.count(F.lit(1)).alias("_copies"))
     return facts.join(rows, key)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.functions.numeric import from_units, money_sum, to_units
+from lakeops.functions.numeric import TOTAL, money_avg, money_sum
 from lakeops.functions.times import Moment, calendar_day
 
 
@@ -13,6 +13,11 @@ def latest(df: DataFrame, order_col: str, value_col: str) -> DataFrame:
     return df.orderBy(F.desc(order_col)).limit(1).select(value_col)
 
 
+def newest(df: DataFrame, order_col: str) -> str | None:
+    """The greatest value of a column, one row; with it a partitioned table can be pruned."""
+    return df.agg(F.max(order_col)).first()[0]
+
+
 def latest_fraction(df: DataFrame, order_col: str, percent_col: str) -> DataFrame:
     return latest(df, order_col, percent_col).select(
         (F.col(percent_col) / 100.0).alias(percent_col)
@@ -43,18 +48,22 @@ def last_n_days(df: DataFrame, col: str, n: int, as_of: Moment) -> DataFrame:
     return df.where(F.to_date(col) >= F.date_sub(calendar_day(as_of), n))
 
 
-def revenue_by_category(performance: DataFrame) -> DataFrame:
+def revenue_by_category(performance: DataFrame, day: Moment | None = None) -> DataFrame:
+    """Revenue per category, of one day if given."""
+    rows = performance if day is None else on_day(performance, "data_date", day)
     return (
-        performance.groupBy("category")
-        .agg(money_sum(F.col("revenue")).alias("revenue"))
+        rows.groupBy("category")
+        .agg(money_sum(F.col("revenue"), TOTAL).alias("revenue"))
         .orderBy(F.desc("revenue"), "category")
     )
 
 
-def value_distribution(segments: DataFrame) -> DataFrame:
-    return segments.groupBy("value_tier").agg(
+def value_distribution(segments: DataFrame, day: Moment | None = None) -> DataFrame:
+    """Customers and mean spend per value tier, of one day if given."""
+    rows = segments if day is None else on_day(segments, "data_date", day)
+    return rows.groupBy("value_tier").agg(
         F.count(F.lit(1)).alias("customer_count"),
-        (money_sum(F.col("total_spend")) / F.count("total_spend")).alias("avg_spend"),
+        money_avg(F.col("total_spend"), TOTAL).alias("avg_spend"),
     )
 
 
@@ -63,7 +72,7 @@ def weekly_revenue(summary: DataFrame, n: int = 12) -> DataFrame:
     week = F.to_date(F.date_trunc("week", F.to_date("partition_date")))
     return (
         summary.groupBy(week.alias("week"))
-        .agg(money_sum(F.col("total_revenue")).alias("weekly_revenue"))
+        .agg(money_sum(F.col("total_revenue"), TOTAL).alias("weekly_revenue"))
         .orderBy(F.desc("week"))
         .limit(n)
     )
@@ -76,8 +85,8 @@ def category_performance(performance: DataFrame, as_of: Moment, n_days: int = 30
         .groupBy("category")
         .agg(
             F.count_distinct("product_id").alias("product_count"),
-            money_sum(F.col("revenue")).alias("total_revenue"),
-            (money_sum(F.col("revenue")) / F.count("revenue")).alias("avg_product_revenue"),
+            money_sum(F.col("revenue"), TOTAL).alias("total_revenue"),
+            money_avg(F.col("revenue"), TOTAL).alias("avg_product_revenue"),
         )
     )
 
@@ -92,11 +101,11 @@ def cross_layer_join(performance: DataFrame, summary: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_rows")
     )
     days = summary.groupBy("partition_date").agg(
-        F.sum(to_units(F.col("total_revenue"))).alias("_units")
+        money_sum(F.col("total_revenue"), TOTAL).alias("_revenue")
     )
     return (
         rows.join(days, "partition_date")
         .groupBy("category")
-        .agg(from_units(F.sum(F.col("_rows") * F.col("_units"))).alias("category_revenue"))
+        .agg(money_sum(F.col("_revenue"), TOTAL, F.col("_rows")).alias("category_revenue"))
         .orderBy(F.desc("category_revenue"), "category")
     )

@@ -5,7 +5,7 @@ from decimal import Decimal
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from lakeops.functions.numeric import money_avg, money_sum, percentage, round_half_up
+from lakeops.functions.numeric import TOTAL, money_avg, money_sum, percentage, round_half_up
 
 cents = st.integers(min_value=-10_000_000, max_value=10_000_000)
 
@@ -33,3 +33,15 @@ def test_money_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert df.agg(money_sum(F.col("x"))).first()[0] is None
     assert df.where("false").agg(money_avg(F.col("x"))).first()[0] is None
+
+
+def test_large_totals_and_odd_amounts(spark):
+    df = spark.createDataFrame([(1e13 + 0.25,)] * 4000, "x double").repartition(3)
+    assert df.agg(money_sum(F.col("x"))).first()[0] == 4e16 + 1000
+    small = spark.createDataFrame([(1e16, 3), (2.5, 2)], "x double, n long")
+    got = small.agg(money_sum(F.col("x"), TOTAL), money_sum(F.col("x"), TOTAL, F.col("n"))).first()
+    assert got == (1e16 + 2.5, 3e16 + 5)
+    nan = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
+    assert nan.agg(money_sum(F.col("x"))).first()[0] != nan.agg(money_sum(F.col("x"))).first()[0]
+    inf = spark.createDataFrame([(1.0,), (float("inf"),)], "x double")
+    assert inf.agg(money_avg(F.col("x"))).first()[0] == float("inf")
