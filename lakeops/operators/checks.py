@@ -1,20 +1,21 @@
 """Declarative table checks, evaluated together.
 
-All row-level metrics come out of one aggregation over the table. Only duplicate
-counts need a shuffle of their own; each reads a single column.
+The input is evaluated once. All row-level metrics come out of one aggregation; only
+duplicate counts need a shuffle of their own, of one column, texts as digests.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeops.functions.numeric import to_units
 from lakeops.functions.times import Moment, hours_between, wall_clock
 from lakeops.operators.rules import PAYMENT_METHODS, SALE_STATUSES, TOTAL_TOLERANCE
+from lakeops.session import materialise
 
 METRICS = (
     "row_count",
@@ -60,7 +61,9 @@ class Check:
             bounds.append(value >= self.at_least)
         if self.at_most is not None:
             bounds.append(value <= self.at_most)
-        return F.coalesce(reduce(Column.__and__, bounds, F.lit(True)), F.lit(False))
+        # Spark orders NaN above all numbers: it must not pass a lower bound
+        number = ~F.isnan(value) if bounds else F.lit(True)
+        return F.coalesce(reduce(Column.__and__, bounds, number), F.lit(False))
 
 
 def row_count(name: str, **bounds: float) -> Check:
@@ -95,21 +98,39 @@ def maximum(name: str, column: str, below: float) -> Check:
     return Check(name, "max", column, below=below)
 
 
+# The bounds of the small example data set.
+EXAMPLE_BOUNDS = {
+    "max_rows": 10000,
+    "max_product_id": 50,
+    "max_customer_id": 1000,
+    "amount_range": (50, 2000),
+    "quantity_range": (1, 10),
+    "max_amount": 5000,
+    "fresh_hours": 2,
+}
+
+
 def silver_sales_checks(
-    max_rows: int = 10000,
-    max_product_id: int = 50,
-    max_customer_id: int = 1000,
-    amount_range: tuple[float, float] = (50, 2000),
-    quantity_range: tuple[float, float] = (1, 10),
-    max_amount: float = 5000,
-    fresh_hours: float = 2,
+    max_rows: int | None = None,
+    max_product_id: int | None = None,
+    max_customer_id: int | None = None,
+    amount_range: tuple[float, float] | None = None,
+    quantity_range: tuple[float, float] | None = None,
+    max_amount: float | None = None,
+    fresh_hours: float | None = None,
 ) -> list[Check]:
-    """The checks of the silver sales table; the bounds default to the fixed values."""
+    """The checks of the silver sales table; a check whose bound is not given is left out.
+
+    The names are fixed values. ``silver_sales_checks(**EXAMPLE_BOUNDS)`` gives all twenty.
+    """
     payments = ", ".join(f"'{p}'" for p in PAYMENT_METHODS)
     statuses = ", ".join(f"'{s}'" for s in SALE_STATUSES)
+    given = lambda bound, make: [] if bound is None else [make(bound)]
+    product = "product_id < 1" if max_product_id is None else f"product_id < 1 OR product_id > {max_product_id}"
+    customer = "customer_id < 1" if max_customer_id is None else f"customer_id < 1 OR customer_id > {max_customer_id}"
     return [
         row_count("Table has data", above=0),
-        row_count("Prevent data explosion", below=max_rows),
+        *given(max_rows, lambda n: row_count("Prevent data explosion", below=n)),
         required_columns(
             "Ensure sales schema integrity",
             "transaction_id",
@@ -134,18 +155,14 @@ def silver_sales_checks(
             f"abs(total_amount - quantity * unit_price) > {TOTAL_TOLERANCE}D",
         ),
         no_duplicates("No duplicate transactions", "transaction_id"),
-        fresh_within("Data is recent (within 2 hours)", "transaction_timestamp", fresh_hours),
+        *given(fresh_hours, lambda h: fresh_within("Data is recent (within 2 hours)", "transaction_timestamp", h)),
         no_failed_rows("Valid payment methods", f"payment_method NOT IN ({payments})"),
         no_failed_rows("Valid status values", f"status NOT IN ({statuses})"),
-        average("Average transaction value in expected range", "total_amount", *amount_range),
-        average("Average quantity in expected range", "quantity", *quantity_range),
-        maximum("No extremely high transactions (fraud detection)", "total_amount", max_amount),
-        no_failed_rows(
-            "Product ID in valid range", f"product_id < 1 OR product_id > {max_product_id}"
-        ),
-        no_failed_rows(
-            "Customer ID in valid range", f"customer_id < 1 OR customer_id > {max_customer_id}"
-        ),
+        *given(amount_range, lambda r: average("Average transaction value in expected range", "total_amount", *r)),
+        *given(quantity_range, lambda r: average("Average quantity in expected range", "quantity", *r)),
+        *given(max_amount, lambda m: maximum("No extremely high transactions (fraud detection)", "total_amount", m)),
+        no_failed_rows("Product ID in valid range", product),
+        no_failed_rows("Customer ID in valid range", customer),
     ]
 
 
@@ -161,32 +178,24 @@ def run_checks(
     A check on a column the table lacks fails with a null value.
     """
     present = set(df.columns)
-    measured = []  # (check, aggregate or None)
-    for check in checks:
-        lacking = check.column is not None and check.column not in present
-        measured.append((check, None if lacking else _aggregate(df, check, as_of)))
-
-    row_level = [(c, a) for c, a in measured if c.metric != "duplicate_count"]
-    aggregates = [
-        (F.lit(None).cast("double") if a is None else a).cast("double").alias(f"m{i}")
-        for i, (_, a) in enumerate(row_level)
-    ]
-    if not aggregates:
-        report = None
+    lacking = {c.name for c in checks if c.column is not None and c.column not in present}
+    counted = [c for c in checks if c.metric == "duplicate_count" and c.name not in lacking]
+    if counted:
+        # stored once: each duplicate count then reads one column of it, the rest another few
+        names = sorted({n for c in checks for n in _reads(c, df.columns)})
+        stored = materialise(df.select(*names), "checked")
     else:
-        lines = [_line(c, F.col(f"m{i}")) for i, (c, _) in enumerate(row_level)]
-        report = df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates).select(
-            F.inline(F.array(*lines))
-        )
-    for check in checks:
-        if check.metric != "duplicate_count":
-            continue
-        if check.column in present:
-            copies = _duplicates(df, check.column)
-        else:
-            copies = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("v"))
-        line = copies.select(F.inline(F.array(_line(check, F.col("v")))))
-        report = line if report is None else report.unionByName(line)
+        stored = df
+    plain = [c for c in checks if c not in counted]
+    metrics = [
+        F.lit(None).cast("double") if c.name in lacking else _aggregate(df, c, as_of).cast("double") for c in plain
+    ]
+    totals = stored.agg(F.count(F.lit(1)).alias("_rows"), *[m.alias(f"m{i}") for i, m in enumerate(metrics)])
+    parts = [totals.select(F.inline(F.array(*[_line(c, F.col(f"m{i}")) for i, c in enumerate(plain)])))] if plain else []
+    for column in dict.fromkeys(c.column for c in counted):
+        own = [_line(c, F.col("v")) for c in counted if c.column == column]
+        parts.append(_duplicates(stored, column).select(F.inline(F.array(*own))))
+    report = reduce(DataFrame.unionByName, parts)
 
     if fail_on_error:
         failed = failed_names(report)
@@ -234,18 +243,28 @@ def _aggregate(df: DataFrame, check: Check, as_of: Moment) -> Column | None:
     if check.metric == "freshness":
         return hours_between(F.max(column), wall_clock(as_of))
     if check.metric == "avg":
-        return F.sum(to_units(column)) / F.lit(1e4) / F.count(column)
+        return F.avg(column)
     if check.metric == "max":
         return F.max(column)
     return None  # duplicate_count has a job of its own
 
 
 def _duplicates(df: DataFrame, column: str) -> DataFrame:
-    """How many distinct values occur more than once."""
-    copies = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    """How many distinct values occur more than once; texts are compared by digest."""
+    text = df.schema[column].dataType.simpleString() == "string"
+    key = F.sha2(F.col(column), 256) if text else F.col(column)
+    copies = df.where(F.col(column).isNotNull()).groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
     return copies.agg(F.count_if(F.col("n") > 1).cast("double").alias("v"))
 
 
+def _reads(check: Check, columns: Sequence[str]) -> list[str]:
+    """The columns a check reads, as far as they are there."""
+    if check.condition is None:
+        return [check.column] if check.column in columns else []
+    words = set(re.findall(r"\w+", check.condition.lower()))
+    return [c for c in columns if c.lower() in words]
+
+
 def _line(check: Check, value: Column) -> Column:
     counts_rows = check.metric in ("missing_count", "failed_rows", "duplicate_count")
     return F.struct(

@@ -5,8 +5,11 @@ from lakeops.operators.metrics import failure_status
 from tests.helpers import AS_OF, plan, rows, silver
 
 
+ALL = dq.silver_sales_checks(**dq.EXAMPLE_BOUNDS)
+
+
 def report(spark, df, checks=None):
-    out = dq.run_checks(df, checks or dq.silver_sales_checks(), AS_OF)
+    out = dq.run_checks(df, checks or ALL, AS_OF)
     return {r["check_name"]: r for r in out.collect()}
 
 
@@ -108,12 +111,12 @@ def test_duplicate_count_counts_values_not_rows(spark):
 def test_fail_on_error(spark):
     df = silver(spark, {**GOOD, "status": "?"})
     with pytest.raises(dq.ChecksFailed, match="Valid status values"):
-        dq.run_checks(df, dq.silver_sales_checks(), AS_OF, fail_on_error=True)
+        dq.run_checks(df, ALL, AS_OF, fail_on_error=True)
 
 
 def test_summary_and_counts(spark):
     df = silver(spark, {**GOOD, "status": "?"})
-    out = dq.run_checks(df, dq.silver_sales_checks(), AS_OF)
+    out = dq.run_checks(df, ALL, AS_OF)
     got = dq.summarise(out).first().asDict()
     assert got == {
         "status": "failed",
@@ -134,14 +137,31 @@ def test_summary_and_counts(spark):
 def test_row_level_checks_share_one_scan(spark, path):
     silver(spark, GOOD).write.parquet(path + "/t")
     table = spark.read.parquet(path + "/t")
-    checks = [c for c in dq.silver_sales_checks() if c.metric != "duplicate_count"]
+    checks = [c for c in ALL if c.metric != "duplicate_count"]
     assert plan(dq.run_checks(table, checks, AS_OF)).count("FileScan") == 1
-    p = plan(dq.run_checks(table, dq.silver_sales_checks(), AS_OF))
+    p = plan(dq.run_checks(table, ALL, AS_OF))
     scans = [line for line in p.splitlines() if "FileScan" in line]
-    assert len(scans) == 2
+    # both read what was stored of the input, which itself was read once
+    assert len(scans) == 2 and not any(f"{path}/t" in s for s in scans)
     assert any("ReadSchema: struct<transaction_id:string>" in s for s in scans)
 
 
+def test_bounds_that_are_not_given_check_nothing(spark):
+    names = {c.name for c in dq.silver_sales_checks()}
+    assert len(names) == 15 and "Prevent data explosion" not in names
+    got = report(spark, silver(spark, {**GOOD, "product_id": 51}), dq.silver_sales_checks())
+    assert all(r["passed"] for r in got.values())
+
+
+def test_averages_are_plain_and_nan_fails(spark):
+    df = spark.createDataFrame([(1e-5, 1e16, float("nan")), (1e-5, 1e16, 1.0)], "a double, b double, c double")
+    checks = [dq.average("a", "a", 1e-6, 1e-4), dq.average("b", "b", 1e15, 1e17), dq.average("c", "c", 0, 5), dq.Check("d", "max", "c", above=0)]
+    got = report(spark, df, checks)
+    assert got["a"]["passed"] and got["a"]["value"] == 1e-5
+    assert got["b"]["passed"] and got["b"]["value"] == 1e16
+    assert not got["c"]["passed"] and not got["d"]["passed"]
+
+
 def test_unknown_metric():
     with pytest.raises(ValueError, match="metric"):
         dq.Check("x", "median")
