@@ -7,13 +7,14 @@ has none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions.numeric import round_half_up
 from lakeops.functions.times import Moment, hours_between, parse_iso, wall_clock
 from lakeops.sources.tables import balanced
 
 LOW_COMPLETENESS = 80.0
+PROMOTER = "quality_gate"
 
 
 def schema_violations(env: DataFrame) -> DataFrame:
@@ -37,28 +38,30 @@ def completeness(env: DataFrame, warn_below: float = LOW_COMPLETENESS) -> DataFr
 
     A null or empty value is a gap; a record without the key is not.
     """
-    totals = env.groupBy("stream").agg(F.count(F.lit(1)).alias("total_records"))
-    return (
-        _gaps(env)
-        .join(totals, "stream")
-        .select(
-            "stream",
-            "field",
-            "missing",
-            round_half_up(_filled()).alias("completeness_pct"),
-            (_filled() < warn_below).alias("low"),
-        )
+    return _gaps(env).select(
+        "stream",
+        "field",
+        "missing",
+        round_half_up(_filled()).alias("completeness_pct"),
+        (_filled() < warn_below).alias("low"),
     )
 
 
 def _gaps(env: DataFrame) -> DataFrame:
-    """Nulls and empty texts per stream and field; fields without any do not appear."""
-    return (
-        env.select("stream", F.explode("data").alias("field", "text"))
-        .where(F.col("text").isNull() | (F.col("text") == ""))
+    """Nulls and empty texts per stream and field, beside the stream's records.
+
+    One pass: every record adds a row without a field that counts it. Fields without any
+    gap do not appear.
+    """
+    empty = F.map_keys(F.map_filter("data", lambda _, v: v.isNull() | (v == "")))
+    counted = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(empty, F.array().cast("array<string>")))
+    by_field = (
+        env.select("stream", F.explode(counted).alias("field"))
         .groupBy("stream", "field")
         .agg(F.count(F.lit(1)).alias("missing"))
     )
+    records = F.max(F.when(F.col("field").isNull(), F.col("missing"))).over(Window.partitionBy("stream"))
+    return by_field.withColumn("total_records", records).where(F.col("field").isNotNull())
 
 
 def _filled() -> Column:
@@ -115,7 +118,7 @@ def stream_report(
     )
     # one row per stream meets the stream's few fields with gaps, and folds back to one
     return (
-        scores.join(_gaps(env), "stream", "left")
+        scores.join(_gaps(env).drop("total_records"), "stream", "left")
         .groupBy(*scores.columns)
         .agg(
             F.count("field").alias("fields_with_gaps"),
@@ -124,14 +127,42 @@ def stream_report(
     )
 
 
-def write_report(report: DataFrame, path: str, as_of: Moment, source: str) -> None:
-    """Append the report rows, stamped with the run and what was checked."""
+def report_details(env: DataFrame, warn_below: float = LOW_COMPLETENESS) -> DataFrame:
+    """What the report counts, one row each: stream, kind, item, occurrences, share.
+
+    ``schema``: a record that lacks fields, the item names them; ``duplicate``: an id and its
+    copies; ``gap``: a field with its empty values and its share of filled ones, ``warning``
+    if that share is low. Rows, not lists: a stream may have millions of errors.
+    """
+    nothing = F.lit(None).cast("double")
+    one = F.lit(1).cast("bigint")
+    lacking = schema_violations(env).select(
+        "stream",
+        F.lit("schema").alias("kind"),
+        F.concat_ws(": ", "raw_id", F.array_join("missing_fields", ",")).alias("item"),
+        one.alias("occurrences"),
+        nothing.alias("share"),
+    )
+    copies = duplicate_ids(env).select(
+        "stream", F.lit("duplicate"), F.coalesce("raw_id", F.lit("")), "copies", nothing
+    )
+    gaps = completeness(env, warn_below).select(
+        "stream", F.when(F.col("low"), "warning").otherwise("gap"), "field", "missing", "completeness_pct"
+    )
+    return lacking.union(copies).union(gaps)
+
+
+def write_report(report: DataFrame, path: str, as_of: Moment, source: str, run: str) -> None:
+    """Store the report rows of a run, stamped with its time and what was checked.
+
+    Repeating the run replaces its rows and nobody else's.
+    """
     stamped = report.select(
         F.lit(str(as_of)).cast("timestamp").alias("timestamp"),
         F.lit(source).alias("bronze_file"),
         "*",
     )
-    stamped.write.mode("append").option("ignoreNullFields", "false").json(path)
+    stamped.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/run={run}")
 
 
 def passed_records(records: DataFrame, report: DataFrame) -> DataFrame:
@@ -141,14 +172,30 @@ def passed_records(records: DataFrame, report: DataFrame) -> DataFrame:
 
 
 def promote_passed(
-    records: DataFrame, report: DataFrame, path: str, as_of: Moment, source: str = "bronze"
+    records: DataFrame,
+    report: DataFrame,
+    path: str,
+    as_of: Moment,
+    source: str = "bronze",
+    run: str = "once",
 ) -> DataFrame:
-    """Copy passed streams to silver; returns one metadata row per promoted stream."""
+    """Copy passed streams to silver; returns one metadata row per promoted stream.
+
+    The table is laid out by run and stream; repeating a run replaces what it promoted,
+    also if it promotes less now.
+    """
     promoted = passed_records(records, report)
-    balanced(promoted, ["stream"]).write.mode("append").partitionBy("stream").parquet(path)
+    (
+        balanced(promoted, ["stream"])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("stream")
+        .parquet(f"{path}/run={run}")
+    )
     return report.where("passed").select(
         "stream",
         F.lit(str(as_of)).cast("timestamp").alias("promoted_at"),
+        F.lit(PROMOTER).alias("promoted_by"),
         F.lit(source).alias("source"),
         "quality_score",
         F.col("total_records").alias("record_count"),

@@ -33,8 +33,12 @@ def samples(
     ).to(METRIC_SAMPLES)
 
 
-def append_samples(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_samples(df: DataFrame, path: str, run: str | None = None) -> None:
+    """Add samples; those of a named run replace what that run stored before."""
+    if run is None:
+        df.write.mode("append").parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(f"{path}/run={run}")
 
 
 def label(name: str) -> Column:
@@ -94,7 +98,9 @@ def counter_rate(
     the first reading of a series has nothing to be compared with and counts nothing.
     Series are summed over ``by`` (default: each by itself).
     """
-    read = samples.where(F.col(value).isNotNull())
+    # only what is needed is stored on the way
+    needed = list(dict.fromkeys([*series, ts, *tie, value, *(by or ())]))
+    read = samples.where(F.col(value).isNotNull()).select(*needed)
     stepped = previous_value(read, series, [ts, *tie], value, "_before")
     step = (
         F.when(F.col("_before").isNull(), 0.0)
@@ -110,12 +116,18 @@ def counter_rate(
     )
 
 
-def mean_stage_duration(samples: DataFrame, stage: str, seconds: str) -> DataFrame:
-    return samples.groupBy(stage).agg(
+def mean_stage_duration(
+    samples: DataFrame, stage: str, seconds: str, ts: str | None = None, window_seconds: int | None = None
+) -> DataFrame:
+    """Runs, total and mean duration per stage, or per stage and time window."""
+    windowed = ts is not None and window_seconds is not None
+    window = [F.window(ts, f"{window_seconds} seconds")] if windowed else []
+    out = samples.groupBy(stage, *window).agg(
         F.count(seconds).alias("runs"),
         F.sum(seconds).alias("total_seconds"),
         (F.sum(seconds) / F.nullif(F.count(seconds), F.lit(0))).alias("mean_seconds"),
     )
+    return out.withColumn("window_start", F.col("window.start")).drop("window") if windowed else out
 
 
 def success_rate(

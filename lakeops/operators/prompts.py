@@ -111,13 +111,13 @@ def compare(
     )
 
 
-def listing(versioned: DataFrame) -> DataFrame:
+def listing(versioned: DataFrame, preview_chars: int = 80) -> DataFrame:
     """Prompts with labels and tags joined for display."""
     return versioned.select(
         "name",
         "version",
         F.array_join("labels", ", ").alias("labels"),
         F.array_join("tags", ", ").alias("tags"),
-        preview(F.col("prompt"), 80).alias("preview"),
+        preview(F.col("prompt"), preview_chars).alias("preview"),
         F.length("prompt").alias("length"),
     )

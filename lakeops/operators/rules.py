@@ -42,10 +42,18 @@ def _total_matches() -> Rule:
     return Rule("total_matches", gap <= TOTAL_TOLERANCE)
 
 
-def sales_rules(as_of: Moment, max_product_id: int = 50) -> list[Rule]:
-    """Rules a raw sale must obey to enter the silver table."""
+# Fixed value: the number of products of the small example data set.
+EXAMPLE_PRODUCTS = 50
+
+
+def sales_rules(as_of: Moment, max_product_id: int | None = None) -> list[Rule]:
+    """Rules a raw sale must obey to enter the silver table.
+
+    Without ``max_product_id`` product ids have no upper bound.
+    """
     product = F.col("product_id")
     ts = F.col("transaction_timestamp")
+    in_range = product > 0 if max_product_id is None else (product > 0) & (product <= max_product_id)
     return [
         _present("transaction_id"),
         _present("customer_id"),
@@ -58,7 +66,7 @@ def sales_rules(as_of: Moment, max_product_id: int = 50) -> list[Rule]:
         _total_matches(),
         Rule("payment_method_valid", F.col("payment_method").isin(*PAYMENT_METHODS)),
         Rule("status_valid", F.col("status").isin(*SALE_STATUSES)),
-        Rule("product_in_range", product.isNull() | ((product > 0) & (product <= max_product_id))),
+        Rule("product_in_range", product.isNull() | in_range),
     ]
 
 
@@ -143,35 +151,31 @@ def reject_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def not_stored(new: DataFrame, existing: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``new`` without a match in ``existing``; a null key matches nothing.
 
-    The table is first reduced to the keys the batch brings. A batch small enough to be
-    broadcast, the usual case, then costs one scan of the table's key column and no
-    shuffle of the table; a partition column among the keys can prune that scan.
+    Both sides are evaluated once. The stored keys are reduced to distinct ones first, so
+    that a key stored many times is sent once; the batch itself is not shuffled if they
+    are few enough for Spark to broadcast them.
     """
     keys = list(on)
-    hits = existing.select(*keys).join(new.select(*keys).distinct(), keys, "left_semi")
-    return new.join(hits, keys, "left_anti")
+    return new.join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
 def funnel(
     raw: DataFrame, rules: Sequence[Rule], existing: DataFrame | None, key: str
 ) -> DataFrame:
-    """Records read, cleaned, written, and removed as already stored."""
-    read = raw.agg(
+    """Records read, cleaned, written, and removed as already stored.
+
+    The input is flagged once and meets the distinct stored keys in a left join, which
+    neither drops nor repeats a row.
+    """
+    flagged = raw.select(F.col(key).alias("_key"), all_hold(rules).alias("_clean"))
+    if existing is None:
+        found = flagged.withColumn("_stored", F.lit(False))
+    else:
+        stored = existing.select(F.col(key).alias("_key"), F.lit(True).alias("_stored")).distinct()
+        found = flagged.join(stored, "_key", "left")
+    new = F.col("_clean") & F.col("_stored").isNull() if existing is not None else F.col("_clean")
+    return found.agg(
         F.count(F.lit(1)).alias("records_read"),
-        F.count_if(all_hold(rules)).alias("records_cleaned"),
-        F.lit(0).cast("bigint").alias("records_written"),
-    )
-    fresh = accept(raw, rules).select(key)
-    if existing is not None:
-        fresh = not_stored(fresh, existing, [key])
-    written = fresh.agg(
-        F.lit(0).cast("bigint").alias("records_read"),
-        F.lit(0).cast("bigint").alias("records_cleaned"),
-        F.count(F.lit(1)).alias("records_written"),
-    )
-    steps = ("records_read", "records_cleaned", "records_written")
-    return (
-        read.unionByName(written)
-        .agg(*[F.sum(c).alias(c) for c in steps])
-        .withColumn("duplicates_removed", F.col("records_cleaned") - F.col("records_written"))
-    )
+        F.count_if("_clean").alias("records_cleaned"),
+        F.count_if(new).alias("records_written"),
+    ).withColumn("duplicates_removed", F.col("records_cleaned") - F.col("records_written"))

@@ -52,13 +52,14 @@ def keep_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataF
     """
     first = order or []
     columns = first + [c for c in df.columns if c not in first]
-    unique = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+    # a row without a key gets one of its own, so that the input is read once
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return (
+        df.withColumn("_alone", alone)
+        .groupBy(key, "_alone")
         .agg(F.min(F.struct(*columns)).alias("_row"))
         .select([F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
-    return unique.unionByName(df.where(F.col(key).isNull()))
 
 
 def anti_dedup(

@@ -64,7 +64,7 @@ def run_gold(
             rows = result.updated + result.inserted
             return name, "success" if rows else "skipped", rows, None
         except Exception as e:  # reported in the status row, the other tables go on
-            return name, "failed", 0, f"{type(e).__name__}: {e}"[:500]
+            return name, "failed", 0, f"{type(e).__name__}: {e}"
 
     try:
         with ThreadPoolExecutor(max_workers=len(builds)) as pool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 from lakeops.functions.times import Moment
 from lakeops.operators import checks as dq
@@ -31,13 +31,15 @@ def check_table(
     schema: T.StructType | None = None,
     enabled: bool = True,
     fail_on_error: bool = False,
+    where: Column | None = None,
 ) -> QualityResult:
-    """Run checks on a table. With ``fail_on_error`` failed checks and errors are raised."""
+    """Run checks on a table, or on the rows ``where`` holds. With ``fail_on_error`` failed checks and errors are raised."""
     if not enabled:
         return QualityResult("skipped", "disabled")
     table = read_or_none(spark, path, schema)
     if table is None:
         return QualityResult("skipped", "table_not_found")
+    table = table if where is None else table.where(where)
     if table.isEmpty():
         return QualityResult("skipped", "empty_table")
     try:
@@ -45,7 +47,7 @@ def check_table(
     except Exception as e:  # a check that cannot be evaluated
         if fail_on_error:
             raise
-        return QualityResult("error", f"{type(e).__name__}: {e}"[:500])
+        return QualityResult("error", f"{type(e).__name__}: {e}")
     failed = dq.failed_names(report)
     if failed and fail_on_error:
         raise dq.ChecksFailed(f"{len(failed)} check(s) failed: {failed}")

@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.functions.times import run_stamp
 from lakeops.operators import checks as dq, gold, lineage, metrics
 from lakeops.operators.rules import Rule, accept, customer_rules, product_rules, sales_rules
 from lakeops.operators.silver import anti_dedup, to_silver_schema
 from lakeops.plans.gold_run import GOLD_TABLES, overall_status, run_gold
 from lakeops.plans.quality_run import check_table
 from lakeops.schemas import SALES_RAW, SALES_SILVER, STEP_STATUS
-from lakeops.session import materialise
+from lakeops.session import Scratch
 from lakeops.sources.json_files import LandResult, land_raw, load_dimension, read_json
 from lakeops.sources.tables import append_partitioned, read_or_none, table_size
 
@@ -28,9 +28,10 @@ class SalesConfig:
     gold: str
     metrics: str
     as_of: str
-    max_product_id: int = 50
+    max_product_id: int | None = None
     checks: Sequence[dq.Check] = field(default_factory=dq.silver_sales_checks)
     checks_enabled: bool = True
+    check_scope: str = "table"
     fail_on_error: bool = False
     aggregate: bool = True
     tiers: Sequence[tuple[float, str]] = gold.VALUE_TIERS
@@ -40,6 +41,11 @@ class SalesConfig:
     def run_date(self) -> str:
         return self.as_of[:10]
 
+    @property
+    def run_stamp(self) -> str:
+        """yyyyMMdd_HHmmss of the run's time; the same run has the same stamp."""
+        return dt.datetime.fromisoformat(self.as_of).strftime("%Y%m%d_%H%M%S")
+
     def lineage_jobs(self) -> list[tuple[str, list[str], list[str]]]:
         raw, sales = f"{self.bronze}/sales", f"{self.silver}/sales"
         gold_tables = [f"{self.gold}/{t}" for t in GOLD_TABLES]
@@ -66,8 +72,7 @@ def run_sales(
     steps: list[tuple[str, str, int, str | None]] = []
     samples: list[tuple[str, dict[str, str], float]] = []
 
-    stamp = spark.range(1).select(run_stamp(F.lit(cfg.as_of).cast("timestamp_ntz"))).first()[0]
-    landed = land_raw(raw, cfg.bronze, "sales", stamp)
+    landed = land_raw(raw, cfg.bronze, "sales", cfg.run_stamp)
     steps.append(("ingest_to_bronze", landed.status, landed.count, landed.path))
     if landed.status == "skipped":
         return _finish(spark, cfg, steps, samples)
@@ -89,8 +94,10 @@ def run_sales(
     steps.append(("transform_to_silver", "success", counts["written"], detail))
     samples.append(_processed("silver", "sales", counts["written"]))
 
+    # "partition" keeps the cost of a run from growing with the table's history
+    only = F.col("partition_date") == cfg.run_date if cfg.check_scope == "partition" else None
     checked = check_table(
-        spark, silver_path, cfg.checks, cfg.as_of, SALES_SILVER, cfg.checks_enabled
+        spark, silver_path, cfg.checks, cfg.as_of, SALES_SILVER, cfg.checks_enabled, where=only
     )
     failed = checked.failed_checks
     detail = "; ".join(failed) or checked.reason
@@ -138,13 +145,14 @@ def _to_silver(spark: SparkSession, cfg: SalesConfig, landed: LandResult, path:
     """
     rules = sales_rules(cfg.as_of, cfg.max_product_id)
     typed = to_silver_schema(read_json(spark, landed.path, SALES_RAW), cfg.run_date, cfg.as_of)
-    clean = materialise(accept(typed, rules), "silver-clean")
-    stored = read_or_none(spark, path, SALES_SILVER)
-    if stored is not None:
-        stored = stored.where(F.col("partition_date") == cfg.run_date)
-    fresh = materialise(anti_dedup(clean, stored, "transaction_id"), "silver-fresh")
-    append_partitioned(fresh, path, ["partition_date"])
-    cleaned, written = clean.count(), fresh.count()
+    with Scratch(spark, "silver") as scratch:
+        clean = scratch.store(accept(typed, rules))
+        stored = read_or_none(spark, path, SALES_SILVER)
+        if stored is not None:
+            stored = stored.where(F.col("partition_date") == cfg.run_date)
+        fresh = scratch.store(anti_dedup(clean, stored, "transaction_id"))
+        cleaned, written = clean.count(), fresh.count()
+        append_partitioned(fresh, path, ["partition_date"])
     return {
         "read": landed.count,
         "cleaned": cleaned,
@@ -162,7 +170,7 @@ def _finish(spark, cfg: SalesConfig, steps: list, samples: list) -> DataFrame:
         (metrics.TASK_STATUS, {"operation": step, "status": status}, 1.0)
         for step, status, _, _ in steps
     ]
-    metrics.append_samples(metrics.samples(spark, cfg.as_of, samples), f"{cfg.metrics}/samples")
+    metrics.append_samples(metrics.samples(spark, cfg.as_of, samples), f"{cfg.metrics}/samples", cfg.run_stamp)
     edges = lineage.lineage_edges(lineage.declare(spark, cfg.lineage_jobs()))
     edges.write.mode("overwrite").parquet(f"{cfg.metrics}/lineage")
     return spark.createDataFrame(steps, STEP_STATUS)

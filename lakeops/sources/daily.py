@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakeops.functions.times import Moment, calendar_day, iso_day
+from lakeops.session import Scratch, materialise
 from lakeops.sources.tables import balanced, replace_partitions
 
 
@@ -50,10 +51,11 @@ def backfill_days(df: DataFrame, ts: str, start: Moment, end: Moment, path: str)
     Returns one status row per requested day; a day without data is ``skipped`` and
     whatever an earlier run stored for it stays.
     """
-    loaded = between_days(df, ts, start, end).withColumn("date", iso_day(F.col(ts)))
-    replace_partitions(loaded, path, ["date"])
-
     spark = df.sparkSession
+    with Scratch(spark, "backfill") as scratch:
+        loaded = scratch.store(between_days(df, ts, start, end).withColumn("date", iso_day(F.col(ts))))
+        replace_partitions(loaded, path, ["date"])
+        arrived = materialise(loaded.groupBy("date").agg(F.count(F.lit(1)).alias("arrived")), "arrived")
     requested = spark.range(1).select(
         F.explode(F.sequence(calendar_day(start), calendar_day(end))).alias("day")
     )
@@ -64,7 +66,6 @@ def backfill_days(df: DataFrame, ts: str, start: Moment, end: Moment, path: str)
         .groupBy("date")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    arrived = loaded.groupBy("date").agg(F.count(F.lit(1)).alias("arrived"))
     return (
         requested.select(F.date_format("day", "yyyy-MM-dd").alias("date"))
         .join(per_day, "date", "left")

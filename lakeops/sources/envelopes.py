@@ -55,24 +55,28 @@ def to_lines(df: DataFrame) -> DataFrame:
     return df.select(*outside, text.alias("value"))
 
 
-def write_lines_gz(lines: DataFrame, path: str) -> None:
-    """Append ``(stream, value)`` as gzip text under ``stream=<name>`` directories.
+def write_lines_gz(lines: DataFrame, path: str, mode: str = "append") -> None:
+    """Write ``(stream, value)`` as gzip text under ``stream=<name>`` directories.
 
-    Gzip files do not split on reading, so their size is balanced on writing.
+    ``mode="overwrite"`` replaces the whole folder: right for a folder that one run owns,
+    so that repeating the run does not double its records. Gzip files do not split on reading, so their size is balanced on writing.
     """
     (
         balanced(lines, ["stream"])
-        .write.mode("append")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "static")
         .partitionBy("stream")
         .option("compression", "gzip")
         .text(path)
     )
 
 
-def write_jsonl_gz(df: DataFrame, path: str, stream: str | None = None) -> None:
-    """Append rows as gzip JSON lines; ``stream`` names them unless a column does."""
+def write_jsonl_gz(
+    df: DataFrame, path: str, stream: str | None = None, mode: str = "append"
+) -> None:
+    """Write rows as gzip JSON lines; ``stream`` names them unless a column does."""
     tagged = df if stream is None else df.withColumn("stream", F.lit(stream))
-    write_lines_gz(to_lines(tagged), path)
+    write_lines_gz(to_lines(tagged), path, mode)
 
 
 def read_envelope(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakeops.operators.rules import Rule, all_hold
 from lakeops.sources.tables import path_exists
@@ -30,13 +30,14 @@ def read_json(
 
 
 def land_raw(df: DataFrame, root: str, table: str, run_stamp: str) -> LandResult:
-    """Write one run's records, unvalidated, to their own stamped location."""
+    """Write one run's records, unvalidated, to their own stamped location.
+
+    A run that is repeated under its stamp replaces what it wrote. The count is that of
+    the landed lines.
+    """
     path = f"{root}/{table}/{table}_{run_stamp}.json"
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option(
-        "ignoreNullFields", "false"
-    ).json(path)
-    count = seen.get["n"]
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    count = df.sparkSession.read.text(path).count()
     return LandResult(path, count, "success" if count else "skipped")
 
 

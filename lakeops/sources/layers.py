@@ -32,7 +32,9 @@ def used_gigabytes(inventory: DataFrame) -> DataFrame:
 
 def archive_year(df: DataFrame, date_col: str, year: int, path: str) -> None:
     """Copy one year to the archive, laid out by year and month."""
-    dated = df.where(F.year(date_col) == year).select(
+    # a half-open range, which the scan can be handed
+    first, after = (F.lit(f"{y:04d}-01-01").cast("date").cast("timestamp_ntz") for y in (year, year + 1))
+    dated = df.where((F.col(date_col) >= first) & (F.col(date_col) < after)).select(
         "*",
         F.date_format(date_col, "yyyy").alias("year"),
         F.date_format(date_col, "MM").alias("month"),

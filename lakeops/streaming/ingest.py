@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lakeops.operators.rules import accept, sales_rules
 from lakeops.operators.silver import anti_dedup, to_silver_schema
 from lakeops.schemas import SALES_SILVER
-from lakeops.session import materialise
+from lakeops.session import Scratch
 from lakeops.sources.tables import append_partitioned, read_or_none
 
 
@@ -48,7 +48,7 @@ def ingest_incremental(
 def silver_handler(
     path: str,
     as_of: str,
-    max_product_id: int,
+    max_product_id: int | None = None,
     run_date: str | None = None,
     partition_cols: tuple[str, ...] = ("partition_date",),
     scope: str = "partition",
@@ -62,12 +62,13 @@ def silver_handler(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         typed = to_silver_schema(batch, run_date, as_of)
-        # parsed once; its stored size tells the join whether it can be broadcast
-        clean = materialise(accept(typed, sales_rules(as_of, max_product_id)), "batch-clean")
-        stored = read_or_none(spark, path, SALES_SILVER)
-        if stored is not None and scope == "partition" and run_date is not None:
-            stored = stored.where(F.col("partition_date") == run_date)
-        fresh = anti_dedup(clean, stored, "transaction_id", scope, within_batch)
-        append_partitioned(fresh, path, list(partition_cols))
+        with Scratch(spark, "batch") as scratch:
+            # parsed once; its stored size tells the join whether it can be broadcast
+            clean = scratch.store(accept(typed, sales_rules(as_of, max_product_id)))
+            stored = read_or_none(spark, path, SALES_SILVER)
+            if stored is not None and scope == "partition" and run_date is not None:
+                stored = stored.where(F.col("partition_date") == run_date)
+            fresh = anti_dedup(clean, stored, "transaction_id", scope, within_batch)
+            append_partitioned(fresh, path, list(partition_cols))
 
     return handle

@@ -37,6 +37,35 @@ def test_gold_run_without_silver_or_rows(spark, path):
     append_partitioned(silver(spark, {}, run_date="2024-05-09"), path + "/silver", ["partition_date"])
     out = run_gold(spark, path + "/silver", path + "/gold", DAY, *dims(spark))
     assert {r["status"] for r in out.collect()} == {"skipped"}
+    # a day without completed sales leaves nothing behind that a later day trips over
+    append_partitioned(silver(spark, {"status": "pending"}), path + "/silver", ["partition_date"])
+    out = run_gold(spark, path + "/silver", path + "/gold", DAY, *dims(spark))
+    assert {r["step"]: r["status"] for r in out.collect()}["product_performance"] == "skipped"
+    out = run_gold(spark, path + "/silver", path + "/gold", "2024-05-09", *dims(spark))
+    assert {r["status"] for r in out.collect()} == {"success"}
+
+
+def test_sales_run_can_be_repeated_under_its_stamp(spark, path):
+    def state():
+        lines = spark.read.option("recursiveFileLookup", True).text(path + "/bronze/sales").count()
+        samples = rows(spark.read.parquet(path + "/metrics/samples"), "name", "value")
+        return lines, rows(read_table(spark, path + "/silver/sales").drop("processed_at")), samples
+
+    raw = sales(spark, {}, {}, {"quantity": 0})
+    run_sales(spark, config(path), raw, *dims(spark))
+    lines, silver_rows, samples = state()
+    run_sales(spark, config(path), raw, *dims(spark))
+    assert state()[:2] == (lines, silver_rows)
+    assert len(state()[2]) == len(samples)
+
+
+def test_check_scope_of_a_run(spark, path):
+    old = {"total_amount": 100.0, "unit_price": 50.0, "transaction_timestamp": "2024-05-09T11:00:00"}
+    append_partitioned(silver(spark, {**old, "status": "?"}, run_date="2024-05-09"), path + "/silver/sales", ["partition_date"])
+    fresh = sales(spark, {**old, "transaction_timestamp": "2024-05-10T11:00:00"})
+    for scope, want in (("table", "failed"), ("partition", "success")):
+        out = run_sales(spark, config(path, check_scope=scope), fresh, *dims(spark))
+        assert status(out)["validate_quality"][0] == want
 
 
 def test_one_failing_table_does_not_stop_the_others(spark, path):
@@ -61,6 +90,7 @@ def config(path, **kw):
         gold=path + "/gold",
         metrics=path + "/metrics",
         as_of=kw.pop("as_of", AS_OF),
+        checks=kw.pop("checks", dq.silver_sales_checks(**dq.EXAMPLE_BOUNDS)),
         **kw,
     )
 
@@ -105,7 +135,7 @@ def test_nothing_to_do(spark, path):
 
 
 def test_check_table_outcomes(spark, path):
-    checks = dq.silver_sales_checks()
+    checks = dq.silver_sales_checks(**dq.EXAMPLE_BOUNDS)
     t = path + "/t"
     assert check_table(spark, t, checks, AS_OF).reason == "table_not_found"
     assert check_table(spark, t, checks, AS_OF, enabled=False).reason == "disabled"

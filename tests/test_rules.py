@@ -28,14 +28,14 @@ DEFECTS = {
 
 def test_every_defect_has_its_reason(spark):
     df = silver(spark, {}, *[change for change, _ in DEFECTS.values()])
-    flagged = r.with_reject_reasons(df, r.sales_rules(AS_OF))
+    flagged = r.with_reject_reasons(df, r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS))
     got = [row["reject_reasons"] for row in flagged.collect()]
     assert got == [[], *[reasons for _, reasons in DEFECTS.values()]]
 
 
 def test_accept_and_quarantine_split_the_input(spark):
     df = silver(spark, {}, {}, *[change for change, _ in DEFECTS.values()])
-    rules = r.sales_rules(AS_OF)
+    rules = r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS)
     kept, rejected = r.accept(df, rules), r.quarantine(df, rules)
     assert kept.count() == 2
     assert rejected.count() == len(DEFECTS)
@@ -45,38 +45,38 @@ def test_accept_and_quarantine_split_the_input(spark):
 
 def test_total_tolerance_is_inclusive(spark):
     df = silver(spark, {"total_amount": 20.009}, {"total_amount": 20.02})
-    assert rows(r.accept(df, r.sales_rules(AS_OF)), "transaction_id") == [("t1",)]
+    assert rows(r.accept(df, r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS)), "transaction_id") == [("t1",)]
 
 
 def test_timestamp_equal_to_now_is_not_future(spark):
     df = silver(spark, {"transaction_timestamp": "2024-05-10T12:00:00"})
-    assert r.accept(df, r.sales_rules(AS_OF)).count() == 1
+    assert r.accept(df, r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS)).count() == 1
 
 
 def test_reject_counts_include_zero(spark):
     df = silver(spark, {}, {"quantity": 0}, {"status": "ERROR"})
-    counts = dict(rows(r.reject_counts(df, r.sales_rules(AS_OF))))
+    counts = dict(rows(r.reject_counts(df, r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS))))
     assert counts["quantity_positive"] == 1 and counts["status_valid"] == 1
     assert counts["customer_id_present"] == 0
     assert len(counts) == 11
 
 
 def test_reject_counts_scan_once(spark):
-    p = plan(r.reject_counts(silver(spark, {}), r.sales_rules(AS_OF)))
+    p = plan(r.reject_counts(silver(spark, {}), r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS)))
     assert p.count("Scan ExistingRDD") == 1
 
 
 def test_funnel(spark):
     raw = silver(spark, {}, {}, {"quantity": 0}, {})
     stored = silver(spark, {}).select("transaction_id")  # holds t1
-    got = r.funnel(raw, r.sales_rules(AS_OF), stored, "transaction_id").first().asDict()
+    got = r.funnel(raw, r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS), stored, "transaction_id").first().asDict()
     assert got == {
         "records_read": 4,
         "records_cleaned": 3,
         "records_written": 2,
         "duplicates_removed": 1,
     }
-    first = r.funnel(raw, r.sales_rules(AS_OF), None, "transaction_id").first()
+    first = r.funnel(raw, r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS), None, "transaction_id").first()
     assert first["records_written"] == 3
 
 
@@ -119,7 +119,7 @@ def test_bad_cast_fails_or_rejects(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         to_silver_schema(raw, "2024-05-10", AS_OF).collect()
     lenient = to_silver_schema(raw, "2024-05-10", AS_OF, bad_casts="null")
-    assert rows(r.accept(lenient, r.sales_rules(AS_OF)), "transaction_id") == [("t1",)]
+    assert rows(r.accept(lenient, r.sales_rules(AS_OF, r.EXAMPLE_PRODUCTS)), "transaction_id") == [("t1",)]
 
 
 def test_silver_schema_stamps_run(spark):
