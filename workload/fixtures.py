@@ -18,7 +18,7 @@ _DEFECT = "(l_orderkey * 7 + l_linenumber * 13) % 100"
 SALES = [
     ("transaction_id", "concat(l_orderkey, '-', l_linenumber)"),
     ("customer_id", f"CASE WHEN {_DEFECT} = 0 THEN NULL ELSE o_custkey + 1 END"),
-    ("product_id", f"CASE WHEN {_DEFECT} = 1 THEN 900000 + l_partkey ELSE l_partkey + 1 END"),
+    ("product_id", f"CASE WHEN {_DEFECT} = 1 THEN -1 - l_partkey ELSE l_partkey + 1 END"),
     ("quantity", f"CASE WHEN {_DEFECT} = 2 THEN 0 ELSE CAST(l_quantity AS BIGINT) END"),
     ("unit_price", "l_extendedprice / l_quantity"),
     (
@@ -70,6 +70,18 @@ ENVELOPES = [
     ("hint", "CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_type END"),
 ]
 
+# Landed lines of two streams are damaged: fields of the envelope are missing, ids empty,
+# times written in other ISO forms or not readable. (what is wrong, which events)
+DAMAGE = [
+    ("no_time", "event_type = 'click' AND event_id % 37 = 0"),
+    ("no_id", "event_type = 'click' AND event_id % 41 = 1"),
+    ("no_data", "event_type = 'signup' AND event_id % 43 = 2"),
+    ("empty_id", "event_type = 'signup' AND event_id % 47 = 3"),
+    ("compact_time", "event_id % 5 = 1"),
+    ("nano_time", "event_id % 5 = 2"),
+    ("bad_time", "event_id % 53 = 4"),
+]
+
 # Samples of a running job: counters that restart, stage durations, check failures.
 SAMPLES = [
     ("event_id", "event_id"),
@@ -170,6 +182,31 @@ def envelope_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("ts")
 
 
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(stream, value): envelopes as text, some of them damaged."""
+    from lakeops.sources.envelopes import DATA, EXTRACTED_AT, RAW_ID
+
+    events = project(table(spark, sf_dir, "events"), [*ENVELOPES, ("ts", "ts"), *DAMAGE])
+    plain = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    compact = F.date_format("ts", "yyyyMMdd'T'HHmmss.SSSSSS")
+    time = (
+        F.when(F.col("bad_time"), "yesterday")
+        .when(F.col("compact_time"), compact)
+        .when(F.col("nano_time"), F.concat(plain, F.lit("789Z")))
+        .otherwise(plain)
+    )
+    raw_id = F.when(F.col("empty_id"), "").otherwise(F.col("raw_id"))
+    quoted = lambda c: F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+    data = F.to_json(F.struct("raw_id", "user_id", "note", "hint"), {"ignoreNullFields": "false"})
+    fields = [
+        F.when(~F.col("no_id"), F.concat(F.lit(f'"{RAW_ID}":'), quoted(raw_id))),
+        F.when(~F.col("no_time"), F.concat(F.lit(f'"{EXTRACTED_AT}":'), quoted(time))),
+        F.when(~F.col("no_data"), F.concat(F.lit(f'"{DATA}":'), data)),
+    ]
+    line = F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*fields)), ","), F.lit("}"))
+    return events.select("stream", line.alias("value"))
+
+
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(table(spark, sf_dir, "events"), SAMPLES)
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.functions.numeric import money_sum
-from lakeops.operators import silver
+from lakeops.functions.numeric import money_sum, round_half_up
+from lakeops.operators import reports, silver
 from lakeops.operators.checks import silver_sales_checks
 from lakeops.operators.rules import accept, customer_rules, sales_rules
 from lakeops.plans.gold_run import run_gold
 from lakeops.plans.sales_run import SalesConfig, run_sales
 from lakeops.schemas import SALES_RAW, SALES_SILVER
-from lakeops.session import new_scratch
+from lakeops.session import materialise, new_scratch
 from lakeops.sources import daily, layers, tables
 from lakeops.sources.json_files import land_raw, read_json
 from lakeops.sources.upsert import upsert
@@ -20,11 +22,15 @@ from workload import fixtures as fx
 from workload.registry import (
     BUYERS,
     CLEAN,
+    MEAN_DIGITS,
     PARTS,
     RAW,
     SALE_COLUMNS,
+    SUMMARY,
     money,
+    performance,
     query,
+    segments,
 )
 from workload.sales import SPLIT, clean, shown, split
 
@@ -111,7 +117,7 @@ _LAST_SALE = "SELECT store_id, MAX(strftime(transaction_timestamp, '%Y')) AS las
     "upsert_moves_partition",
     f"""WITH {CLEAN},
     target AS ({_LAST_SALE} WHERE partition_date < '{SPLIT}' GROUP BY store_id),
-    source AS ({_LAST_SALE} WHERE partition_date >= '2001-06-01' GROUP BY store_id)
+    source AS ({_LAST_SALE} WHERE partition_date >= '{SPLIT}' GROUP BY store_id)
     SELECT * FROM source UNION ALL
     SELECT * FROM target WHERE store_id NOT IN (SELECT store_id FROM source)""",
 )
@@ -123,7 +129,7 @@ def _(spark, d):
         last = F.max(F.date_format("transaction_timestamp", "yyyy"))
         return df.groupBy("store_id").agg(last.alias("last_year"), F.count("*").alias("sales"))
 
-    for part in (F.col("partition_date") < SPLIT, F.col("partition_date") >= "2001-06-01"):
+    for part in (F.col("partition_date") < SPLIT, F.col("partition_date") >= SPLIT):
         upsert(spark, measured(sales.where(part)), path, ["store_id"], ["last_year"])
     return tables.read_table(spark, path)
 
@@ -230,9 +236,47 @@ def _(spark, d):
 # --- layers ---------------------------------------------------------------------------
 
 
-@query("lake_inventory")
+@query(
+    "partition_inventory",
+    f"WITH {_MONTHLY} SELECT sale_month, COUNT(*) AS row_count FROM monthly GROUP BY 1",
+)
+def _(spark, d):
+    """Rows per partition of a stored table, counted from what was written."""
+    path = new_scratch(spark, "silver")
+    tables.append_partitioned(monthly(spark, d), path, ["sale_month"])
+    stored = tables.read_table(spark, path)
+    return stored.groupBy("sale_month").agg(F.count("*").alias("row_count"))
+
+
+@query("parquet_upload", f"WITH {RAW} SELECT {SALE_COLUMNS} FROM sales_raw")
 def _(spark, d):
-    return layers.lake_inventory(spark, {"tables": d})
+    path = new_scratch(spark, "upload")
+    typed = silver.to_silver_schema(fx.sales_raw(spark, d), None, fx.AS_OF)
+    for _ in range(2):  # the second upload replaces the first
+        tables.write_parquet(typed, path)
+    return shown(tables.read_table(spark, path))
+
+
+@query(
+    "catalog_tables",
+    f"""WITH {_MONTHLY}, counted AS (SELECT sale_month, COUNT(*) AS n FROM monthly GROUP BY 1)
+    SELECT 'sales' AS table_name, sale_month, n FROM counted UNION ALL
+    SELECT 'months', sale_month, 1 FROM counted""",
+)
+def _(spark, d):
+    """Registered locations, their listing, and a batch that SQL sees as a view."""
+    root, db = new_scratch(spark, "catalog"), f"lake_{uuid.uuid4().hex[:12]}"
+    tables.append_partitioned(monthly(spark, d), f"{root}/sales", ["sale_month"])
+    tables.write_parquet(monthly(spark, d).select("sale_month").distinct(), f"{root}/months")
+    for name in ("sales", "months"):
+        layers.register_table(spark, db, name, f"{root}/{name}")
+    view = f"batch_{db}"
+    layers.list_tables(spark, db).createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT t.table_name, c.sale_month, c.n FROM {view} t JOIN (
+          SELECT 'sales' AS table_name, sale_month, COUNT(*) AS n FROM `{db}`.sales GROUP BY sale_month UNION ALL
+          SELECT 'months', sale_month, COUNT(*) FROM `{db}`.months GROUP BY sale_month) c
+        ON t.table_name = c.table_name""")
 
 
 @query(
@@ -258,15 +302,123 @@ _GOLD_COUNTS = f"""
     WHERE customer_id IN (SELECT customer_id FROM customers))"""
 
 
-@query("gold_run", f"WITH {CLEAN}, {PARTS}, {BUYERS} {_GOLD_COUNTS}")
-def _(spark, d):
+def _gold_of(spark, d, days: tuple[str, ...]) -> tuple[str, list[DataFrame]]:
+    """Gold tables of some days, each filled by a run of its own from a silver table."""
     root = new_scratch(spark, "gold-run")
-    typed = silver.to_silver_schema(fx.sales_raw(spark, d), fx.AS_OF_DAY, fx.AS_OF)
+    typed = silver.to_silver_schema(fx.sales_raw(spark, d), None, fx.AS_OF)
     sales = accept(typed, sales_rules(fx.AS_OF, fx.max_product_id(spark, d)))
+    # bounds on the time of sale reach the scan
+    sales = daily.between_days(sales, "transaction_timestamp", min(days), max(days))
     tables.append_partitioned(sales, f"{root}/silver", ["partition_date"])
     dims = fx.products(spark, d), fx.customers(spark, d)
-    status = run_gold(spark, f"{root}/silver", f"{root}/gold", fx.AS_OF_DAY, *dims, fx.AS_OF, fx.TIERS)
-    return status.select("step", "status", "rows")
+    ran = [
+        run_gold(spark, f"{root}/silver", f"{root}/gold", day, *dims, f"{day} 12:00:00", fx.TIERS).withColumn("day", F.lit(day))
+        for day in days
+    ]
+    return f"{root}/gold", ran
+
+
+_GOLD_DAYS = ("2001-06-28", "2001-06-29")
+
+
+def _day_gold(day: str) -> str:
+    """Rows of all three gold tables of a day: table, id, numbers, tier, stamps."""
+    return f"""SELECT * FROM (WITH {SUMMARY}, {performance(day=day)}, {segments(day)},
+    rows_of AS (SELECT 'daily_sales_summary' AS table_name, 0 AS id, total_transactions AS n, total_revenue AS amount,
+        avg_transaction_value AS mean, '' AS tier FROM summary WHERE partition_date = '{day}' UNION ALL
+      SELECT 'product_performance', product_id, transaction_count, revenue, avg_selling_price, '' FROM performance UNION ALL
+      SELECT 'customer_segments', customer_id, purchase_count, total_spend, avg_order_value, value_tier FROM segments)
+    SELECT *, '{day}' AS data_date, '{day} 12:00:00' AS created_at FROM rows_of)"""
+
+
+@query("gold_run", f"WITH {CLEAN}, {PARTS}, {BUYERS} " + " UNION ALL ".join(_day_gold(day) for day in _GOLD_DAYS))
+def _(spark, d):
+    """What the runs of two days stored."""
+    root, _ran = _gold_of(spark, d, _GOLD_DAYS)
+    columns = {
+        "daily_sales_summary": (F.lit(0).cast("bigint"), "total_transactions", "total_revenue", "avg_transaction_value", F.lit("")),
+        "product_performance": ("product_id", "transaction_count", "revenue", "avg_selling_price", F.lit("")),
+        "customer_segments": ("customer_id", "purchase_count", "total_spend", "avg_order_value", "value_tier"),
+    }
+    parts = []
+    for name, (key, n, amount, mean, tier) in columns.items():
+        stored = tables.read_table(spark, f"{root}/{name}")
+        mean = F.col(mean) if name != "product_performance" else round_half_up(F.col(mean), MEAN_DIGITS)
+        at = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at")
+        key, tier = (F.col(c) if isinstance(c, str) else c for c in (key, tier))
+        parts.append(
+            stored.select(
+                F.lit(name).alias("table_name"), key.alias("id"), F.col(n).alias("n"), F.col(amount).alias("amount"),
+                mean.alias("mean"), tier.alias("tier"), "data_date", at,
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_NEWEST = _GOLD_DAYS[-1]
+
+
+@query(
+    "gold_dashboard",
+    f"""WITH {CLEAN}, {PARTS}, {BUYERS}, {SUMMARY}, {performance(day=_NEWEST)}, {segments(_NEWEST)},
+    newest AS (SELECT * FROM summary WHERE partition_date = '{_NEWEST}')
+    SELECT 'total_revenue' AS panel, '' AS item, total_revenue AS value FROM newest UNION ALL
+    SELECT 'total_transactions', '', CAST(total_transactions AS DOUBLE) FROM newest UNION ALL
+    SELECT 'unique_customers', '', CAST(unique_customers AS DOUBLE) FROM newest UNION ALL
+    SELECT 'completion_rate', '', completion_rate / 100.0::DOUBLE FROM newest UNION ALL
+    SELECT 'revenue_by_category', category, {money("revenue", 28)} FROM performance GROUP BY category UNION ALL
+    SELECT 'customers_by_tier', value_tier, CAST(COUNT(*) AS DOUBLE) FROM segments GROUP BY value_tier UNION ALL
+    SELECT 'spend_by_tier', value_tier, {money("total_spend", 28)} / COUNT(*) FROM segments GROUP BY value_tier""",
+)
+def _(spark, d):
+    """The panels of the newest day, read from stored gold tables of which they open one partition."""
+    root, _ran = _gold_of(spark, d, _GOLD_DAYS)
+    summary, performance_, segments_ = (
+        tables.read_table(spark, f"{root}/{t}") for t in ("daily_sales_summary", "product_performance", "customer_segments")
+    )
+    day = reports.newest(summary, "partition_date")
+    shown_day = reports.on_day(summary, "partition_date", day)
+
+    def panel(name: str, df: DataFrame, item: str | None, value: str) -> DataFrame:
+        item = F.lit("") if item is None else F.col(item)
+        return df.select(F.lit(name).alias("panel"), item.alias("item"), F.col(value).cast("double").alias("value"))
+
+    tiers = reports.value_distribution(segments_, day)
+    parts = [
+        *[panel(c, shown_day, None, c) for c in ("total_revenue", "total_transactions", "unique_customers")],
+        panel("completion_rate", reports.latest_fraction(shown_day, "partition_date", "completion_rate"), None, "completion_rate"),
+        panel("revenue_by_category", reports.revenue_by_category(performance_, day), "category", "revenue"),
+        panel("customers_by_tier", tiers, "value_tier", "customer_count"),
+        panel("spend_by_tier", tiers, "value_tier", "avg_spend"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query(
+    "upsert_repeated",
+    f"""WITH {CLEAN},
+    target AS ({_LAST_SALE} WHERE partition_date < '{SPLIT}' GROUP BY store_id),
+    source AS ({_LAST_SALE} WHERE partition_date >= '{SPLIT}' GROUP BY store_id)
+    SELECT * FROM source UNION ALL
+    SELECT * FROM target WHERE store_id NOT IN (SELECT store_id FROM source)""",
+)
+def _(spark, d):
+    """A merge that died after writing the new partitions and before taking away the old rows."""
+    path = new_scratch(spark, "gold")
+    sales = clean(spark, d)
+
+    def measured(df: DataFrame) -> DataFrame:
+        last = F.max(F.date_format("transaction_timestamp", "yyyy"))
+        return df.groupBy("store_id").agg(last.alias("last_year"), F.count("*").alias("sales"))
+
+    upsert(spark, measured(sales.where(F.col("partition_date") < SPLIT)), path, ["store_id"], ["last_year"])
+    source = materialise(measured(sales.where(F.col("partition_date") >= SPLIT)), "source")
+    tables.append_partitioned(source, path, ["last_year"])  # as far as it came
+    upsert(spark, source, path, ["store_id"], ["last_year"])
+    return tables.read_table(spark, path)
 
 
 @query(
@@ -308,3 +460,32 @@ def _(spark, d):
     )
     out = run_sales(spark, cfg, fx.sales_raw(spark, d), fx.products(spark, d), fx.customers(spark, d))
     return out.select("step", "status", "rows")
+
+
+@query(
+    "sales_run_repeated",
+    f"""WITH {CLEAN}
+    SELECT 'bronze' AS layer, '' AS status, (SELECT COUNT(*) FROM sales_raw) AS n, CAST(NULL AS DOUBLE) AS amount UNION ALL
+    SELECT 'silver', status, COUNT(*), {money("total_amount")} FROM clean GROUP BY status""",
+)
+def _(spark, d):
+    """What two runs under one stamp leave in bronze and silver: what one would."""
+    root = new_scratch(spark, "sales-again")
+    cfg = SalesConfig(
+        bronze=f"{root}/bronze", silver=f"{root}/silver", gold=f"{root}/gold", metrics=f"{root}/metrics",
+        as_of=fx.AS_OF, max_product_id=fx.max_product_id(spark, d), checks_enabled=False, aggregate=False,
+        customer_rules=customer_rules(
+            ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"), ("customer_name", "city", "country")
+        ),
+    )
+    inputs = fx.sales_raw(spark, d), fx.products(spark, d), fx.customers(spark, d)
+    for _ in range(2):
+        run_sales(spark, cfg, *inputs)
+    stored = tables.read_table(spark, f"{root}/silver/sales", SALES_SILVER)
+    bronze = spark.read.option("recursiveFileLookup", True).text(f"{root}/bronze/sales").agg(
+        F.lit("bronze").alias("layer"), F.lit("").alias("status"), F.count("*").alias("n"), F.lit(None).cast("double").alias("amount")
+    )
+    kept = stored.groupBy(F.lit("silver").alias("layer"), "status").agg(
+        F.count("*").alias("n"), money_sum(F.col("total_amount")).alias("amount")
+    )
+    return bronze.unionByName(kept)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lakeops.functions.numeric import round_half_up
 from lakeops.operators import annotations as an, checks as dq, envelope_checks as ec
@@ -10,7 +10,7 @@ from lakeops.plans.gated import check_and_promote
 from lakeops.session import new_scratch
 from lakeops.sources import envelopes as ev
 from workload import fixtures as fx
-from workload.registry import CLEAN, RAW, cte, half_up, query
+from workload.registry import CLEAN, MEAN_DIGITS, RAW, cte, half_up, query
 from workload.sales import clean
 
 # --- table checks ---------------------------------------------------------------------
@@ -19,7 +19,7 @@ from workload.sales import clean
 def _check_sql(source: str, bounds: dict) -> str:
     """One SELECT per silver check: (name, metric, value, passes)."""
     count = "CAST(COUNT(*) FILTER (WHERE {}) AS DOUBLE)"
-    units = "CAST(SUM(CAST({0} AS DECIMAL(18, 4))) AS DOUBLE) / COUNT({0})"
+    units = "AVG({0})"
     low_a, high_a = bounds.get("amount_range", (50, 2000))
     low_q, high_q = bounds.get("quantity_range", (1, 10))
     zero = "v <= 0"
@@ -65,7 +65,7 @@ def _check_sql(source: str, bounds: dict) -> str:
             f"customer_id < 1 OR customer_id > {bounds.get('max_customer_id', 1000)}"), zero),
     ]
     rows = " UNION ALL ".join(
-        f"SELECT '{name}' AS check_name, '{metric}' AS metric, v AS value, {passes} AS passed"
+        f"SELECT '{name}' AS check_name, '{metric}' AS metric, {half_up('v', MEAN_DIGITS)} AS value, {passes} AS passed"
         f" FROM (SELECT {value} AS v{'' if value in (repeated, no_columns) else f' FROM {source}'})"
         for name, metric, value, passes in checks
     )
@@ -76,9 +76,16 @@ def _check_sql(source: str, bounds: dict) -> str:
     )
 
 
+EXAMPLE = dq.silver_sales_checks(**dq.EXAMPLE_BOUNDS)
+
+
+def rounded(report: DataFrame) -> DataFrame:
+    return report.withColumn("value", round_half_up(F.col("value"), MEAN_DIGITS))
+
+
 @query("dq_report", f"WITH {CLEAN}, {_check_sql('clean', {})} SELECT * FROM report")
 def _(spark, d):
-    return dq.run_checks(clean(spark, d), dq.silver_sales_checks(), fx.AS_OF)
+    return rounded(dq.run_checks(clean(spark, d), EXAMPLE, fx.AS_OF))
 
 
 _WIDE = {
@@ -87,6 +94,7 @@ _WIDE = {
     "max_customer_id": 10**9,
     "amount_range": (50, 200000),
     "quantity_range": (1, 100),
+    "fresh_hours": 2,
     "max_amount": 1000000,
 }
 
@@ -96,7 +104,7 @@ _WIDE = {
     f"WITH {CLEAN}, {_check_sql('clean', _WIDE)} SELECT * FROM report",
 )
 def _(spark, d):
-    return dq.run_checks(clean(spark, d), dq.silver_sales_checks(**_WIDE), fx.AS_OF)
+    return rounded(dq.run_checks(clean(spark, d), dq.silver_sales_checks(**_WIDE), fx.AS_OF))
 
 
 @query(
@@ -117,7 +125,7 @@ def _(spark, d):
     FROM report""",
 )
 def _(spark, d):
-    report = dq.run_checks(clean(spark, d), dq.silver_sales_checks(), fx.AS_OF)
+    report = dq.run_checks(clean(spark, d), EXAMPLE, fx.AS_OF)
     names = F.array_join("failed_checks", "; ")
     return dq.summarise(report).withColumn("failed_checks", names)
 
@@ -130,7 +138,7 @@ def _(spark, d):
     WHERE NOT passed GROUP BY check_name""",
 )
 def _(spark, d):
-    first = dq.run_checks(clean(spark, d), dq.silver_sales_checks(), fx.AS_OF)
+    first = dq.run_checks(clean(spark, d), EXAMPLE, fx.AS_OF)
     second = dq.run_checks(fx.sales_raw(spark, d), dq.silver_sales_checks(**_WIDE), fx.AS_OF)
     return dq.failure_counts(first.unionByName(second))
 
@@ -155,17 +163,24 @@ _DOCUMENT_CHECKS = (
     SELECT 'document id unique', COUNT(*), COUNT(*) = 0 FROM (SELECT 1 FROM documents GROUP BY doc_id HAVING COUNT(*) > 1) UNION ALL
     SELECT 'text unique', COUNT(*), COUNT(*) = 0 FROM (SELECT 1 FROM documents GROUP BY text HAVING COUNT(*) > 1) UNION ALL
     SELECT 'length matches text', COUNT(*) FILTER (WHERE n_chars <> length(text)), COUNT(*) FILTER (WHERE n_chars <> length(text)) = 0 FROM documents UNION ALL
-    SELECT 'mean length in range', CAST(SUM(n_chars) AS DOUBLE) / COUNT(n_chars), CAST(SUM(n_chars) AS DOUBLE) / COUNT(n_chars) BETWEEN 1 AND 100000 FROM documents UNION ALL
+    SELECT 'mean length in range', floor(AVG(n_chars) * 1e6 + 0.5) / 1e6, CAST(SUM(n_chars) AS DOUBLE) / COUNT(n_chars) BETWEEN 1 AND 100000 FROM documents UNION ALL
     SELECT 'no oversized text', MAX(n_chars), MAX(n_chars) < 100000 FROM documents""",
 )
 def _(spark, d):
-    report = dq.run_checks(fx.table(spark, d, "documents"), _DOCUMENT_CHECKS, fx.AS_OF)
+    report = rounded(dq.run_checks(fx.table(spark, d, "documents"), _DOCUMENT_CHECKS, fx.AS_OF))
     return report.select("check_name", "value", "passed")
 
 
 # --- envelopes ------------------------------------------------------------------------
 
 _ENV = cte("env", [*fx.ENVELOPES, ("ts", "ts")], "events")
+# what is left of the damaged lines
+_LEFT = (
+    cte("marked", [*fx.ENVELOPES, ("ts", "ts"), *fx.DAMAGE], "events")
+    + """, env AS (SELECT * REPLACE (CASE WHEN no_id THEN NULL WHEN empty_id THEN '' ELSE raw_id END AS raw_id),
+      CAST(no_id AS INTEGER) + CAST(no_time AS INTEGER) + CAST(no_data AS INTEGER) AS lacking,
+      raw_id AS inner_id, CASE WHEN no_time OR bad_time THEN NULL ELSE ts END AS known_ts FROM marked)"""
+)
 _ENV_TEXT = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS extracted_at"
 
 
@@ -175,6 +190,13 @@ def envelopes(spark, d) -> DataFrame:
     return ev.open_envelope(ev.to_lines(wrapped))
 
 
+def landed(spark, d) -> DataFrame:
+    """Damaged lines, written and read back."""
+    path = new_scratch(spark, "damaged")
+    ev.write_lines_gz(fx.damaged_lines(spark, d), path, "overwrite")
+    return ev.read_envelope(spark, path)
+
+
 @query("envelope_wrap", f"WITH {_ENV} SELECT stream, raw_id, {_ENV_TEXT}, user_id, note FROM env")
 def _(spark, d):
     wrapped = ev.wrap_envelope(fx.envelope_records(spark, d), "raw_id", "extracted_at")
@@ -211,119 +233,152 @@ def _(spark, d):
 
 @query("stream_counts", "SELECT event_type AS stream, COUNT(*) AS records FROM events GROUP BY 1")
 def _(spark, d):
-    events = fx.table(spark, d, "events")
-    kinds = ("click", "error", "nothing", "purchase", "signup", "view")
-    return ev.stream_counts(
-        ev.union_streams({k: events.where(F.col("event_type") == k) for k in kinds})
+    # whatever streams there are, from one scan
+    return ev.stream_counts(fx.table(spark, d, "events").select(F.col("event_type").alias("stream")))
+
+
+@query(
+    "envelope_damage",
+    f"""WITH {_LEFT} SELECT stream, raw_id, CAST(lacking AS BIGINT) AS lacking, no_data AS without_data FROM env""",
+)
+def _(spark, d):
+    return landed(spark, d).select(
+        "stream", "raw_id", F.size("missing_fields").cast("bigint").alias("lacking"), F.col("data").isNull().alias("without_data")
     )
 
 
 @query(
     "duplicate_ids",
-    f"WITH {_ENV} SELECT stream, raw_id, COUNT(*) AS copies FROM env GROUP BY 1, 2 HAVING COUNT(*) > 1",
+    f"WITH {_LEFT} SELECT stream, raw_id, COUNT(*) AS copies FROM env GROUP BY 1, 2 HAVING COUNT(*) > 1",
 )
 def _(spark, d):
-    return ec.duplicate_ids(envelopes(spark, d))
+    return ec.duplicate_ids(landed(spark, d))
 
 
-_GAPS = """gaps AS (SELECT stream, field, COUNT(*) FILTER (WHERE v IS NULL OR v = '') AS missing,
+_GAPS = """gaps AS (SELECT stream, field, COUNT(*) FILTER (WHERE NOT no_data AND (v IS NULL OR v = '')) AS missing,
     COUNT(*) AS records FROM (
-      SELECT stream, 'note' AS field, note AS v FROM env UNION ALL
-      SELECT stream, 'hint', hint FROM env UNION ALL
-      SELECT stream, 'raw_id', raw_id FROM env UNION ALL
-      SELECT stream, 'user_id', CAST(user_id AS VARCHAR) FROM env)
+      SELECT stream, 'note' AS field, note AS v, no_data FROM env UNION ALL
+      SELECT stream, 'hint', hint, no_data FROM env UNION ALL
+      SELECT stream, 'raw_id', inner_id, no_data FROM env UNION ALL
+      SELECT stream, 'user_id', CAST(user_id AS VARCHAR), no_data FROM env)
     GROUP BY 1, 2 HAVING missing > 0)"""
 _FILLED = "(records - missing) / records::DOUBLE * 100.0::DOUBLE"
 
 
 @query(
     "completeness",
-    f"""WITH {_ENV}, {_GAPS} SELECT stream, field, missing, {half_up(_FILLED)} AS completeness_pct,
+    f"""WITH {_LEFT}, {_GAPS} SELECT stream, field, missing, {half_up(_FILLED)} AS completeness_pct,
       {_FILLED} < 80 AS low FROM gaps""",
 )
 def _(spark, d):
-    return ec.completeness(envelopes(spark, d))
+    return ec.completeness(landed(spark, d))
 
 
-_AGE = f"avg(date_diff('microsecond', ts, TIMESTAMP '{fx.EVENTS_AS_OF}') / 3.6e9::DOUBLE)"
+_AGE = f"avg(date_diff('microsecond', known_ts, TIMESTAMP '{fx.EVENTS_AS_OF}') / 3.6e9::DOUBLE)"
 
 
 @query(
     "mean_age_hours",
-    f"WITH {_ENV} SELECT stream, {half_up(_AGE, 4)} AS mean_age_hours FROM env GROUP BY 1",
+    f"WITH {_LEFT} SELECT stream, {half_up(_AGE, 4)} AS mean_age_hours FROM env GROUP BY 1",
 )
 def _(spark, d):
-    out = ec.mean_age_hours(envelopes(spark, d), fx.EVENTS_AS_OF)
+    out = ec.mean_age_hours(landed(spark, d), fx.EVENTS_AS_OF)
     return out.withColumn("mean_age_hours", round_half_up(F.col("mean_age_hours"), 4))
 
 
-_SCORES = f"""per_id AS (SELECT stream, raw_id, COUNT(*) AS n FROM env GROUP BY 1, 2),
-  scores AS (SELECT stream, CAST(SUM(n) AS BIGINT) AS total_records, CAST(0 AS BIGINT) AS schema_errors,
-    COUNT(*) FILTER (WHERE n > 1) AS duplicate_ids, COUNT(*) FILTER (WHERE n > 1) AS errors,
-    {half_up("(SUM(n) - COUNT(*) FILTER (WHERE n > 1)) / SUM(n)::DOUBLE * 100.0::DOUBLE")} AS quality_score,
-    COUNT(*) FILTER (WHERE n > 1) = 0 AS passed FROM per_id GROUP BY 1)"""
+_SCORES = f"""per_id AS (SELECT stream, raw_id, COUNT(*) AS n, SUM(CAST(lacking > 0 AS INTEGER)) AS broken FROM env GROUP BY 1, 2),
+  counted AS (SELECT stream, CAST(SUM(n) AS BIGINT) AS total_records, CAST(SUM(broken) AS BIGINT) AS schema_errors,
+    COUNT(*) FILTER (WHERE n > 1) AS duplicate_ids FROM per_id GROUP BY 1),
+  scores AS (SELECT *, schema_errors + duplicate_ids AS errors,
+    {half_up("(total_records - schema_errors - duplicate_ids) / total_records::DOUBLE * 100.0::DOUBLE")} AS quality_score,
+    schema_errors + duplicate_ids = 0 AS passed FROM counted)"""
 
 
-@query("quality_score", f"WITH {_ENV}, {_SCORES} SELECT * FROM scores")
+@query("quality_score", f"WITH {_LEFT}, {_SCORES} SELECT * FROM scores")
 def _(spark, d):
-    return ec.quality_score(envelopes(spark, d))
+    return ec.quality_score(landed(spark, d))
 
 
-@query(
-    "dq_stream_report",
-    f"""WITH {_ENV}, {_GAPS}, {_SCORES},
+_REPORT = f"""{_GAPS}, {_SCORES},
     ages AS (SELECT stream, {half_up(_AGE, 4)} AS mean_age_hours FROM env GROUP BY 1),
     warned AS (SELECT stream, COUNT(*) AS fields_with_gaps,
-      COUNT(*) FILTER (WHERE {_FILLED} < 80) AS warnings FROM gaps GROUP BY 1)
-    SELECT s.*, mean_age_hours, coalesce(fields_with_gaps, 0) AS fields_with_gaps,
+      COUNT(*) FILTER (WHERE {_FILLED} < 80) AS warnings FROM gaps GROUP BY 1),
+    report AS (SELECT s.*, mean_age_hours, coalesce(fields_with_gaps, 0) AS fields_with_gaps,
       coalesce(warnings, 0) AS warnings
-    FROM scores s JOIN ages USING (stream) LEFT JOIN warned USING (stream)""",
-)
-def _(spark, d):
-    report = ec.stream_report(envelopes(spark, d), fx.EVENTS_AS_OF)
+    FROM scores s JOIN ages USING (stream) LEFT JOIN warned USING (stream))"""
+
+
+def short_age(report: DataFrame) -> DataFrame:
     return report.withColumn("mean_age_hours", round_half_up(F.col("mean_age_hours"), 4))
 
 
-def _gate(spark, d):
+@query("dq_stream_report", f"WITH {_LEFT}, {_REPORT} SELECT * FROM report")
+def _(spark, d):
+    return short_age(ec.stream_report(landed(spark, d), fx.EVENTS_AS_OF))
+
+
+def _gate(spark, d, times: int = 1):
     root = new_scratch(spark, "gate")
-    wrapped = ev.wrap_envelope(fx.envelope_records(spark, d), "raw_id", "extracted_at")
-    ev.write_jsonl_gz(wrapped, f"{root}/bronze/run")
-    return root, check_and_promote(spark, f"{root}/bronze/run", root, fx.EVENTS_AS_OF)
+    ev.write_lines_gz(fx.damaged_lines(spark, d), f"{root}/bronze/run", "overwrite")
+    for _ in range(times):
+        result = check_and_promote(spark, f"{root}/bronze/run", root, fx.EVENTS_AS_OF)
+    return root, result
+
+
+@query("stored_report", f"WITH {_LEFT}, {_REPORT} SELECT * FROM report")
+def _(spark, d):
+    """The report rows as the gate stored them, after a run that was repeated."""
+    root, result = _gate(spark, d, times=2)
+    stored = spark.read.schema(result.report.schema).json(f"{root}/logs/dq_reports").drop("run")
+    return short_age(stored)
+
+
+@query(
+    "stored_details",
+    f"""WITH {_LEFT}, {_GAPS}
+    SELECT stream, 'schema' AS kind, concat_ws(': ', raw_id, concat_ws(',', CASE WHEN no_id THEN '{ev.RAW_ID}' END,
+        CASE WHEN no_time THEN '{ev.EXTRACTED_AT}' END, CASE WHEN no_data THEN '{ev.DATA}' END)) AS item,
+      1 AS occurrences, NULL AS share FROM env WHERE lacking > 0 UNION ALL
+    SELECT stream, 'duplicate', coalesce(raw_id, ''), COUNT(*), NULL FROM env GROUP BY stream, raw_id HAVING COUNT(*) > 1 UNION ALL
+    SELECT stream, CASE WHEN {_FILLED} < 80 THEN 'warning' ELSE 'gap' END, field, missing, {half_up(_FILLED)} FROM gaps""",
+)
+def _(spark, d):
+    root, _result = _gate(spark, d)
+    kinds = "stream string, kind string, item string, occurrences bigint, share double"
+    return spark.read.schema(kinds).json(f"{root}/logs/dq_details").drop("run")
 
 
 @query(
     "promote_passed",
-    f"""WITH {_ENV}, {_SCORES} SELECT stream, raw_id, {_ENV_TEXT}, note FROM env
+    f"""WITH {_LEFT}, {_SCORES} SELECT stream, raw_id, note FROM env
     WHERE stream IN (SELECT stream FROM scores WHERE passed)""",
 )
 def _(spark, d):
-    root, _result = _gate(spark, d)
+    root, _result = _gate(spark, d, times=2)  # repeating a run promotes nothing twice
     silver = spark.read.parquet(f"{root}/silver")
-    return silver.select(
-        "stream", "raw_id", "extracted_at", F.try_element_at("data", F.lit("note")).alias("note")
-    )
+    return silver.select("stream", "raw_id", F.try_element_at("data", F.lit("note")).alias("note"))
 
 
 @query(
     "promotion_rate",
-    f"""WITH {_ENV}, {_SCORES} SELECT COUNT(*) AS total_streams,
+    f"""WITH {_LEFT}, {_SCORES} SELECT COUNT(*) AS total_streams,
       COUNT(*) FILTER (WHERE passed) AS promoted_streams,
       {half_up("COUNT(*) FILTER (WHERE passed) / COUNT(*)::DOUBLE * 100.0::DOUBLE")} AS promotion_rate,
       CAST(SUM(total_records) AS BIGINT) AS total_records FROM scores""",
 )
 def _(spark, d):
-    return ec.promotion_rate(ec.quality_score(envelopes(spark, d)))
+    return ec.promotion_rate(ec.quality_score(landed(spark, d)))
 
 
 @query(
     "gated_run",
-    f"""WITH {_ENV}, {_SCORES} SELECT stream, '2024-02-01 00:00:00' AS promoted_at, quality_score,
-      total_records AS record_count FROM scores WHERE passed""",
+    f"""WITH {_LEFT}, {_SCORES} SELECT stream, '2024-02-01 00:00:00' AS promoted_at, '{ec.PROMOTER}' AS promoted_by,
+      quality_score, total_records AS record_count FROM scores WHERE passed""",
 )
 def _(spark, d):
     _root, result = _gate(spark, d)
     at = F.date_format("promoted_at", "yyyy-MM-dd HH:mm:ss").alias("promoted_at")
-    return result.promoted.select("stream", at, "quality_score", "record_count")
+    return result.promoted.select("stream", at, "promoted_by", "quality_score", "record_count")
 
 
 # --- annotations ----------------------------------------------------------------------
@@ -348,6 +403,16 @@ def _(spark, d):
     return an.annotation_productivity(fx.annotations(spark, d), ["annotator"])
 
 
+@query(
+    "annotation_normalise",
+    f"""WITH {_ANN} SELECT CAST(doc_id AS VARCHAR) AS doc_id, annotator, CAST(quality AS DOUBLE) AS quality,
+      CAST(NULL AS VARCHAR) AS remark FROM ann""",
+)
+def _(spark, d):
+    wanted = T.StructType.fromDDL("doc_id string, annotator string, quality double, remark string")
+    return an.normalise_annotations(fx.annotations(spark, d), wanted)
+
+
 @query(
     "agreement_rate",
     f"""WITH {_ANN} SELECT annotator, COUNT(*) AS items,

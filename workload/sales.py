@@ -15,6 +15,7 @@ from workload.registry import (
     RAW,
     RULE_SQL,
     SALE_COLUMNS,
+    MEAN_DIGITS,
     SEGMENTS,
     SUMMARY,
     half_up,
@@ -212,13 +213,17 @@ def _(spark, d):
     return summary(spark, d)
 
 
+def priced(df: DataFrame) -> DataFrame:
+    return df.withColumn("avg_selling_price", round_half_up(F.col("avg_selling_price"), MEAN_DIGITS))
+
+
 @query(
     "product_performance",
     f"""WITH {CLEAN}, {PARTS}, {performance()}
     SELECT * FROM performance""",
 )
 def _(spark, d):
-    return gold.product_performance(clean(spark, d), fx.products(spark, d))
+    return priced(gold.product_performance(clean(spark, d), fx.products(spark, d)))
 
 
 @query(
@@ -298,7 +303,7 @@ def _(spark, d):
 @query(
     "revenue_by_category",
     f"""WITH {CLEAN}, {PARTS}, {performance()}
-    SELECT category, {money("revenue")} AS revenue FROM performance
+    SELECT category, {money("revenue", 28)} AS revenue FROM performance
     GROUP BY category ORDER BY revenue DESC, category""",
 )
 def _(spark, d):
@@ -311,7 +316,7 @@ def _(spark, d):
     "value_distribution",
     f"""WITH {CLEAN}, {BUYERS}, {SEGMENTS}
     SELECT value_tier, COUNT(*) AS customer_count,
-      {money("total_spend")} / COUNT(total_spend) AS avg_spend
+      {money("total_spend", 28)} / COUNT(total_spend) AS avg_spend
     FROM segments GROUP BY value_tier""",
 )
 def _(spark, d):
@@ -324,7 +329,7 @@ def _(spark, d):
     "weekly_revenue",
     f"""WITH {CLEAN}, {SUMMARY}
     SELECT strftime(date_trunc('week', CAST(partition_date AS DATE)), '%Y-%m-%d') AS week,
-      {money("total_revenue")} AS weekly_revenue
+      {money("total_revenue", 28)} AS weekly_revenue
     FROM summary GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
 )
 def _(spark, d):
@@ -336,8 +341,8 @@ def _(spark, d):
     "category_performance_30d",
     f"""WITH {CLEAN}, {PARTS}, {performance(per_day=True)}
     SELECT category, COUNT(DISTINCT product_id) AS product_count,
-      {money("revenue")} AS total_revenue,
-      {money("revenue")} / COUNT(revenue) AS avg_product_revenue
+      {money("revenue", 28)} AS total_revenue,
+      {money("revenue", 28)} / COUNT(revenue) AS avg_product_revenue
     FROM performance
     WHERE CAST(data_date AS DATE) >= DATE '{fx.AS_OF_DAY}' - INTERVAL '30' DAY
     GROUP BY category""",
@@ -348,10 +353,11 @@ def _(spark, d):
 
 @query(
     "cross_layer_join",
-    f"""WITH {CLEAN}, {PARTS}, {performance(per_day=True)}, {SUMMARY}
-    SELECT p.category, {money("s.total_revenue")} AS category_revenue
-    FROM performance p JOIN summary s ON p.data_date = s.partition_date
-    GROUP BY p.category ORDER BY category_revenue DESC, category""",
+    f"""WITH {CLEAN}, {PARTS}, {performance(per_day=True)}, {SUMMARY},
+    rows_of AS (SELECT category, data_date, count(*) AS n FROM performance GROUP BY ALL)
+    SELECT category, CAST(sum(n * CAST(total_revenue AS DECIMAL(24, 4))) AS DOUBLE) AS category_revenue
+    FROM rows_of, summary WHERE data_date = partition_date
+    GROUP BY category ORDER BY 2 DESC, 1""",
 )
 def _(spark, d):
     return reports.cross_layer_join(per_day(spark, d), summary(spark, d))
