@@ -248,6 +248,21 @@ def _(spark, d):
     return stored.groupBy("sale_month").agg(F.count("*").alias("row_count"))
 
 
+@query(
+    "used_storage",
+    f"WITH {CLEAN} SELECT 'sales' AS layer, TRUE AS plausible, COUNT(*) AS row_count FROM clean",
+)
+def _(spark, d):
+    """Gigabytes of a table that was just stored: between a byte and a kilobyte a row."""
+    path = new_scratch(spark, "used")
+    tables.write_parquet(clean(spark, d), f"{path}/sales")
+    used = layers.used_gigabytes(layers.lake_inventory(spark, {"sales": f"{path}/sales"}))
+    n = tables.table_size(spark, {"sales": f"{path}/sales"})
+    size = F.col("used_gb") * 1024.0**3 / F.col("row_count")
+    both = n.join(F.broadcast(used), F.lit(True), "left")  # one row each
+    return both.select(F.col("table_name").alias("layer"), size.between(1, 1024).alias("plausible"), "row_count")
+
+
 @query("parquet_upload", f"WITH {RAW} SELECT {SALE_COLUMNS} FROM sales_raw")
 def _(spark, d):
     path = new_scratch(spark, "upload")

@@ -92,6 +92,17 @@ def _(spark, d):
     return out
 
 
+@query(
+    "stage_duration_hourly",
+    f"""WITH {_SAMPLES} SELECT stage, strftime({_HOUR}, '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(seconds) AS runs,
+      {half_up("SUM(seconds) / COUNT(seconds)", 4)} AS mean_seconds FROM samples GROUP BY 1, 2""",
+)
+def _(spark, d):
+    out = metrics.mean_stage_duration(fx.samples(spark, d), "stage", "seconds", "ts", 3600)
+    at = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start")
+    return out.select("stage", at, "runs", round_half_up(F.col("mean_seconds"), 4).alias("mean_seconds"))
+
+
 @query(
     "success_rate",
     f"""WITH {_SAMPLES} SELECT layer, strftime({_HOUR}, '%Y-%m-%d %H:%M:%S') AS window_start,
@@ -200,6 +211,21 @@ def _(spark, d):
     return versioned(spark, d).select("name", "version", "created_at", "prompt")
 
 
+@query(
+    "prompt_new_version",
+    f"""WITH {_PROMPTS} SELECT name, version, label AS labels, concat(label, ', t', version % 3) AS tags,
+      CASE WHEN length(prompt) > 40 THEN left(prompt, 40) || '...' ELSE prompt END AS preview,
+      length(prompt) AS length FROM prompts""",
+)
+def _(spark, d):
+    """A further version takes its label from the first of its tags."""
+    tagged = versioned(spark, d).withColumn(
+        "tags", F.concat("labels", F.array(F.concat(F.lit("t"), (F.col("version") % 3).cast("string"))))
+    )
+    shown = pr.listing(pr.new_version(tagged.drop("labels")), preview_chars=40)
+    return shown.withColumn("length", F.col("length").cast("bigint"))
+
+
 @query(
     "prompt_by_label",
     f"""WITH {_PROMPTS} SELECT 'v1' AS asked, name, version, prompt, coalesce(CAST(temperature AS DOUBLE), 0.7) AS temperature,
