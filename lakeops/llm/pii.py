@@ -96,12 +96,19 @@ ACCOUNT_WORDS = ("iban", "account", "konto", "compte", "cuenta", "ssn", "passpor
 PLAIN_WORDS = ("order", "version", "page", "year", "isbn", "issue", "number", "chapter", "commit", "sha", "id", "ref", "model", "price")
 
 GENERATORS: list[tuple[str, re.Pattern]] = [
-    ("secret", re.compile(r"(?i:pass(?:word|wd|phrase)|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}(?:=|:|\bis\b)\s{0,3}[\"']?([^\s\"',;<>]{4,200})")),
+    ("secret", re.compile(r"(?<![A-Za-z])(?i:pass(?:word|wd|phrase)|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}(?:=|:|\bis\b)\s{0,3}[\"']?([^\s\"',;<>]{4,200})")),
     ("secret", re.compile(r"(?<![A-Za-z0-9_+/-])((?=[A-Za-z_+/-]{0,60}[0-9])[A-Za-z0-9_+/-]{16,200}={0,2})(?![A-Za-z0-9_+/-])")),
     ("email", re.compile(r"([A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s)\s?[A-Za-z0-9-]{1,63}){1,4})")),
     ("account", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:\s?[A-Z0-9]{4}){2,7}(?:\s?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")),
     ("number", re.compile(r"(?<![0-9A-Za-z.+])(\(?[0-9]{2,20}\)?(?:[\x20./-]{1,2}[0-9]{2,20}){0,6})(?![0-9A-Za-z])")),
 ]
+# How keys of well-known services begin.
+_KEY_START = re.compile(r"(?:sk_|pk_|AKIA|ASIA|ghp_|gho_|xox[abp]-|AIza)")
+# whole words only: short ones turn up inside others in any language
+_NAMED = [
+    re.compile(rf"(?<![^\W\d_])(?:{'|'.join(map(re.escape, words))})(?![^\W\d_])")
+    for words in (SECRET_WORDS, PHONE_WORDS, ACCOUNT_WORDS, PLAIN_WORDS)
+]
 _HINT = re.compile(r"[@(\[{=:]|[0-9]|(?:\bis\b)")
 
 
@@ -120,13 +127,13 @@ def features_of(text: str, start: int, end: int, generator: int) -> list[float]:
     counts = Counter(value)
     entropy = -sum(k / n * math.log2(k / n) for k in counts.values())
     before = text[max(0, start - 32) : start].lower()
-    named = [float(any(w in before for w in words)) for words in (SECRET_WORDS, PHONE_WORDS, ACCOUNT_WORDS, PLAIN_WORDS)]
+    named = [float(bool(words.search(before))) for words in _NAMED]
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(value, value[1:]))
     return [
         float(generator), n, len(digits), len(digits) / n, sum(c.isupper() for c in value), sum(c.islower() for c in value),
         sum(not c.isalnum() for c in value), entropy, float(all(c in string.hexdigits for c in value)), changes,
         float(len(digits) > 1 and luhn(digits)), *named, float(before.rstrip(" \"'")[-1:] in ("=", ":")),
-        float(text[end : end + 1] in ('"', "'")), float(_check_account(value)),
+        float(text[end : end + 1] in ('"', "'")), float(_check_account(value)), float(bool(_KEY_START.match(value))),
     ]
 
 
@@ -241,7 +248,9 @@ def labelled(rows: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
             value = pick([chars("0123456789abcdef", some(12, 48)), chars(alnum, some(10, 40)), chars(alnum + "!#$%&*", some(8, 24))])
             return f"{pick(SECRET_WORDS)}{pick(['=', ' = ', ': ', ':'])}{quote}", value + quote
         if kind == 2:
-            return "", pick(["sk_live_", "AKIA", "ghp_", "xoxb-"]) + chars(alnum, some(20, 40))
+            if some(0, 2):
+                return "", pick(["AKIA", "ASIA"]) + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16)
+            return "", pick(["sk_live_", "pk_test_", "ghp_", "xoxb-", "AIza"]) + chars(alnum, some(20, 40))
         if kind == 3:
             return pick(["mail ", "contact ", ""]), f"{pick(filler)}.{some(1, 99)}{pick([' (at) ', '[at]', ' at '])}{pick(filler)}{pick([' (dot) ', '[dot]', ' dot '])}{pick(['com', 'org', 'net'])}"
         if kind == 4:
