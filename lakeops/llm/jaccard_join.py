@@ -2,19 +2,24 @@
 
 A document is the set of its distinct 5-word shingles. Sets fall into bands of size; two
 sets of a Jaccard similarity of at least 0.8 differ in at most (a + b) / 9 shingles, so in
-a band with largest size r in at most k = 2r/9. The shingle domain is cut into k + SPARE
-parts by a hash; the set's shingles in one part make a signature. k differences can spoil
-k parts at most: a set with more than k non-empty parts agrees with every similar set of
-the band in one of them. The few sets with fewer non-empty parts also give every shingle as
+a band with largest size r in at most k = 2r/9. The shingle domain is cut into 5k/4 + SPARE
+parts by a hash; the set's shingles in one part, if two or more, make a signature. k
+differences can spoil k parts at most: a set with more than k such parts agrees with every
+similar set of the band in one of them. The few sets with fewer also give every shingle as
 a signature, which settles pairs of two such sets. A set near the upper end of its band
-also signs for the next band. No similar pair is missed.
-
-Sets that share a signature are candidates. Their true overlap is counted, but not for all
-pairs: each round compares the members of a signature's bucket with its most shared
-member(s); what is linked is united, and buckets whose members are all united are done.
-The others go on with four times as many members to compare with, until every pair of a
-bucket is either compared or united. So a group of n near copies costs about n comparisons,
-and no link between different groups is lost.
+also signs for the next band. No similar pair is missed. (Parts of a single shingle are
+left out because every passage that two documents share would make them candidates.)
+
+Sets that share a signature are candidates. More is promised: similar sets agree in at least
+t = parts - k signatures, so each set goes without its t - 1 most frequent ones. True overlaps
+are counted, but not for all pairs of a signature's bucket. Each set is compared with its pivot, the
+set that leads most of its buckets; that unites
+most of a group of near copies at the cost of one comparison each. Sets that have their pivot
+in common are then joined on what sets them apart from it (prefixes of the rarest hashes
+first), which finds their similar pairs without going through all. What is left in a
+signature's bucket, sets of different pivots that are not united, is compared in rounds with
+one, sixteen, 256 ... of the bucket's sets, until every pair is either compared or united.
+No link between different groups is lost.
 
 Defined cases: a null or wordless text has an empty set and is linked with nothing; fewer
 than five words are one shingle; rows with the same id are one node with several sets; rows
@@ -27,11 +32,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
-from pyspark.sql.types import BooleanType
 
 from lakeops.llm.frames import components, small_side
 from lakeops.llm.words import hidden
@@ -40,10 +43,12 @@ from lakeops.session import materialise
 WORDS = 5
 #: The similarity as a ratio: 4 / 5.
 NUM, DEN = 4, 5
-#: Parts beyond k, so that empty parts hardly ever use up the guarantee.
+#: Parts beyond 5k/4, so that poor parts hardly ever use up the guarantee.
 SPARE = 8
 #: Bands grow by 1 / 0.64: two steps of the largest ratio between similar sets.
 GROWTH = (25, 16)
+#: How many times as many sets of a bucket the next round compares with.
+STEP = 16
 _CACHE_WORDS = 500_000
 _U = np.uint64
 
@@ -88,54 +93,71 @@ def band_of(size: int) -> tuple[int, int]:
         band, low = band + 1, top + 1
 
 
-def sign(u: np.ndarray) -> np.ndarray:
-    """All signatures of a set."""
+def sign(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of a set, and beside each -(2 t + place).
+
+    Place 0 is the set's own band, 1 the next. A similar set of that band agrees in at least
+    t of the place's signatures (1 where the parts don't promise more).
+    """
     size = len(u)
     if not size:
-        return np.empty(0, _U)
+        return np.empty(0, _U), np.empty(0, np.int64)
     band, top = band_of(size)
     largest_partner = size * DEN // NUM
     places = [(band, top)]
     if largest_partner > top:
         places.append(band_of(top + 1))
-    out = []
+    out, notes = [], []
     inner = mix(u + _U(0x632BE59BD9B4E019))
-    for number, most in places:
-        parts = 2 * most // 9 + SPARE
+    for place, (number, most) in enumerate(places):
+        parts = 5 * (2 * most // 9) // 4 + SPARE
         part = (u % _U(parts)).astype(np.int64)
         total = np.zeros(parts, _U)
         np.add.at(total, part, inner)
-        used = np.flatnonzero(np.bincount(part, minlength=parts))
+        used = np.flatnonzero(np.bincount(part, minlength=parts) > 1)
         salt = mix(np.array([number + 1], _U))
+        agree = len(used) - (size + min(largest_partner, most)) // 9
         out.append(mix(total[used] + salt * (used.astype(_U) + _U(1))))
-        if len(used) <= (size + min(largest_partner, most)) // 9:
+        if agree < 1:
             out.append(mix(u + salt))
-    return np.concatenate(out)
+        count = sum(map(len, out)) - sum(map(len, notes))
+        notes.append(np.full(count, -(2 * max(agree, 1) + place), np.int64))
+    return np.concatenate(out), np.concatenate(notes)
+
+
+ROWS = "sig bigint, id bigint, n bigint, rest bigint"
+
+
+def _sign_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ROWS: a document's signatures (n < 0, see sign), and one row that describes its set.
+
+    That row holds the set's size as n and its 128-bit digest as sig and rest.
+    """
+    hashes = WordHashes()
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            out: list[tuple[np.ndarray, ...]] = []
+            for doc, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                u = shingle_set(text, hashes)
+                signed, notes = sign(u if doc is not None else u[:0])
+                digest = np.frombuffer(xxhash.xxh3_128_digest(u.tobytes()), np.int64)
+                n, rest = np.append(notes, len(u)), np.zeros(len(signed) + 1, np.int64)
+                rest[-1] = digest[1]
+                out.append((np.append(signed.view(np.int64), digest[0]), np.full(len(n), doc or 0, np.int64), np.full(len(n), doc is None), n, rest))
+            sig, ids, no_id, n, rest = (np.concatenate(c) for c in zip(*out))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sig), pa.array(ids, mask=no_id), pa.array(n), pa.array(rest)], ["sig", "id", "n", "rest"]
+            )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], what: str) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         for start in range(0, batch.num_rows, 512):
             part = batch.slice(start, 512)
-            sets = [shingle_set(t, hashes) for t in part.column("text").to_pylist()]
-            if what == "sets":
-                blobs = pa.array([u.tobytes() for u in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("id"), blobs], ["id", "shingles"])
-                continue
-            signed = [sign(u) for u in sets]
-            ends = np.cumsum([0, *map(len, signed)]).astype(np.int32)
-            flat = np.concatenate(signed).view(np.int64) if signed else np.empty(0, np.int64)
-            digests = [xxhash.xxh3_128_digest(u.tobytes()) for u in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("id"),
-                    pa.array([len(u) for u in sets], pa.int64()),
-                    pa.array(digests, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                ],
-                ["id", "n_shingles", "digest", "signatures"],
-            )
+            blobs = [shingle_set(t, hashes).tobytes() for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(blobs, pa.binary())], ["id", "shingles"])
 
 
 def _narrow(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -143,60 +165,55 @@ def _narrow(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by signature: those that have their signature in common with another row."""
-    last: tuple[int, int] | None = None  # the latest row, and whether it was given out
-    given = True
+    """Of rows sorted by signature: those that share theirs with another, and all that describe sets."""
+    last, given = None, True  # the latest row, and whether it was given out
     for batch in batches:
-        sig, ids = (batch.column(i).to_numpy() for i in (0, 1))
-        if not len(sig):
+        if not batch.num_rows:
             continue
+        sig, n = batch.column("sig").to_numpy(), batch.column("n").to_numpy()
         same = sig[1:] == sig[:-1]
-        as_before = last is not None and last[0] == sig[0]
-        keep = np.zeros(len(sig), bool)
+        as_before = last is not None and last.column("sig")[0].as_py() == sig[0]
+        keep = n >= 0
         keep[1:] |= same
         keep[:-1] |= same
         keep[0] |= as_before
-        head = [] if given or not as_before else [last]
-        out_sig = np.concatenate([np.array([x[0] for x in head], np.int64), sig[keep]])
-        out_id = np.concatenate([np.array([x[1] for x in head], np.int64), ids[keep]])
-        last, given = (int(sig[-1]), int(ids[-1])), bool(keep[-1])
-        if len(out_sig):
-            yield pa.RecordBatch.from_arrays([pa.array(out_sig), pa.array(out_id)], ["sig", "id"])
+        if as_before and not given:
+            yield last
+        yield batch.filter(pa.array(keep))
+        last, given = batch.slice(batch.num_rows - 1, 1), bool(keep[-1])
 
 
-@F.pandas_udf(BooleanType())
-def similar(left: pd.Series, right: pd.Series) -> pd.Series:
-    """100 * intersection >= 80 * union, for sorted sets of hashes."""
-    out = []
-    for x, y in zip(left, right):
-        a, b = np.frombuffer(x, _U), np.frombuffer(y, _U)
-        common = len(a) + len(b) - len(np.union1d(a, b))
-        out.append(bool(common) and DEN * common >= NUM * (len(a) + len(b) - common))
-    return pd.Series(out, dtype=bool)
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """linked: 100 * intersection >= 80 * union; difference: the hashes in one set only."""
+    for batch in batches:
+        linked, differences = [], []
+        for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
+            a, b = np.frombuffer(x, _U), np.frombuffer(y, _U)
+            apart = np.setxor1d(a, b, assume_unique=True)
+            common = (len(a) + len(b) - len(apart)) // 2
+            linked.append(bool(common) and DEN * common >= NUM * (len(apart) + common))
+            differences.append(apart.view(np.int64))
+        ends = np.cumsum([0, *map(len, differences)]).astype(np.int32)
+        flat = np.concatenate(differences) if differences else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+            ["a", "b", "linked", "apart"],
+        )
 
 
 def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_shingles, component: one row per row of ``docs``."""
     rows = _narrow(docs, doc_id, text)
-    signed = rows.mapInArrow(
-        lambda it: _sets(it, "signatures"), "id bigint, n_shingles bigint, digest binary, signatures array<bigint>"
-    )
-    # two outputs of one pass: the narrow table here, the signatures' buckets below
-    signed = materialise(signed, "signed")
-    sets = signed.select("id", "n_shingles", "digest")
     buckets = materialise(
-        signed.where("id IS NOT NULL")
-        .select(F.explode("signatures").alias("sig"), "id")
-        .repartition("sig")
-        .sortWithinPartitions("sig")
-        .mapInArrow(_shared, "sig bigint, id bigint"),
-        "buckets",
+        rows.mapInArrow(_sign_all, ROWS).repartition("sig").sortWithinPartitions("sig").mapInArrow(_shared, ROWS), "buckets"
     )
+    sets = buckets.where("n >= 0").select("id", F.col("n").alias("n_shingles"), "sig", "rest")
     # copies of one set are one class, known by its smallest id
     known = sets.where("id IS NOT NULL AND n_shingles > 0")
-    classes = materialise(known.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    rep_of = materialise(known.join(classes, "digest").select("id", "rep").distinct(), "reps")
-    links = materialise(_resolve(rows, buckets, rep_of), "links")
+    classes = materialise(known.groupBy("sig", "rest").agg(F.min("id").alias("rep")), "classes")
+    rep_of = materialise(known.join(classes, ["sig", "rest"]).select("id", "rep", "n_shingles").distinct(), "reps")
+    buckets = buckets.where("n < 0").select("sig", "id", "n")
+    links = _resolve(rows, buckets, rep_of)
     nodes = components(links.select("a", "b").unionByName(rep_of.select(F.col("id").alias("a"), F.col("rep").alias("b"))))
     found = nodes.select(F.col("node").alias("_node"), "component")
     return sets.join(found, F.col("id") == F.col("_node"), "left").select(
@@ -206,50 +223,138 @@ def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def _resolve(rows: DataFrame, buckets: DataFrame, rep_of: DataFrame) -> DataFrame:
     """Links (a, b) between classes that connect whatever is connected by similar pairs."""
-    spark = rows.sparkSession
-    of_class = buckets.join(rep_of, "id").select("sig", "rep").distinct()
-    several = of_class.groupBy("sig").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x < y").select("sig")
-    members = materialise(of_class.join(several, "sig"), "members")
-    shared = members.groupBy("rep").agg(F.count(F.lit(1)).alias("shared"))
-    members = materialise(members.join(shared, "rep"), "members")
-    wanted = materialise(members.select(F.col("rep").alias("_rep")).distinct(), "wanted")
-    texts = rows.join(small_side(wanted), F.col("id") == F.col("_rep"), "left_semi")
-    sets = materialise(texts.mapInArrow(lambda it: _sets(it, "sets"), "id bigint, shingles binary").distinct(), "sets")
-
-    none = spark.createDataFrame([], "a bigint, b bigint")
-    links, tested, width, first = none, none, 1, True
+    # the sizes of a class, least and greatest should an id have several sets
+    sizes = materialise(rep_of.groupBy("rep").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")), "sizes")
+    of_class = buckets.join(rep_of.select("id", "rep").distinct(), "id").select("sig", "rep", "n").distinct()
+    several = of_class.groupBy("sig").agg(F.min("rep").alias("x"), F.max("rep").alias("y"), F.count(F.lit(1)).alias("size"))
+    met = of_class.join(several.where("x < y").select("sig", "size"), "sig")
+    # a set that agrees with a similar one in t signatures agrees in one of all but its t - 1
+    # most frequent ones: what many share, such as a passage, makes no candidates
+    hottest = F.row_number().over(W.partitionBy("rep", "n").orderBy(F.desc("size"), "sig"))
+    kept = met.withColumn("hot", hottest).where(F.col("hot") >= F.floor(-F.col("n") / 2)).select("sig", "rep")
+    kept = materialise(kept.distinct(), "kept")
+    several = kept.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = materialise(kept.join(several, "sig"), "members")
+    shared = members.groupBy("rep").agg(F.sum("size").alias("shared"))
+    members = materialise(members.drop("size").join(shared, "rep").join(sizes, "rep"), "members")
+
+    # each set is compared with its pivot: of the sets that lead its buckets, of similar
+    # size, the one it meets most often; the set that meets most others leads a bucket
+    order = W.partitionBy("sig").orderBy(F.desc("shared"), "rep")
+    ranked = members.withColumns({
+        "head": F.first("rep").over(order), "head_low": F.first("low").over(order), "head_high": F.first("high").over(order)
+    })
+    led = ranked.where("rep <> head").where(_sizes_fit("low", "high", "head_low", "head_high"))
+    often = led.groupBy(F.col("rep").alias("b"), "head").agg(F.struct(F.count(F.lit(1)), -F.col("head")).alias("often"))
+    pivots = materialise(often.groupBy("b").agg(F.max_by("head", "often").alias("a")), "pivots")
+    first = _verify(rows, pivots.select("a", "b"))
+    links = first.where("linked").select("a", "b")
+    tested = first.select("a", "b")
+
+    # sets with one pivot: by what sets them apart from it
+    # (an id with several sets gives several answers; it goes without a family)
+    single = materialise(first.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy("b"))).where("_n = 1").drop("_n"), "single")
+    family = _family_candidates(single, sizes)
+    more = _verify(rows, _ordered(family).join(_ordered(tested), ["a", "b"], "left_anti").distinct())
+    links = links.unionByName(more.where("linked").select("a", "b"))
+    tested = _ordered(tested.unionByName(more.select("a", "b")))
+
+    # what is left in a bucket: sets of different families that are not united
+    is_pivot = pivots.select(F.col("a").alias("rep")).distinct().withColumn("_pivot", F.lit(True))
+    of_family = (
+        members.select("rep").distinct()
+        .join(single.select(F.col("b").alias("rep"), F.col("a").alias("_of")), "rep", "left")
+        .join(is_pivot, "rep", "left")
+        .select("rep", F.when(F.col("_pivot"), F.col("rep")).otherwise(F.coalesce("_of", "rep")).alias("family"))
+    )
+    of_family = materialise(of_family.groupBy("rep").agg(F.min("family").alias("family")), "families")
+    width, label = 1, None
     while True:
-        open_rows = materialise(members, "members")
-        if open_rows.isEmpty():
+        if label is None:  # as long as no round finds a link, what is united stays the same
+            label = components(links).select(F.col("node").alias("rep"), F.col("component").alias("_label"))
+            label = materialise(label, "labels")
+        labelled = members.select("sig", "rep", "shared", "low", "high").join(of_family, "rep").join(label, "rep", "left")
+        labelled = labelled.withColumn("label", F.coalesce("_label", "rep")).drop("_label")
+        size = labelled.groupBy("sig").agg(
+            F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y"),
+            F.min("family").alias("f"), F.max("family").alias("g"),
+        )
+        members = materialise(labelled.join(size.where((F.col("x") < F.col("y")) & (F.col("f") < F.col("g")) & (F.col("n") > width // STEP + 1)).select("sig"), "sig"), "members")
+        if members.isEmpty():
             return links
-        order = W.partitionBy("sig").orderBy(F.desc("shared"), "rep")
-        ranked = open_rows.withColumn("rank", F.row_number().over(order))
+        ranked = members.withColumn("rank", F.row_number().over(order))
         heads = ranked.where(F.col("rank") <= width).select(
-            F.col("sig"), F.col("rep").alias("head"), F.col("rank").alias("head_rank"), F.col("shared").alias("head_shared"), F.col("label").alias("head_label") if not first else F.col("rep").alias("head_label")
-        )
-        own = F.col("rep") if first else F.col("label")
-        pairs = ranked.join(heads, "sig").where((F.col("rank") > F.col("head_rank")) & (own != F.col("head_label")))
-        if first:  # one comparison a set: with the most shared of those it meets
-            pairs = pairs.groupBy(F.col("rep").alias("b")).agg(F.max_by("head", F.struct("head_shared", -F.col("head"))).alias("a"))
-        else:
-            pairs = pairs.select(F.col("head").alias("a"), F.col("rep").alias("b"))
-        new = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = new.join(tested, ["a", "b"], "left_anti")
-        left, right = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"set_{k}")) for k in ("a", "b"))
-        checked = materialise(
-            new.join(right, "b").join(left, "a").select("a", "b", similar("set_a", "set_b").alias("linked")), "checked"
+            "sig", *[F.col(c).alias(f"head_{c}") for c in ("rep", "rank", "label", "family", "low", "high")]
         )
-        links = materialise(links.unionByName(checked.where("linked").select("a", "b")).distinct(), "links")
-        tested = materialise(tested.unionByName(checked.select("a", "b")).distinct(), "tested")
-        label = components(links).select(F.col("node").alias("rep"), F.col("component").alias("new_label"))
-        labelled = open_rows.select("sig", "rep", "shared").join(label, "rep", "left").select(
-            "sig", "rep", "shared", F.coalesce("new_label", "rep").alias("label")
+        pairs = ranked.join(heads, "sig").where(
+            (F.col("rank") > F.col("head_rank")) & (F.col("label") != F.col("head_label")) & (F.col("family") != F.col("head_family"))
         )
-        size = labelled.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y"))
-        # done: all united, or every pair was compared in the round that just ended
-        still = (F.col("x") < F.col("y")) if first else (F.col("x") < F.col("y")) & (F.col("n") > width + 1)
-        members = labelled.join(size.where(still).select("sig"), "sig")
-        width, first = (1 if first else width * 4), False
+        pairs = pairs.where(_sizes_fit("low", "high", "head_low", "head_high"))
+        new = _ordered(pairs.select(F.col("head_rep").alias("a"), F.col("rep").alias("b"))).distinct()
+        checked = _verify(rows, new.join(tested, ["a", "b"], "left_anti"))
+        found = checked.where("linked").select("a", "b")
+        if not found.isEmpty():
+            links, label = links.unionByName(found), None
+        tested = tested.unionByName(checked.select("a", "b"))
+        # buckets of up to width + 1 sets are through; the next round compares with more of each
+        width *= STEP
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _sizes_fit(low: str, high: str, other_low: str, other_high: str) -> str:
+    """Sets of too different sizes are not similar, whatever they hold."""
+    return f"{DEN} * {high} >= {NUM} * {other_low} AND {DEN} * {other_high} >= {NUM} * {low}"
+
+
+def _verify(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """a, b, linked, apart (hashes in one of the sets only), stored; only the pairs' texts are read again."""
+    pairs = materialise(pairs, "pairs")
+    wanted = materialise(pairs.select(F.col("a").alias("_rep")).union(pairs.select("b")).distinct(), "wanted")
+    texts = rows.join(small_side(wanted), F.col("id") == F.col("_rep"), "left_semi")
+    sets = materialise(texts.mapInArrow(_sets, "id bigint, shingles binary"), "sets")
+    if sets.count() > wanted.count():  # rows that repeat an id
+        sets = sets.distinct()
+    left, right = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"set_{k}")) for k in ("a", "b"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b")
+    return materialise(both.mapInArrow(_compare, "a bigint, b bigint, linked boolean, apart array<bigint>"), "checked")
+
+
+def _family_candidates(first: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets with one pivot that may be similar, of which one is not linked with it.
+
+    With Dx the hashes that set x apart from the pivot, two sets differ in Dx xor Dy. They
+    are similar only if Dx and Dy have t >= (dx + dy - k) / 2 hashes in common, k = (nx + ny)
+    / 9. Ordered from the rarest in the family, Dx and Dy then share a hash among their first
+    (dx - dy + k) / 2 + 1 and (dy - dx + k) / 2 + 1. What many members have changed alike
+    comes late in that order, so pairs meet only over changes that few others have.
+    """
+    n = sizes.select(F.col("rep").alias("x"), F.col("low").alias("n"), F.col("high").alias("n_high"))
+    own = first.select(F.col("a").alias("c"), F.col("b").alias("x"), "linked", "apart").join(n, "x")
+    pivot = sizes.select(F.col("rep").alias("c"), F.col("low").alias("nc"))
+    mixed = own.groupBy("c").agg(F.count(F.lit(1)).alias("m"), F.bool_and("linked").alias("all")).where("m > 1 AND NOT all")
+    own = own.join(mixed.select("c"), "c").join(pivot, "c")
+    own = own.select("c", "x", "linked", "n", "n_high", "nc", F.size("apart").alias("d"), F.explode("apart").alias("e"))
+    own = materialise(own, "apart")
+    rare = own.groupBy("c", "e").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    # a hash that no other member has joins nothing, but it counts in the order: first
+    placed = own.join(rare, ["c", "e"], "left").withColumn("often", F.coalesce("often", F.lit(1)))
+    order = W.partitionBy("c", "x").orderBy("often", "e")
+    placed = placed.withColumn("pos", F.row_number().over(order)).where("often > 1")
+    # the longest prefix that any partner asks for: partners without a link to the pivot are
+    # more than (n + nc) / 9 away from it, others of any distance
+    from_open = F.col("pos") <= (F.col("d") + (F.col("n_high") - F.col("nc")) / 9) / 2 + 1
+    from_any = F.col("pos") <= (F.col("d") + F.col("n_high") / 4) / 2 + 1
+    placed = materialise(placed.where(from_open | (from_any & ~F.col("linked"))), "prefixes")
+    open_side = placed.where(~F.col("linked")).select("c", "e", *[F.col(c).alias(f"{c}_a") for c in ("x", "d", "n_high", "pos")])
+    other = placed.where(from_open).select("c", "e", *[F.col(c).alias(f"{c}_b") for c in ("x", "d", "n_high", "pos")])
+    met = open_side.join(other, ["c", "e"]).where("x_a <> x_b")
+    k = F.floor((F.col("n_high_a") + F.col("n_high_b")) / 9)
+    gap = F.col("d_a") - F.col("d_b")
+    met = met.where((F.abs(gap) <= k) & (F.col("pos_a") <= (gap + k) / 2 + 1) & (F.col("pos_b") <= (k - gap) / 2 + 1))
+    return met.select(F.col("x_a").alias("a"), F.col("x_b").alias("b")).distinct()
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
