@@ -28,8 +28,11 @@ not read.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -37,86 +40,115 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 SHARD_IDS = 1 << 21
 #: A rule must replace so many pairs in its shard.
-MIN_PAIRS = 24
+MIN_PAIRS = 96
 SHARD_SCHEMA = (
     "shard int, doc_ids array<bigint>, doc_tokens array<int>, doc_symbols array<int>, n_tokens bigint,"
     " first_rule int, end_id int, rules binary, lengths binary, symbols binary"
 )
-_CACHE_CHUNKS = 1_000_000
+#: A round goes down to this fraction of the most frequent pair.
+STEP = 16
+_CACHE_CHUNKS = 1_500_000
 _END = np.uint32(0xFFFFFFFF)
 
 
+class Chunks(dict):
+    """Numbers chunks as they come up and remembers the new ones."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
+# The first of the signs that follow a word up to white space. The word ends in a letter of
+# ASCII or of the two-byte range from A with grave to y with diaeresis.
+_SIGN = rb"[!-/:-@\[-`{-~]"
+_MARKED = re.compile(
+    rb"(%s)(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))(?=%s*(?:\s|\Z))" % (_SIGN, _SIGN)
+)
+
+
 class ChunkEncoder:
     """Encodes texts by looking up their white-space separated chunks.
 
-    The tokenizer drops white space and never joins what it separates, so a text's ids are
-    the ids of its chunks. Each new chunk is encoded once; letters-only chunks go to the
-    tokenizer as one line, and the ids that end a word tell them apart again.
+    The tokenizer drops white space and never joins what it separates, nor a word and the
+    signs after it, so a text's ids are the ids of its chunks. Each new chunk
+    is encoded once. Lower-case words go in long lines to a tokenizer with the same model
+    that cuts at spaces only; the ids that end a word tell them apart again.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        # one line at a time: threads of the library's own would only get in Spark's way
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers as pre
+
+        self.tokenizer, self.by_space, self.by_space_ascii = (Tokenizer.from_file(path) for _ in range(3))
+        for t in (self.by_space, self.by_space_ascii):
+            t.normalizer = normalizers.Sequence([])
+        self.by_space.pre_tokenizer = pre.Sequence([pre.WhitespaceSplit(), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.by_space_ascii.pre_tokenizer = pre.WhitespaceSplit()
         vocab = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
         self.ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.codes: dict[bytes, int] = {}
-        self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.codes) > _CACHE_CHUNKS:
+        self.chunks = Chunks()
+        # the empty chunk ends a document
+        self.chunks[b""] = 0
+        self.ids, self.starts, self.sizes = np.array([_END]), np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def encode(self, texts: list[str | None]) -> np.ndarray:
+        """The ids of all texts in one array, ``_END`` after each text."""
+        if len(self.chunks) > _CACHE_CHUNKS:
             self._forget()
-        chunks = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
-        codes = self.codes
-        new = {c for words in chunks for c in words if c not in codes}
-        if new:
-            self._learn(sorted(new))
-        out = []
-        for words in chunks:
-            code = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-            out.append(gather(self.ids, self.starts[code], self.sizes[code]))
-        return out
+        words: list[bytes] = []
+        for t in texts:
+            raw = (t or "").encode("utf-8", "surrogatepass").lower()
+            # a special token's text stays whole
+            words += (raw if b"<|" in raw else _MARKED.sub(rb" \1", raw)).split()
+            words.append(b"")
+        code = np.fromiter(map(self.chunks.__getitem__, words), np.int64, len(words))
+        if self.chunks.new:
+            self._learn(self.chunks.new)
+            self.chunks.new = []
+        return gather(self.ids, self.starts[code], self.sizes[code])
 
     def _learn(self, chunks: list[bytes]) -> None:
         texts = [c.decode("utf-8", "surrogatepass") for c in chunks]
-        plain = [i for i, t in enumerate(texts) if t.isalpha()]
-        # a word and its full stop or comma are two pieces for the tokenizer anyway
-        marked = [i for i, t in enumerate(texts) if len(t) > 1 and t[-1] in ".," and t[:-1].isalpha()]
-        words = list(dict.fromkeys([texts[i] for i in plain] + [texts[i][:-1] for i in marked]))
-        known = dict(zip(words, self._encode_words(words)))
-        mark = {m: self._encode_one(m) for m in ".,"}
-        ids: list[np.ndarray | None] = [None] * len(texts)
-        for i in plain:
-            ids[i] = known[texts[i]]
-        for i in marked:
-            ids[i] = np.concatenate([known[texts[i][:-1]], mark[texts[i][-1]]])
-        full = [self._encode_one(t) if e is None else e for t, e in zip(texts, ids)]
-        sizes = np.array([len(x) for x in full], np.int64)
-        base = len(self.codes)
-        self.codes.update((c, base + i) for i, c in enumerate(chunks))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, *full])
-
-    def _encode_one(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def _encode_words(self, words: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            ids = self._encode_one(" ".join(part))
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(part) and (not len(ends) or ends[-1] == len(ids)):
-                out += np.split(ids, ends[:-1])
-            else:  # a letter that lower-cases to something else, for one
-                out += [self._encode_one(w) for w in part]
-        return out
+        kind = np.array([_kind(t) for t in texts], np.int8)
+        ids, sizes = [self.ids], np.zeros(len(texts), np.int64)
+        order = np.argsort(kind, kind="stable")
+        odd = order[kind[order] == 2].tolist()
+        for which, tokenizer in ((0, self.by_space_ascii), (1, self.by_space)):
+            words = order[kind[order] == which]
+            for at in range(0, len(words), 512):
+                part = words[at : at + 512]
+                line = " ".join([texts[i] for i in part])
+                line = line.lower() if which else line
+                got = np.array(tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
+                ends = np.flatnonzero(self.ends_word[got]) + 1
+                if len(ends) != len(part) or ends[-1] != len(got):
+                    raise ValueError("the tokenizer does not end every word with one id")
+                ids.append(got)
+                sizes[part] = np.diff(ends, prepend=0)
+        for i in odd:
+            ids.append(np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32))
+            sizes[i] = len(ids[-1])
+        starts = np.empty(len(texts), np.int64)
+        starts[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
+        self.ids = np.concatenate(ids)
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+
+
+def _kind(t: str) -> int:
+    """0 for a word of ASCII letters, 1 for one that normalising leaves one word, else 2."""
+    if t.isascii():
+        return 0 if t.isalpha() else 2
+    return 1 if t.isalpha() and max(t) < "\u0250" and "\u0130" not in t and is_normalized("NFC", t) else 2
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -130,26 +162,29 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) -> tuple[np.ndarray, np.ndarray]:
     """Shortened symbols and the rules, an array of pairs. ``_END`` is never part of a pair.
 
-    A round replaces all pairs at least a quarter as frequent as the most frequent one.
+    A round replaces all pairs at least a ``STEP``-th as frequent as the most frequent one.
     Counting goes by hash buckets first; only pairs in full buckets are counted exactly.
     """
     rules: list[np.ndarray] = []
-    n_rules, bits = 0, 20
+    n_rules, bits = 0, 16
     while len(symbols) > 1:
         left, right = symbols[:-1], symbols[1:]
-        usable = (left != _END) & (right != _END)
-        key = (left.astype(np.uint64) << np.uint64(32)) | right
-        bucket = (key * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int32)
-        full = np.bincount(bucket[usable], minlength=1 << bits)
-        top = int(full.max(initial=0))
+        bucket = (((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - bits)
+        ends = np.flatnonzero(symbols == _END)
+        bucket[ends[ends < len(bucket)]] = 1 << bits
+        bucket[ends[ends > 0] - 1] = 1 << bits
+        full = np.bincount(bucket, minlength=(1 << bits) + 1)
+        full[-1] = 0
+        top = int(full.max())
         if top < min_pairs:
             break
-        least = max(min_pairs, top // 4)
-        at = np.flatnonzero((full >= least)[bucket] & usable)
-        pairs, inverse, counts = np.unique(key[at], return_inverse=True, return_counts=True)
+        least = max(min_pairs, top // STEP)
+        at = np.flatnonzero((full >= least)[bucket])
+        key = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
+        pairs, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
         good = counts >= least
-        if not good.any():  # buckets were full of different rare pairs: count exactly
-            least = max(min_pairs, int(counts.max()) // 4)
+        if not good.any():  # the buckets were full of different rare pairs
+            least = max(min_pairs, int(counts.max()) // STEP)
             good = counts >= least
             if not good.any():
                 break
@@ -207,9 +242,10 @@ def unpack24(data: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u4")
 
 
-def make_shard(number: int, ids: list, tokens: list[np.ndarray], first_rule: int, end_id: int) -> dict:
-    joined = np.concatenate([x for t in tokens for x in (t, np.array([_END]))]).astype(np.uint32)
-    symbols, rules = re_pair(joined, first_rule)
+def make_shard(number: int, ids: list, stream: np.ndarray, first_rule: int, end_id: int) -> dict:
+    """A shard from the documents' ids, ``_END`` after each document."""
+    symbols, rules = re_pair(stream, first_rule)
+    symbols = symbols.copy()
     ends = np.flatnonzero(symbols == _END)
     symbols[ends] = end_id
     if first_rule + len(rules) >= 1 << 24:
@@ -217,9 +253,9 @@ def make_shard(number: int, ids: list, tokens: list[np.ndarray], first_rule: int
     return {
         "shard": number,
         "doc_ids": ids,
-        "doc_tokens": [len(t) + 1 for t in tokens],
-        "doc_symbols": np.diff(np.r_[-1, ends]).tolist(),
-        "n_tokens": len(joined),
+        "doc_tokens": np.diff(np.flatnonzero(stream == _END), prepend=-1).tolist(),
+        "doc_symbols": np.diff(ends, prepend=-1).tolist(),
+        "n_tokens": len(stream),
         "first_rule": first_rule,
         "end_id": end_id,
         "rules": rules.astype("<u4").tobytes(),
@@ -274,21 +310,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
             _encoders[tokenizer] = ChunkEncoder(tokenizer)
         encoder = _encoders[tokenizer]
         first_rule = len(encoder.ends_word)
-        number, ids, tokens, size = 0, [], [], 0
+        number, ids, streams, size = 0, [], [], 0
 
         def shard() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([make_shard(number, ids, tokens, first_rule, end_id)], SHARD_ARROW)
+            made = make_shard(number, ids, np.concatenate(streams), first_rule, end_id)
+            return pa.RecordBatch.from_pylist([made], SHARD_ARROW)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                for i, t in zip(part.column("id").to_pylist(), encoder.encode(part.column("text").to_pylist())):
-                    ids.append(i)
-                    tokens.append(t)
-                    size += len(t) + 1
-                    if size >= SHARD_IDS:
-                        yield shard()
-                        number, ids, tokens, size = number + 1, [], [], 0
+            for at in range(0, batch.num_rows, 500):  # documents are never cut, shards end between them
+                part = batch.slice(at, 500)
+                ids += part.column("id").to_pylist()
+                streams.append(encoder.encode(part.column("text").to_pylist()))
+                size += len(streams[-1])
+                if size >= SHARD_IDS:
+                    yield shard()
+                    number, ids, streams, size = number + 1, [], [], 0
         if ids:
             yield shard()
 

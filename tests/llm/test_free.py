@@ -27,11 +27,16 @@ def pairs(rows):
 # --- token grammars
 
 
+def stream(documents):
+    """Documents one after the other, each with the mark of its end."""
+    return np.concatenate([x for d in documents for x in (d, np.array([0xFFFFFFFF], np.uint32))]).astype(np.uint32)
+
+
 def test_re_pair_round_trip():
     rng = np.random.default_rng(1)
     for first, n in ((50, 5000), (3, 4000), (2, 3000), (50, 1), (50, 0)):
         ids = [rng.integers(0, first, int(k)).astype(np.uint32) for k in rng.integers(0, 60, n // 30 + 1)]
-        row = token_grammar.make_shard(0, list(range(len(ids))), ids, max(first, 3), 2)
+        row = token_grammar.make_shard(0, list(range(len(ids))), stream(ids), max(first, 3), 2)
         shard = token_grammar.Shard(row)
         for i, want in enumerate(ids):
             full = np.append(want, 2)
@@ -42,7 +47,7 @@ def test_re_pair_round_trip():
 
 def test_re_pair_shrinks():
     ids = [np.array([1, 5, 9, 7] * 500, np.uint32)]
-    row = token_grammar.make_shard(0, [1], ids, 10, 2)
+    row = token_grammar.make_shard(0, [1], stream(ids), 10, 2)
     assert len(row["symbols"]) // 3 < 100 and len(row["rules"]) > 0
 
 
@@ -64,11 +69,17 @@ def test_token_query(llm, sf, tokenizer):
     assert sorted(map(tuple, got)) == brute.encoded(pairs(rows), tokenizer)
 
 
-def test_small_shards(llm, docs, path, tokenizer, monkeypatch):
-    monkeypatch.setattr(token_grammar, "SHARD_IDS", 1)  # in the driver only: workers keep theirs
-    texts = [np.array([1, 2, 3], np.uint32)] * 3
-    rows = [token_grammar.make_shard(i, [i], [t], 10, 2) for i, t in enumerate(texts)]
-    assert [token_grammar.Shard(r).document(0).tolist() for r in rows] == [[1, 2, 3, 2]] * 3
+def test_chunks_are_what_the_tokenizer_sees(tokenizer):
+    """Random strings of everything that might be joined or split at a chunk's border."""
+    rng = random.Random(9)
+    pieces = ["a", "word", "The", "É", "e\u0301", "ß", "İ", "Σ", "ΑΣ", ".", ",", "..", "'s", "'", "12", "²", "-", "\u00a0", "\u2003", "\x1c", "\u200d",
+              "<|endoftext|>", "日本", "ab.", "c,", "!", "\x00", "ﬁ", "Å"]
+    encoder = token_grammar.ChunkEncoder(tokenizer_file())
+    for _ in range(300):
+        texts = ["".join(rng.choice(pieces) + rng.choice(["", "", " ", "\n", "\t "]) for _ in range(rng.randrange(30))) for _ in range(8)]
+        got = encoder.encode(texts)
+        want = [x for t in texts for x in (*tokenizer.encode(t, add_special_tokens=False).ids, 0xFFFFFFFF)]
+        assert got.tolist() == want, texts
 
 
 # --- Jaccard join
