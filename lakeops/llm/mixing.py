@@ -27,7 +27,7 @@ from lakeops.llm.words import hidden, space_words, text_of
 from lakeops.operators.ordered import number_rows
 from lakeops.session import materialise
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 12
 MAX_EPOCHS = 3
 
 
