@@ -38,6 +38,8 @@ from lakeops.session import materialise
 MIN_REVISIT = 1000
 #: Ranges closer than this are read in one request, of at most so many bytes.
 MAX_GAP, MAX_READ = 64 << 10, 8 << 20
+#: Bytes of archives that a reading task is given.
+TASK_BYTES = 16 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "file string, offset bigint, length bigint, url string, digest string, page_id bigint, record_type string"
 READ = (
@@ -188,7 +190,14 @@ def read_records(selected: DataFrame, path: str) -> DataFrame:
         if source is not None:
             source.close()
 
-    ordered = selected.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # the index is small beside what it points at: tasks are made for the bytes to be read
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = total // TASK_BYTES + 1
+    ordered = (
+        selected.select("file", "offset", "length")
+        .repartitionByRange(tasks, "file", "offset")
+        .sortWithinPartitions("file", "offset")
+    )
     return ordered.mapInArrow(read, READ)
 
 
