@@ -8,13 +8,16 @@ of BANDS single-row bands with probability 1 - (1 - j) ** BANDS: above 0.999 fro
 so a window that holds four fifths of its template is practically never missed. Candidates
 are verified by exact containment of the template's shingles in the window's.
 
+A template of k < 5 words has its whole word sequence as its one shingle. Its class is -k;
+its windows are the k words from each position, so it is found where it stands word by word.
+
 A window without any shingle of any template has containment 0, so only windows around
 such shingles are hashed: the shingles of all templates, a table bounded by the list of
 templates, are joined with the documents' shingles first. Documents themselves are not
 shuffled, only those windows.
 
-Defined cases: a null or short text (fewer than five words) holds no license; a null or
-short template is never found; equal templates are found together; rows that repeat an id
+Defined cases: a null text or one without words holds no license; a null template or one
+without words is never found; equal templates are found together; rows that repeat an id
 and text are answered each; an empty table gives an empty result; other columns are not read.
 """
 
@@ -44,6 +47,7 @@ NOTICES = {
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "all-rights-reserved-notice": "All rights reserved.",
     "all-rights-reserved": "All rights reserved. No part of this publication may be reproduced",
 }
 
@@ -67,13 +71,22 @@ def _keyed(i: int):
     return lambda h: F.xxhash64(F.lit(i), h)
 
 
+def _placed_hashes(hashes: str, short: int):
+    return F.transform(hashes, lambda h, i: F.struct(i.alias("at"), F.lit(short).alias("short"), h.alias("h")))
+
+
 def templates_of(texts: DataFrame, license: str = "license", text: str = "text") -> DataFrame:
-    """license, h5 (distinct shingles), size, class (the power of two from size up), bands."""
+    """license, template (distinct shingles), size, class (the power of two from size up; -k for k < 5 words), bands."""
     words = texts.select(F.col(f"`{license}`").alias("license"), scan_words(f"`{text}`").alias("words"))
-    sets = with_windows(words, "words", [WORDS], "h").select("license", F.array_distinct("h5").alias("h5")).where(F.size("h5") > 0)
-    size = F.size("h5")
-    sized = sets.select("*", size.alias("size"), F.pow(F.lit(2.0), F.ceil(F.log2(size))).cast("int").alias("class"))
-    return materialise(sized.withColumn("bands", _bands("h5")), "templates")
+    hashed = with_windows(words, "words", [*range(1, WORDS + 1)], "h")
+    n_words, shingles = F.size("words"), F.col(f"h{WORDS}")
+    for n in range(1, WORDS):
+        shingles = F.when(n_words == n, F.col(f"h{n}")).otherwise(shingles)
+    sets = hashed.select("license", n_words.alias("n_words"), F.array_distinct(shingles).alias("template")).where("n_words > 0")
+    size = F.size("template")
+    power = F.pow(F.lit(2.0), F.ceil(F.log2(size))).cast("int")
+    sized = sets.select("license", "template", size.alias("size"), F.when(F.col("n_words") < WORDS, -F.col("n_words")).otherwise(power).alias("class"))
+    return materialise(sized.withColumn("bands", _bands("template")), "templates")
 
 
 def scan(docs: DataFrame, texts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -83,18 +96,21 @@ def scan(docs: DataFrame, texts: DataFrame, doc_id: str = "doc_id", text: str =
     """
     templates = templates_of(texts)
     classes = sorted(r[0] for r in templates.select("class").distinct().collect())  # powers of two: a few
-    known = templates.select(F.explode("h5").alias("_h"), F.col("class").alias("_class")).distinct()
-    known = known.groupBy("_h").agg(F.collect_set("_class").alias("_classes"))
+    short = [-c for c in classes if c < 0]
+    known = templates.select(F.explode("template").alias("_h"), F.col("class").alias("_class")).distinct()
+    known = known.groupBy("_h", F.greatest(-F.col("_class"), F.lit(0)).alias("_short")).agg(F.collect_set("_class").alias("_classes"))
     known = known if known.count() > BROADCAST_SHINGLES else F.broadcast(known)
 
     flat = docs.select(
         F.col(f"`{doc_id}`").alias("id"), F.xxhash64(text_of(f"`{text}`"), F.lit(1)).alias("text_key"), scan_words(f"`{text}`").alias("words")
     )
-    hashed = with_windows(flat, "words", [WORDS], "h").drop("words")
-    # position -1 stands for the document itself
-    spread = hashed.select("id", "text_key", "h5", F.posexplode(F.concat(F.array(F.lit(None).cast("bigint")), "h5")).alias("p", "h"))
-    near = spread.join(known, F.col("h") == F.col("_h"), "left").where("p = 0 OR _h IS NOT NULL")
-    at = F.col("p") - 1
+    hashed = with_windows(flat, "words", [*short, WORDS], "h").drop("words")
+    # position -1 stands for the document itself; short: the number of words, 0 for five
+    each = [_placed_hashes(f"h{WORDS}", 0), *[_placed_hashes(f"h{n}", n) for n in short]]
+    itself = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("short"), F.lit(None).cast("bigint").alias("h")))
+    spread = hashed.select("id", "text_key", "h5", F.inline(F.concat(itself, *each)))
+    near = spread.join(known, (F.col("h") == F.col("_h")) & (F.col("short") == F.col("_short")), "left").where("at < 0 OR _h IS NOT NULL")
+    at = F.col("at")
     windows = F.flatten(
         F.transform(
             F.coalesce("_classes", F.array().cast("array<int>")),
@@ -106,18 +122,21 @@ def scan(docs: DataFrame, texts: DataFrame, doc_id: str = "doc_id", text: str =
     )
     wanted = F.filter(windows, lambda w: w["n"] >= 0)
     # the first window also serves what lies before its second half
-    wanted = F.when(F.col("p") == 0, F.array(F.struct(F.lit(0).alias("class"), F.lit(0).alias("n")))).otherwise(wanted)
-    placed = near.select("id", "text_key", "h5", F.explode(wanted).alias("w")).select(
+    only = F.array(F.struct((-F.col("short")).alias("class"), F.greatest(at, F.lit(0)).alias("n")))  # class 0: the document
+    wanted = F.when((at < 0) | (F.col("short") > 0), only).otherwise(wanted)
+    placed = near.select("id", "text_key", "h5", "h", F.explode(wanted).alias("w")).select(
         "id", "text_key", F.col("w.class").alias("class"), F.col("w.n").alias("n"),
-        F.when(F.col("w.class") > 0, F.array_distinct(stretch(F.col("h5"), F.col("w.n") * F.col("w.class"), 2 * F.col("w.class")))).alias("shingles"),
+        F.when(F.col("w.class") > 0, F.array_distinct(stretch(F.col("h5"), F.col("w.n") * F.col("w.class"), 2 * F.col("w.class"))))
+        .when(F.col("w.class") < 0, F.array("h"))
+        .alias("shingles"),
     )
     placed = placed.groupBy("id", "text_key", "class", "n").agg(
         F.first("shingles").alias("shingles"), F.count(F.lit(1)).alias("rows")
     )
     placed = materialise(placed, "license-windows")
-    names = templates.select(F.col("license").alias("license"), F.col("h5").alias("template"), F.col("class").alias("_class"), F.explode("bands").alias("_band"))
+    names = templates.select(F.col("license").alias("license"), F.col("class").alias("_class"), F.explode("bands").alias("_band"))
     window_bands = (
-        placed.where("class > 0")
+        placed.where("class <> 0")
         .withColumn("bands", _bands("shingles"))
         .select("id", "text_key", "class", "n", F.explode("bands").alias("band"))
     )
@@ -125,7 +144,7 @@ def scan(docs: DataFrame, texts: DataFrame, doc_id: str = "doc_id", text: str =
         F.broadcast(names.select("license", "_class", "_band")) if len(classes) and templates.count() * BANDS <= BROADCAST_SHINGLES else names.select("license", "_class", "_band"),
         (F.col("band") == F.col("_band")) & (F.col("class") == F.col("_class")),
     ).select("id", "text_key", "class", "n", "license").distinct()
-    sets = templates.select(F.col("license").alias("_license"), F.col("h5").alias("template"), "size")
+    sets = templates.select(F.col("license").alias("_license"), "template", "size")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("id", "text_key", "class", "n")]
     checked = (
         pairs.alias("a")
@@ -137,7 +156,7 @@ def scan(docs: DataFrame, texts: DataFrame, doc_id: str = "doc_id", text: str =
     )
     found = checked.groupBy("id", "text_key").agg(
         F.sort_array(F.collect_set("license")).alias("licenses"),
-        F.sort_array(F.collect_set(F.struct("license", (F.col("n") * F.col("class")).alias("start"), F.round("containment", 6).alias("containment")))).alias("matches"),
+        F.sort_array(F.collect_set(F.struct("license", (F.col("n") * F.greatest("class", F.lit(1))).alias("start"), F.round("containment", 6).alias("containment")))).alias("matches"),
     ).withColumnsRenamed({"id": "_id", "text_key": "_key"})
     every = placed.where("class = 0").select("id", "text_key", F.col("rows").alias("copies"))
     return every.join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left").select(

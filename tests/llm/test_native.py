@@ -173,3 +173,44 @@ def test_license_query(llm, sf):
             if any(len(x & set(s[a * c : a * c + 2 * c])) >= 0.8 * len(x) for a in range(len(s) // c + 1)):
                 found.append(name)
         assert got[doc] == ",".join(sorted(found))
+
+
+def test_short_licenses(llm, docs):
+    """Templates of one to four words are found word by word, in texts of any length."""
+    texts = llm.createDataFrame(
+        [("one", "Copyleft"), ("two", "Public Domain"), ("three", "All rights reserved."), ("four", "free for any use"), ("same", "ALL RIGHTS RESERVED"),
+         ("none", "..."), ("null", None), ("five", "you may copy this freely"), (None, "no name")], "license string, text string")
+    rows = [
+        (1, "All rights reserved."), (2, "x " * 700 + "(all Rights-RESERVED!)"), (3, "all rights are reserved"), (4, "copyleft: public domain, public; domain"),
+        (5, "free for any use"), (6, "free for any"), (7, None), (8, "..."), (9, "You may copy this freely. All rights reserved. All rights reserved"),
+        (1, "All rights reserved."), (10, "no name"), (11, "copyleftx all rights"),
+    ]
+    out = {r["id"]: r for r in license_scan.scan(docs(*rows), texts).collect()}
+    want = {1: ["same", "three"], 2: ["same", "three"], 3: [], 4: ["one", "two"], 5: ["four"], 6: [], 7: [], 8: [], 9: ["five", "same", "three"], 10: [], 11: []}
+    assert {d: r["licenses"] for d, r in out.items()} == want and out[1]["copies"] == 2
+    assert [m["license"] for m in out[10]["matches"]] == [None]
+    assert [m["start"] for m in out[9]["matches"] if m["license"] == "three"] == [5, 8]
+    assert [m["start"] for m in out[2]["matches"]] == [700, 700]
+
+
+def test_license_query_with_short_notices(llm, sf):
+    """Short notices against plain search for their words, the others against all windows."""
+    words = {name: brute.WORD.findall(brute.low(text)) for name, text in license_scan.NOTICES.items()}
+    sets = {name: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for name, w in words.items()}
+    got = {r["doc_id"]: r["licenses"] for r in QUERIES["op8_license_scan"](llm, sf).collect()}
+    short = 0
+    for doc, text in llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        w = brute.WORD.findall(brute.low(text))
+        s = [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+        found = []
+        for name, x in sets.items():
+            if not x:
+                there = f" {' '.join(words[name])} " in f" {' '.join(w)} "
+                short += there
+            else:
+                c = 1 << (len(x) - 1).bit_length()
+                there = any(len(x & set(s[a * c : a * c + 2 * c])) >= 0.8 * len(x) for a in range(len(s) // c + 1))
+            if there:
+                found.append(name)
+        assert got[doc] == ",".join(sorted(found))
+    assert short > 0
