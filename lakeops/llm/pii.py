@@ -96,7 +96,7 @@ ACCOUNT_WORDS = ("iban", "account", "konto", "compte", "cuenta", "ssn", "passpor
 PLAIN_WORDS = ("order", "version", "page", "year", "isbn", "issue", "number", "chapter", "commit", "sha", "id", "ref", "model", "price")
 
 GENERATORS: list[tuple[str, re.Pattern]] = [
-    ("secret", re.compile(r"(?<![A-Za-z])(?i:pass(?:word|wd|phrase)|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}(?:=|:|\bis\b)\s{0,3}[\"']?([^\s\"',;<>]{4,200})")),
+    ("secret", re.compile(r"(?i:pass(?:word|wd|phrase)|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}(?:=|:|\bis\b)\s{0,3}[\"']?([^\s\"',;<>]{4,200})")),
     ("secret", re.compile(r"(?<![A-Za-z0-9_+/-])((?=[A-Za-z_+/-]{0,60}[0-9])[A-Za-z0-9_+/-]{16,200}={0,2})(?![A-Za-z0-9_+/-])")),
     ("email", re.compile(r"([A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s)\s?[A-Za-z0-9-]{1,63}){1,4})")),
     ("account", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:\s?[A-Z0-9]{4}){2,7}(?:\s?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")),
@@ -104,11 +104,14 @@ GENERATORS: list[tuple[str, re.Pattern]] = [
 ]
 # How keys of well-known services begin.
 _KEY_START = re.compile(r"(?:sk_|pk_|AKIA|ASIA|ghp_|gho_|xox[abp]-|AIza)")
-# whole words only: short ones turn up inside others in any language
+# whole words only, as short ones turn up inside others in any language; a border is also where
+# the case changes, and a plural counts
 _NAMED = [
-    re.compile(rf"(?<![^\W\d_])(?:{'|'.join(map(re.escape, words))})(?![^\W\d_])")
+    re.compile(rf"(?:(?<![^\W\d_])|(?<=[a-z])(?=[A-Z]))(?i:{'|'.join(map(re.escape, words))})(?:(?i:e?s))?(?:(?![^\W\d_])|(?<=[a-z])(?=[A-Z]))")
     for words in (SECRET_WORDS, PHONE_WORDS, ACCOUNT_WORDS, PLAIN_WORDS)
 ]
+# names written together, as in dbpassword: the long words stand for themselves anywhere
+_JOINED = re.compile(r"(?i:password|passwd|passphrase|token|secret|api_?key|access_?key|private_?key|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}[=:]\s{0,3}[\"']?\Z")
 _HINT = re.compile(r"[@(\[{=:]|[0-9]|(?:\bis\b)")
 
 
@@ -126,8 +129,9 @@ def features_of(text: str, start: int, end: int, generator: int) -> list[float]:
     digits = "".join(c for c in value if c.isdigit() and c.isascii())
     counts = Counter(value)
     entropy = -sum(k / n * math.log2(k / n) for k in counts.values())
-    before = text[max(0, start - 32) : start].lower()
+    before = text[max(0, start - 32) : start]
     named = [float(bool(words.search(before))) for words in _NAMED]
+    named[0] = max(named[0], float(bool(_JOINED.search(before))))
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(value, value[1:]))
     return [
         float(generator), n, len(digits), len(digits) / n, sum(c.isupper() for c in value), sum(c.islower() for c in value),
@@ -241,12 +245,23 @@ def labelled(rows: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
         v = f"{country}{check:02d}{rest}"
         return v if some(0, 2) else " ".join(v[i : i + 4] for i in range(0, len(v), 4))
 
+    def secret_name() -> str:
+        word = pick(SECRET_WORDS)
+        form = some(0, 8)
+        if form == 0:
+            return pick(["client", "access", "user", "db"]) + word.capitalize()
+        if form == 1:
+            return pick(["db", "my", "root", "app"]) + pick(["password", "passwd", "token", "secret", "apikey"])
+        if form == 2:
+            return pick(["client_", "DB_", "aws_"]) + pick([word, word.upper()])
+        return word + "s" if form == 3 else word
+
     def true_one() -> tuple[str, str]:
         kind = some(0, 6)
         if kind <= 1:
             quote = pick(["", '"', "'"])
             value = pick([chars("0123456789abcdef", some(12, 48)), chars(alnum, some(10, 40)), chars(alnum + "!#$%&*", some(8, 24))])
-            return f"{pick(SECRET_WORDS)}{pick(['=', ' = ', ': ', ':'])}{quote}", value + quote
+            return f"{secret_name()}{pick(['=', ' = ', ': ', ':'])}{quote}", value + quote
         if kind == 2:
             if some(0, 2):
                 return "", pick(["AKIA", "ASIA"]) + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16)

@@ -196,6 +196,14 @@ def test_added_spans(llm, docs):
     assert pii.find(docs()).count() == 0
 
 
+@pytest.mark.parametrize("name", ["clientSecret=", "dbpassword: ", 'accessToken: "', "DB_PASSWORD=", "credentials: ", "passwords = "])
+def test_compound_secret_names(name):
+    model = pii.train()
+    for value in ("q8Zk3pLw9", "hunter22x", "9f8e7d6c5b4a39281706"):
+        text = f"der the {name}{value} of"
+        assert (len(f"der the {name}"), len(f"der the {name}{value}"), "secret") in model.spans(text)[1], text
+
+
 def test_personal_data_query(llm, sf):
     rows = llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: r for r in QUERIES["op4_personal_data"](llm, sf).collect()}
