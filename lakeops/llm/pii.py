@@ -11,7 +11,7 @@ and nothing that overlaps a base span is added.
 The trees are trained here, on ``TRAIN_ROWS`` labelled candidates: sentences written by a
 seeded generator around true and false personal data. No document is needed for it.
 
-All scanning is linear in the length of a text. Offsets are code points, ends exclusive.
+All scanning is linear in the length of a text, and a secret of any length is one span. Offsets are code points, ends exclusive.
 
 Defined cases: a null or empty text has no spans; repeated rows are answered each; an empty
 table gives an empty result; other columns are left alone.
@@ -96,8 +96,8 @@ ACCOUNT_WORDS = ("iban", "account", "konto", "compte", "cuenta", "ssn", "passpor
 PLAIN_WORDS = ("order", "version", "page", "year", "isbn", "issue", "number", "chapter", "commit", "sha", "id", "ref", "model", "price")
 
 GENERATORS: list[tuple[str, re.Pattern]] = [
-    ("secret", re.compile(r"(?i:pass(?:word|wd|phrase)|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}(?:=|:|\bis\b)\s{0,3}[\"']?([^\s\"',;<>]{4,200})")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9_+/-])((?=[A-Za-z_+/-]{0,60}[0-9])[A-Za-z0-9_+/-]{16,200}={0,2})(?![A-Za-z0-9_+/-])")),
+    ("secret", re.compile(r"(?i:pass(?:word|wd|phrase)|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}(?:=|:|\bis\b)\s{0,3}[\"']?([^\s\"',;<>]{4,}+)")),
+    ("secret", re.compile(r"(?<![A-Za-z0-9_+/-])([A-Za-z0-9_+/-]{16,}+={0,2})(?![A-Za-z0-9_+/-])")),
     ("email", re.compile(r"([A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s)\s?[A-Za-z0-9-]{1,63}){1,4})")),
     ("account", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:\s?[A-Z0-9]{4}){2,7}(?:\s?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")),
     ("number", re.compile(r"(?<![0-9A-Za-z.+])(\(?[0-9]{2,20}\)?(?:[\x20./-]{1,2}[0-9]{2,20}){0,6})(?![0-9A-Za-z])")),
@@ -112,6 +112,7 @@ _NAMED = [
 ]
 # names written together, as in dbpassword: the long words stand for themselves anywhere
 _JOINED = re.compile(r"(?i:password|passwd|passphrase|token|secret|api_?key|access_?key|private_?key|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}[=:]\s{0,3}[\"']?\Z")
+_DIGIT = re.compile(r"[0-9]")
 _HINT = re.compile(r"[@(\[{=:]|[0-9]|(?:\bis\b)")
 
 
@@ -163,6 +164,8 @@ def candidates_of(text: str) -> list[Candidate]:
             continue
         for m in pattern.finditer(text):
             start, end = m.span(1)
+            if g == 1 and not _DIGIT.search(text, start, end):
+                continue
             out.append(Candidate(start, end, g, features_of(text, start, end, g)))
     return out
 
@@ -260,10 +263,13 @@ def labelled(rows: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
         kind = some(0, 6)
         if kind <= 1:
             quote = pick(["", '"', "'"])
-            value = pick([chars("0123456789abcdef", some(12, 48)), chars(alnum, some(10, 40)), chars(alnum + "!#$%&*", some(8, 24))])
+            value = pick([chars("0123456789abcdef", some(12, 48)), chars(alnum, some(10, 40)), chars(alnum + "!#$%&*", some(8, 24)), chars(alnum + "_-", some(40, 900))])
             return f"{secret_name()}{pick(['=', ' = ', ': ', ':'])}{quote}", value + quote
         if kind == 2:
-            if some(0, 2):
+            form = some(0, 3)
+            if form == 0:
+                return "", pick(["eyJ", "MII", ""]) + chars(alnum + "+/", some(80, 900)) + pick(["", "=", "=="])
+            if form == 1:
                 return "", pick(["AKIA", "ASIA"]) + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16)
             return "", pick(["sk_live_", "pk_test_", "ghp_", "xoxb-", "AIza"]) + chars(alnum, some(20, 40))
         if kind == 3:
@@ -287,7 +293,7 @@ def labelled(rows: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
         if kind == 5:
             return f"{pick(['the', 'a', 'this'])} {pick(SECRET_WORDS)}{pick([': ', ' is '])}", pick(filler + ["required", "wrong", "forgotten", "stored"])
         if kind == 6:
-            return "", "-".join(pick(filler) for _ in range(some(3, 6))) + str(some(1, 9))
+            return "", pick("-_/").join(pick(filler) for _ in range(pick([some(3, 6), some(3, 6), some(12, 200)]))) + str(some(1, 9))
         if kind == 7:
             return pick(["isbn ", "price ", ""]), " ".join(str(some(100, 9999)) for _ in range(some(1, 4)))
         if kind == 8:

@@ -204,6 +204,25 @@ def test_compound_secret_names(name):
         assert (len(f"der the {name}"), len(f"der the {name}{value}"), "secret") in model.spans(text)[1], text
 
 
+def test_long_secrets_are_whole():
+    """Nothing of a secret is left over, however long it is and wherever its first digit stands."""
+    rng, model = random.Random(8), pii.train()
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for lead in ("token=", "client_secret: ", ""):
+        for n in (150, 199, 201, 320, 1000, 5000):
+            value = "".join(rng.choice(alnum) for _ in range(n))
+            spans = model.spans(f"der die {lead}{value} of the")[1]
+            assert spans == [(8 + len(lead), 8 + len(lead) + n, "secret")], (lead, n)
+            assert pii.redact(f"der die {lead}{value} of the", spans) == f"der die {lead}[secret] of the"
+    late = "".join(rng.choice(alnum[:52]) for _ in range(90)) + "".join(rng.choice(alnum) for _ in range(90)) + "7"
+    assert (4, 4 + len(late), 1) in [(c.start, c.end, c.generator) for c in pii.candidates_of(f"the {late} of")]
+
+
+def test_proposing_is_linear():
+    for unit in ("1", "a", "=", "a1", "token", "token=", "token:a ", "secret_", "-/", "a1= "):
+        pii.candidates_of(unit * (200_000 // len(unit)))
+
+
 def test_personal_data_query(llm, sf):
     rows = llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: r for r in QUERIES["op4_personal_data"](llm, sf).collect()}
