@@ -107,9 +107,11 @@ class ChunkEncoder:
             self._forget()
         words: list[bytes] = []
         for t in texts:
-            raw = (t or "").encode("utf-8", "surrogatepass").lower()
-            # a special token's text stays whole
-            words += (raw if b"<|" in raw else _MARKED.sub(rb" \1", raw)).split()
+            raw = (t or "").encode("utf-8", "surrogatepass")
+            if b"<|" in raw:  # a special token is looked for before anything is lower-cased, and stays whole
+                words += [w if b"<|" in w else w.lower() for w in raw.split()]
+            else:
+                words += _MARKED.sub(rb" \1", raw.lower()).split()
             words.append(b"")
         code = np.fromiter(map(self.chunks.__getitem__, words), np.int64, len(words))
         if self.chunks.new:

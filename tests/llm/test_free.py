@@ -82,6 +82,17 @@ def test_chunks_are_what_the_tokenizer_sees(tokenizer):
         assert got.tolist() == want, texts
 
 
+def test_special_tokens_in_other_case(tokenizer):
+    """Only the exact form is a special token; the tokenizer looks for it before it lower-cases."""
+    rng = random.Random(10)
+    pieces = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|StartOfText|>", "<|", "|>", "The", "WORD.", "É,", "A<B", "x"]
+    encoder = token_grammar.ChunkEncoder(tokenizer_file())
+    for _ in range(200):
+        texts = ["".join(rng.choice(pieces) + rng.choice(["", " ", "\n"]) for _ in range(rng.randrange(20))) for _ in range(6)]
+        want = [x for t in texts for x in (*tokenizer.encode(t, add_special_tokens=False).ids, 0xFFFFFFFF)]
+        assert encoder.encode(texts).tolist() == want, texts
+
+
 # --- Jaccard join
 
 
