@@ -40,13 +40,13 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 SHARD_IDS = 1 << 21
 #: A rule must replace so many pairs in its shard.
-MIN_PAIRS = 96
+MIN_PAIRS = 24
 SHARD_SCHEMA = (
     "shard int, doc_ids array<bigint>, doc_tokens array<int>, doc_symbols array<int>, n_tokens bigint,"
     " first_rule int, end_id int, rules binary, lengths binary, symbols binary"
 )
 #: A round goes down to this fraction of the most frequent pair.
-STEP = 16
+STEP = 4
 _CACHE_CHUNKS = 1_500_000
 _END = np.uint32(0xFFFFFFFF)
 
@@ -165,51 +165,67 @@ def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) ->
     """Shortened symbols and the rules, an array of pairs. ``_END`` is never part of a pair.
 
     A round replaces all pairs at least a ``STEP``-th as frequent as the most frequent one.
-    Counting goes by hash buckets first; only pairs in full buckets are counted exactly.
+    Pairs are counted exactly, and numbered once: a replacement changes only the pairs beside
+    it, and those hold a new symbol. A pair of old symbols never gets more frequent, so one
+    that is rarer than ``min_pairs`` needs no number.
     """
     rules: list[np.ndarray] = []
-    n_rules, bits = 0, 16
-    while len(symbols) > 1:
-        left, right = symbols[:-1], symbols[1:]
-        bucket = (((left * np.uint32(0x9E3779B1)) ^ (right * np.uint32(0x85EBCA77))) * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - bits)
-        ends = np.flatnonzero(symbols == _END)
-        bucket[ends[ends < len(bucket)]] = 1 << bits
-        bucket[ends[ends > 0] - 1] = 1 << bits
-        full = np.bincount(bucket, minlength=(1 << bits) + 1)
-        full[-1] = 0
-        top = int(full.max())
+    n_rules, symbols = 0, symbols.copy()
+    pairs = np.zeros(1, np.uint64)
+    # number of the pair that starts there, 0 for a rare one or none
+    pair_of = np.zeros(len(symbols), np.int32)
+    at = np.flatnonzero((symbols[:-1] != _END) & (symbols[1:] != _END))
+    while True:
+        order, new, counts = _sorted_pairs(symbols[at], symbols[at + 1], first_rule + n_rules)
+        enough = counts >= min_pairs
+        pair_of[at[order]] = np.repeat(np.where(enough, len(pairs) - 1 + np.cumsum(enough), 0), counts)
+        pairs = np.concatenate([pairs, new[enough]])
+
+        counts = np.bincount(pair_of, minlength=len(pairs))
+        counts[0] = 0
+        top = int(counts.max())
         if top < min_pairs:
             break
-        least = max(min_pairs, top // STEP)
-        at = np.flatnonzero((full >= least)[bucket])
-        key = (left[at].astype(np.uint64) << np.uint64(32)) | right[at]
-        pairs, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
-        good = counts >= least
-        if not good.any():  # the buckets were full of different rare pairs
-            least = max(min_pairs, int(counts.max()) // STEP)
-            good = counts >= least
-            if not good.any():
-                break
-        number = np.cumsum(good) - 1
-        chosen = good[inverse]
-        at, rule = at[chosen], number[inverse[chosen]]
+        at = np.flatnonzero((counts >= max(min_pairs, top // STEP))[pair_of])
         # of overlapping pairs every second one, from the left
         run_start = np.r_[True, np.diff(at) > 1]
         first = np.maximum.accumulate(np.where(run_start, np.arange(len(at)), 0))
-        take = (np.arange(len(at)) - first) % 2 == 0
-        at, rule = at[take], rule[take]
-        used, rule = np.unique(rule, return_inverse=True)
-        chosen_pairs = pairs[good][used]
-        rules.append(np.stack([chosen_pairs >> np.uint64(32), chosen_pairs & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        symbols = symbols.copy()
-        symbols[at] = first_rule + n_rules + rule
-        n_rules += len(used)
+        at = at[(np.arange(len(at)) - first) % 2 == 0]
+        used = np.zeros(len(pairs), bool)
+        used[pair_of[at]] = True
+        rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        symbols[at] = first_rule + n_rules - 1 + np.cumsum(used)[pair_of[at]]
+        n_rules += len(rules[-1])
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
-        symbols = symbols[stay]
+        symbols, pair_of = symbols[stay], pair_of[stay]
+        at -= np.arange(len(at))
+        beside = np.zeros(len(symbols), bool)
+        beside[at] = True
+        beside[at[at > 0] - 1] = True
+        at = np.flatnonzero(beside)
+        pair_of[at] = 0
+        at = at[at < len(symbols) - 1]
+        at = at[(symbols[at] != _END) & (symbols[at + 1] != _END)]
     return symbols, np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
 
 
+def _sorted_pairs(left: np.ndarray, right: np.ndarray, above: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts the pairs, each different pair and how often it is there. Symbols are less than ``above``."""
+    key = (left.astype(np.uint64) << np.uint64(32)) | right
+    width, places = above.bit_length(), len(key).bit_length()
+    if 2 * width + places <= 64:  # sorting numbers is several times faster than sorting indices
+        packed = (left.astype(np.uint64) << np.uint64(width)) | right
+        packed = (packed << np.uint64(places)) | np.arange(len(key), dtype=np.uint64)
+        packed.sort()
+        order = (packed & np.uint64((1 << places) - 1)).astype(np.int64)
+    else:
+        order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+    return order, key[starts], np.diff(np.append(starts, len(key)))
+
+
 def expand_rules(rules: np.ndarray, first_rule: int, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All expansions one after the other, and where each starts."""
     starts = np.cumsum(lengths.astype(np.int64)) - lengths

@@ -51,6 +51,29 @@ def test_re_pair_shrinks():
     assert len(row["symbols"]) // 3 < 100 and len(row["rules"]) > 0
 
 
+def test_re_pair_leaves_no_frequent_pair():
+    """Pairs of 24 and more become rules, in a small shard as well."""
+    rng = np.random.default_rng(2)
+    ids = [np.append([1, 5], rng.integers(10, 50, 4)).astype(np.uint32) for _ in range(30)]
+    symbols, rules = token_grammar.re_pair(stream(ids), 50)
+    assert rules.tolist() == [[1, 5]] and len(symbols) == 30 * 6
+    ids = [(rng.zipf(1.4, int(k)) % 400).astype(np.uint32) for k in rng.integers(0, 80, 1000)]
+    symbols, _ = token_grammar.re_pair(stream(ids), 400)
+    left, right = symbols[:-1], symbols[1:]
+    inside = (left != 0xFFFFFFFF) & (right != 0xFFFFFFFF)
+    assert np.unique(np.stack([left, right], 1)[inside], axis=0, return_counts=True)[1].max() < 24
+
+
+def test_sorted_pairs_of_wide_symbols():
+    rng = np.random.default_rng(3)
+    left, right = (rng.integers(0, 9, 3000).astype(np.uint32) for _ in range(2))
+    for above in (10, 1 << 30):  # packed, and too wide for it
+        order, pairs, counts = token_grammar._sorted_pairs(left, right, above)
+        key = (left.astype(np.uint64) << np.uint64(32)) | right
+        want, n = np.unique(key, return_counts=True)
+        assert pairs.tolist() == want.tolist() and counts.tolist() == n.tolist() and key[order].tolist() == sorted(key.tolist())
+
+
 def test_tokens(llm, docs, path, tokenizer):
     rows = [
         (5, None), (3, ""), (-2, " \n"), (7, LONG), (1, "It's A.B, c.. d?! Ünï 12,3 <|endoftext|> x y İstanbul ΣΑΣ é, ２."),
