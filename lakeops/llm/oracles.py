@@ -1,7 +1,7 @@
 """The corpus queries in DuckDB SQL, where SQL can express them.
 
 Without SQL, and compared with brute force in tests/llm: op2 and the pipeline (a tokenizer),
-op4 (trained trees), op7 (a parser), op8 (hash bands).
+op4 (trained trees), op7 (a parser), op8 (hash bands), op11 (a tokenizer).
 """
 
 from __future__ import annotations
@@ -121,6 +121,81 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged j JOIN verdicts v ON j.source IS NOT DISTINCT FROM v.source
 """
 
+
+
+def _lloyd() -> str:
+    """All rounds of op12, one after the other; every number is an integer below 2 ** 53."""
+    nearest = """SELECT p.pos, p.uid, any_value(p.x) AS x,
+        min(struct_pack(d := list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c), entry := b.entry)) AS best
+      FROM parts p JOIN {book} b ON p.pos = b.pos GROUP BY p.pos, p.uid"""
+    steps, book = [], "c0"
+    for i in range(1, 5):
+        steps.append(f"a{i} AS MATERIALIZED ({nearest.format(book=book)})")
+        steps.append(
+            f"m{i} AS (SELECT pos, entry, list(v ORDER BY i) AS c FROM (SELECT pos, best.entry AS entry, i, floor(sum(x[i]) / count(*)) AS v"
+            f" FROM (SELECT pos, best, x, unnest(range(1, len(x) + 1)) AS i FROM a{i}) GROUP BY pos, best.entry, i) GROUP BY pos, entry)"
+        )
+        steps.append(f"c{i} AS MATERIALIZED (SELECT b.pos, b.entry, coalesce(m.c, b.c) AS c FROM {book} b LEFT JOIN m{i} m ON b.pos = m.pos AND b.entry = m.entry)")
+        book = f"c{i}"
+    return ",\n".join([*steps, f"a5 AS MATERIALIZED ({nearest.format(book=book)})"])
+
+
+OP12 = f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS uid, vec_id, label,
+    [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings WHERE len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+parts AS MATERIALIZED (SELECT uid, pos, v[pos * len(v) // 4 + 1:(pos + 1) * len(v) // 4] AS x FROM (SELECT uid, v, unnest(range(4)) AS pos FROM kept)),
+c0 AS (SELECT pos, uid AS entry, x AS c FROM parts WHERE uid < 256),
+{_lloyd()},
+coded AS (SELECT uid, string_agg(format('{{:02x}}', best.entry), '' ORDER BY pos) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a5 GROUP BY uid),
+books AS (SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY pos, entry, i)) AS codebooks_sha256
+  FROM (SELECT pos, entry, unnest(c) AS v, unnest(range(len(c))) AS i FROM c4))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (uid), books
+"""
+
+
+def _field(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE octet_length(encode(CAST({column} AS VARCHAR))) || ':' || CAST({column} AS VARCHAR) END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
+#: crc32 of a string of ASCII letters, bit by bit
+_CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295::UBIGINT, [CAST(ascii(x) AS UBIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),"
+    " lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0::UBIGINT FOR b IN range(8)]),"
+    " lambda c, bit: xor(c >> 1, (c & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT)"
+)
+_SIDES = """SELECT x.tree, x.k, x.i, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS l,
+    coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS r
+  FROM {0} x JOIN {0} y ON x.tree = y.tree AND x.k = y.k AND x.i // 8 = y.i // 8 WHERE x.n > 1 GROUP BY x.tree, x.k, x.i"""
+_ROLL = "SELECT k + 1, tree, i // 8, string_agg(h, '' ORDER BY i), (n + 7) // 8 FROM {0} WHERE n > 1 GROUP BY k, tree, i // 8, n"
+OP13 = f"""
+WITH RECURSIVE altered AS (SELECT *, coalesce({_CRC32} % 3 = 0, false) AS hit, translate(text, '{UPPER}', '{UPPER.lower()}') AS lowered FROM documents),
+leaves AS (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN hit AND text IS NOT NULL THEN {_leaf("lowered")} END AS altered_leaf,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, {_leaf("text")}) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM altered),
+nodes(k, tree, i, h, n) AS (SELECT 0, tree, i, leaf, n FROM leaves
+  UNION ALL SELECT k, tree, i, sha256(h), n FROM ({_ROLL.format("nodes")}) AS x(k, tree, i, h, n)),
+subroots AS (SELECT tree, h FROM nodes WHERE n = 1),
+tops(k, tree, i, h, n) AS (SELECT 0, 0::BIGINT, tree, h, count(*) OVER () FROM subroots
+  UNION ALL SELECT k, tree, i, sha256(h), n FROM ({_ROLL.format("tops")}) AS x(k, tree, i, h, n)),
+low AS ({_SIDES.format("nodes")}),
+high AS ({_SIDES.format("tops")}),
+placed AS (SELECT row_number() OVER () AS uid, * FROM leaves),
+steps AS (SELECT uid, s.k, l, r FROM placed p JOIN low s ON p.tree = s.tree AND s.i = p.i // CAST(power(8, s.k) AS BIGINT)
+  UNION ALL SELECT uid, 100 + s.k, l, r FROM placed p JOIN high s ON s.i = p.tree // CAST(power(8, s.k) AS BIGINT)),
+proofs AS (SELECT uid, string_agg(l || r, '' ORDER BY k) AS siblings, list(l || '#' || r ORDER BY k) AS path FROM steps GROUP BY uid),
+folded AS (SELECT p.*, coalesce(siblings, '') AS siblings, list_reduce(list_prepend(coalesce(altered_leaf, leaf), coalesce(path, [])),
+    lambda h, s: sha256(split_part(s, '#', 1) || h || split_part(s, '#', 2))) AS folded_root
+  FROM placed p LEFT JOIN proofs USING (uid))
+SELECT doc_id, leaf, s.h AS subroot, t.h AS root, sha256(siblings) AS proof_sha256, folded_root, folded_root = t.h AS verified
+FROM folded f JOIN subroots s ON f.tree = s.tree, (SELECT h FROM tops WHERE n = 1) t
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1,
     "op3_jaccard_join": OP3,
@@ -128,4 +203,6 @@ ORACLES = {
     "op6_warc": OP6,
     "op9_mix_sources": OP9,
     "op10_quality_rules": OP10,
+    "op12_vector_codes": OP12,
+    "op13_merkle_manifest": OP13,
 }

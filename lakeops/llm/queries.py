@@ -12,10 +12,13 @@ from lakeops.llm import (
     jaccard_join,
     license_scan,
     line_dedup,
+    merkle,
     mixing,
     pii,
+    prefix_bpe,
     quality_rules,
     token_grammar,
+    vector_codes,
     warc,
 )
 from lakeops.llm.frames import ship
@@ -122,3 +125,35 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = prefix_bpe.encode(table(spark, sf_dir, "documents"), tokenizer_file())
+    decoded = prefix_bpe.decode(encoded, tokenizer_file())
+    return decoded.select(
+        "row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vector_codes.learn(vectors)
+    coded = vector_codes.with_label_errors(vector_codes.encode(vectors, books))
+    return coded.select(
+        "row.vec_id", "code", "error", "label_error", F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256")
+    )
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = merkle.manifest(docs, altered=merkle.lowered(docs))
+    folded = found.withColumns({
+        "proof_sha256": merkle.proof_digest(F.col("proof")),
+        "folded_root": merkle.fold(F.coalesce("altered_leaf", "leaf"), F.col("proof")),
+    })
+    return folded.select(
+        "row.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
