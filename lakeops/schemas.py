@@ -90,6 +90,21 @@ PROMPTS = T.StructType(
     ]
 )
 
+# Gold tables as they are stored; a table that no run has filled yet is read with these.
+GOLD_TABLES = {
+    "daily_sales_summary": "partition_date string, total_transactions bigint, unique_customers bigint,"
+    " total_revenue double, avg_transaction_value double, total_items_sold bigint,"
+    " completed_transactions bigint, cancelled_transactions bigint, completion_rate double,"
+    " created_at timestamp, data_date string",
+    "product_performance": "product_id bigint, product_name string, category string,"
+    " transaction_count bigint, units_sold bigint, revenue double, avg_selling_price double,"
+    " min_price double, max_price double, created_at timestamp, data_date string",
+    "customer_segments": "customer_id bigint, customer_name string, customer_segment string, city string,"
+    " country string, purchase_count bigint, total_spend double, avg_order_value double,"
+    " last_purchase_date timestamp_ntz, first_purchase_date timestamp_ntz, value_tier string,"
+    " created_at timestamp, data_date string",
+}
+
 LINEAGE_EDGES = T.StructType(
     [
         T.StructField("src", T.StringType()),

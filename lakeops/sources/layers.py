@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,6 +61,20 @@ def register_table(spark: SparkSession, db: str, name: str, path: str) -> None:
 
 
 def list_tables(spark: SparkSession, db: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN `{db}`").select(
-        F.col("tableName").alias("table_name")
-    )
+    """Tables of the catalog; a session's temporary views are not among them."""
+    listed = spark.sql(f"SHOW TABLES IN `{db}`").where("NOT isTemporary")
+    return listed.select(F.col("tableName").alias("table_name"))
+
+
+@contextmanager
+def batch_view(df: DataFrame, label: str = "batch") -> Iterator[str]:
+    """The name under which SQL sees ``df``; the view goes at the end, also on failure.
+
+    A query made inside is analysed there, so it can be run after the view has gone.
+    """
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    try:
+        yield name
+    finally:
+        df.sparkSession.catalog.dropTempView(name)

@@ -161,7 +161,11 @@ def test_register_and_list_tables(spark, path):
     layers.register_table(spark, db, "sales", path + "/sales")
     layers.register_table(spark, db, "flat", path + "/flat")
     layers.register_table(spark, db, "flat", path + "/flat")  # again is fine
-    assert rows(layers.list_tables(spark, db)) == [("flat",), ("sales",)]
+    with layers.batch_view(layers.list_tables(spark, db)) as view:
+        assert rows(layers.list_tables(spark, db)) == [("flat",), ("sales",)]
+        listed = spark.sql(f"SELECT table_name FROM {view}")
+    assert rows(listed) == [("flat",), ("sales",)]
+    assert view not in [t.name for t in spark.catalog.listTables()]
     assert spark.sql(f"SELECT count(*) FROM {db}.sales").first()[0] == 1
     silver(spark, {}).createOrReplaceTempView("sales_view")
     assert spark.sql("SELECT count(*) FROM sales_view").first()[0] == 1

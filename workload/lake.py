@@ -12,7 +12,7 @@ from lakeops.operators.checks import silver_sales_checks
 from lakeops.operators.rules import accept, customer_rules, sales_rules
 from lakeops.plans.gold_run import run_gold
 from lakeops.plans.sales_run import SalesConfig, run_sales
-from lakeops.schemas import SALES_RAW, SALES_SILVER
+from lakeops.schemas import GOLD_TABLES, SALES_RAW, SALES_SILVER
 from lakeops.session import materialise, new_scratch
 from lakeops.sources import daily, layers, tables
 from lakeops.sources.json_files import land_raw, read_json
@@ -285,13 +285,12 @@ def _(spark, d):
     tables.write_parquet(monthly(spark, d).select("sale_month").distinct(), f"{root}/months")
     for name in ("sales", "months"):
         layers.register_table(spark, db, name, f"{root}/{name}")
-    view = f"batch_{db}"
-    layers.list_tables(spark, db).createOrReplaceTempView(view)
-    return spark.sql(f"""
-        SELECT t.table_name, c.sale_month, c.n FROM {view} t JOIN (
-          SELECT 'sales' AS table_name, sale_month, COUNT(*) AS n FROM `{db}`.sales GROUP BY sale_month UNION ALL
-          SELECT 'months', sale_month, COUNT(*) FROM `{db}`.months GROUP BY sale_month) c
-        ON t.table_name = c.table_name""")
+    with layers.batch_view(layers.list_tables(spark, db)) as view:
+        return spark.sql(f"""
+            SELECT t.table_name, c.sale_month, c.n FROM {view} t JOIN (
+              SELECT 'sales' AS table_name, sale_month, COUNT(*) AS n FROM `{db}`.sales GROUP BY sale_month UNION ALL
+              SELECT 'months', sale_month, COUNT(*) FROM `{db}`.months GROUP BY sale_month) c
+            ON t.table_name = c.table_name""")
 
 
 @query(
@@ -317,39 +316,54 @@ _GOLD_COUNTS = f"""
     WHERE customer_id IN (SELECT customer_id FROM customers))"""
 
 
-def _gold_of(spark, d, days: tuple[str, ...]) -> tuple[str, list[DataFrame]]:
-    """Gold tables of some days, each filled by a run of its own from a silver table."""
+# The newest day, on which nothing may be completed, and the newest before it on which something is.
+_NEWEST = "(SELECT max(partition_date) FROM clean)"
+_FULL = f"(SELECT max(partition_date) FROM clean WHERE status = 'completed' AND partition_date < {_NEWEST})"
+
+
+def _gold_of(spark, d) -> str:
+    """Folder of the gold tables of two days, each filled by a run of its own from a silver table."""
     root = new_scratch(spark, "gold-run")
     typed = silver.to_silver_schema(fx.sales_raw(spark, d), None, fx.AS_OF)
     sales = accept(typed, sales_rules(fx.AS_OF, fx.max_product_id(spark, d)))
+    per_day = materialise(sales.groupBy("partition_date").agg(F.bool_or(F.col("status") == "completed").alias("done")), "days")
+    newest = reports.newest(per_day, "partition_date")
+    full = reports.newest(per_day.where(F.col("done") & (F.col("partition_date") < newest)), "partition_date")
+    days = [day for day in (full, newest) if day is not None]
+    if not days:
+        return f"{root}/gold"
     # bounds on the time of sale reach the scan
     sales = daily.between_days(sales, "transaction_timestamp", min(days), max(days))
     tables.append_partitioned(sales, f"{root}/silver", ["partition_date"])
     dims = fx.products(spark, d), fx.customers(spark, d)
-    ran = [
-        run_gold(spark, f"{root}/silver", f"{root}/gold", day, *dims, f"{day} 12:00:00", fx.TIERS).withColumn("day", F.lit(day))
-        for day in days
-    ]
-    return f"{root}/gold", ran
+    for day in days:
+        ran = run_gold(spark, f"{root}/silver", f"{root}/gold", day, *dims, f"{day} 12:00:00", fx.TIERS).collect()
+        failed = [f"{r['step']}: {r['detail']}" for r in ran if r["status"] == "failed"]
+        if failed:
+            raise RuntimeError(f"gold run of {day} failed: {'; '.join(failed)}")
+    return f"{root}/gold"
 
 
-_GOLD_DAYS = ("2001-06-28", "2001-06-29")
+def _gold_table(spark, root: str, name: str) -> DataFrame:
+    """A gold table; one that no run has filled has no rows."""
+    stored = tables.read_or_none(spark, f"{root}/{name}")
+    return spark.createDataFrame([], GOLD_TABLES[name]) if stored is None else stored
 
 
 def _day_gold(day: str) -> str:
     """Rows of all three gold tables of a day: table, id, numbers, tier, stamps."""
     return f"""SELECT * FROM (WITH {SUMMARY}, {performance(day=day)}, {segments(day)},
     rows_of AS (SELECT 'daily_sales_summary' AS table_name, 0 AS id, total_transactions AS n, total_revenue AS amount,
-        avg_transaction_value AS mean, '' AS tier FROM summary WHERE partition_date = '{day}' UNION ALL
+        avg_transaction_value AS mean, '' AS tier FROM summary WHERE partition_date = {day} UNION ALL
       SELECT 'product_performance', product_id, transaction_count, revenue, avg_selling_price, '' FROM performance UNION ALL
       SELECT 'customer_segments', customer_id, purchase_count, total_spend, avg_order_value, value_tier FROM segments)
-    SELECT *, '{day}' AS data_date, '{day} 12:00:00' AS created_at FROM rows_of)"""
+    SELECT *, {day} AS data_date, {day} || ' 12:00:00' AS created_at FROM rows_of)"""
 
 
-@query("gold_run", f"WITH {CLEAN}, {PARTS}, {BUYERS} " + " UNION ALL ".join(_day_gold(day) for day in _GOLD_DAYS))
+@query("gold_run", f"WITH {CLEAN}, {PARTS}, {BUYERS} " + " UNION ALL ".join(_day_gold(day) for day in (_FULL, _NEWEST)))
 def _(spark, d):
     """What the runs of two days stored."""
-    root, _ran = _gold_of(spark, d, _GOLD_DAYS)
+    root = _gold_of(spark, d)
     columns = {
         "daily_sales_summary": (F.lit(0).cast("bigint"), "total_transactions", "total_revenue", "avg_transaction_value", F.lit("")),
         "product_performance": ("product_id", "transaction_count", "revenue", "avg_selling_price", F.lit("")),
@@ -357,7 +371,7 @@ def _(spark, d):
     }
     parts = []
     for name, (key, n, amount, mean, tier) in columns.items():
-        stored = tables.read_table(spark, f"{root}/{name}")
+        stored = _gold_table(spark, root, name)
         mean = F.col(mean) if name != "product_performance" else round_half_up(F.col(mean), MEAN_DIGITS)
         at = F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at")
         key, tier = (F.col(c) if isinstance(c, str) else c for c in (key, tier))
@@ -370,13 +384,10 @@ def _(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-_NEWEST = _GOLD_DAYS[-1]
-
-
 @query(
     "gold_dashboard",
     f"""WITH {CLEAN}, {PARTS}, {BUYERS}, {SUMMARY}, {performance(day=_NEWEST)}, {segments(_NEWEST)},
-    newest AS (SELECT * FROM summary WHERE partition_date = '{_NEWEST}')
+    newest AS (SELECT * FROM summary WHERE partition_date = {_NEWEST})
     SELECT 'total_revenue' AS panel, '' AS item, total_revenue AS value FROM newest UNION ALL
     SELECT 'total_transactions', '', CAST(total_transactions AS DOUBLE) FROM newest UNION ALL
     SELECT 'unique_customers', '', CAST(unique_customers AS DOUBLE) FROM newest UNION ALL
@@ -387,9 +398,9 @@ _NEWEST = _GOLD_DAYS[-1]
 )
 def _(spark, d):
     """The panels of the newest day, read from stored gold tables of which they open one partition."""
-    root, _ran = _gold_of(spark, d, _GOLD_DAYS)
+    root = _gold_of(spark, d)
     summary, performance_, segments_ = (
-        tables.read_table(spark, f"{root}/{t}") for t in ("daily_sales_summary", "product_performance", "customer_segments")
+        _gold_table(spark, root, t) for t in ("daily_sales_summary", "product_performance", "customer_segments")
     )
     day = reports.newest(summary, "partition_date")
     shown_day = reports.on_day(summary, "partition_date", day)

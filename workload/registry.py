@@ -104,8 +104,9 @@ summary AS (SELECT day AS partition_date, sales AS total_transactions, buyers AS
 
 
 def performance(per_day: bool = False, day: str | None = None) -> str:
+    """``day`` is an SQL expression."""
     keys = "product_id, partition_date AS data_date" if per_day else "product_id"
-    only = f" AND partition_date = '{day}'" if day else ""
+    only = f" AND partition_date = {day}" if day else ""
     shown = ", data_date" if per_day else ""
     return f"""sold AS (
   SELECT {keys}, count(transaction_id) AS n, sum(quantity)::BIGINT AS units, {money("total_amount")} AS earned,
@@ -117,7 +118,7 @@ performance AS (SELECT product_id, product_name, category, n AS transaction_coun
 
 
 def segments(day: str | None = None) -> str:
-    only = f" AND partition_date = '{day}'" if day else ""
+    only = f" AND partition_date = {day}" if day else ""
     levels = " ".join(f"WHEN spent > {limit} THEN '{name}'" for limit, name in fx.TIERS)
     return f"""bought AS (
   SELECT customer_id, count(transaction_id) AS n, {money("total_amount")} AS spent, count(total_amount) AS priced,
