@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.session import materialise, new_scratch
+from lakeops.sources.layers import batch_view
 
 
 def declare(
@@ -67,3 +68,27 @@ def lineage_impact(
         fresh.write.mode("append").parquet(path)
         frontier = fresh
     return spark.read.schema(schema).parquet(path).where("depth > 0")
+
+
+def lineage_closure(edges: DataFrame, start: str, direction: str = "downstream", max_depth: int = 10) -> DataFrame:
+    """``lineage_impact`` in one statement, a recursive query, for small graphs.
+
+    The recursion has no memory of what it has seen: a dataset is expanded once for every
+    path that leads to it, and only ``max_depth`` ends a cycle. Spark stops it beyond
+    ``spark.sql.cteRecursionRowLimit`` rows (a million); larger graphs take
+    ``lineage_impact``, which expands every dataset once.
+    """
+    if direction not in ("downstream", "upstream"):
+        raise ValueError(f"unknown direction {direction!r}")
+    into, out_of = ("src", "dst") if direction == "downstream" else ("dst", "src")
+    with batch_view(edges, "edges") as view:
+        return edges.sparkSession.sql(
+            f"""WITH RECURSIVE hops AS (
+                SELECT DISTINCT a.{into} AS x, b.{out_of} AS y FROM {view} a JOIN {view} b ON a.task = b.task
+                WHERE a.{into} IS NOT NULL AND b.{out_of} IS NOT NULL),
+              reach(dataset, depth) AS (
+                SELECT CAST(:start AS STRING), 0
+                UNION ALL SELECT y, depth + 1 FROM reach JOIN hops ON dataset = x WHERE depth < {int(max_depth)})
+            SELECT dataset, MIN(depth) AS depth FROM reach WHERE depth > 0 AND dataset <> :start GROUP BY dataset""",
+            {"start": start},
+        )

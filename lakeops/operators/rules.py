@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lakeops.functions.times import Moment, wall_clock
 
@@ -179,3 +180,22 @@ def funnel(
         F.count_if("_clean").alias("records_cleaned"),
         F.count_if(new).alias("records_written"),
     ).withColumn("duplicates_removed", F.col("records_cleaned") - F.col("records_written"))
+
+
+def observed_funnel(
+    raw: DataFrame, rules: Sequence[Rule], existing: DataFrame | None, key: str, store: Callable[[DataFrame], None]
+) -> dict[str, int]:
+    """``store`` the rows that are clean and new; the counts of ``funnel`` from that same job.
+
+    Observed metrics ride on the write, so the input is read once. Spark counts each
+    partition of the job that ends well once; only a stage that has to run again after its
+    output was lost with an executor may count twice, which ``funnel`` never does. The
+    join's input is counted before it, so ``store`` must read its frame once.
+    """
+    read, cleaned, written = (Observation(f"{n}-{uuid.uuid4().hex}") for n in ("read", "cleaned", "written"))
+    count = F.count(F.lit(1)).alias("n")
+    clean = accept(raw.observe(read, count), rules).observe(cleaned, count)
+    fresh = clean if existing is None else not_stored(clean, existing, [key])
+    store(fresh.observe(written, count))
+    n = {"records_read": read.get["n"], "records_cleaned": cleaned.get["n"], "records_written": written.get["n"]}
+    return {**n, "duplicates_removed": n["records_cleaned"] - n["records_written"]}

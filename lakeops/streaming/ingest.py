@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeops.operators.rules import accept, sales_rules
-from lakeops.operators.silver import anti_dedup, to_silver_schema
+from lakeops.operators.silver import anti_dedup, keep_first, to_silver_schema
 from lakeops.schemas import SALES_SILVER
 from lakeops.session import Scratch
-from lakeops.sources.tables import append_partitioned, read_or_none
+from lakeops.sources.key_index import KeyIndex
+from lakeops.sources.tables import append_partitioned, read_or_none, replace_partitions
 
 
 def ingest_incremental(
@@ -72,3 +73,31 @@ def silver_handler(
             append_partitioned(fresh, path, list(partition_cols))
 
     return handle
+
+
+def indexed_handler(
+    path: str,
+    index: KeyIndex,
+    as_of: str,
+    max_product_id: int | None = None,
+    run_date: str | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """As ``silver_handler`` over the whole table, but the stored keys stay where they lie.
+
+    The table has a partition column ``batch`` beside the day. A batch handed over again
+    ignores the keys it has stored itself and replaces its own partitions, so it
+    leaves what it left the first time.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        typed = to_silver_schema(batch, run_date, as_of)
+        with Scratch(spark, "batch") as scratch:
+            clean = accept(typed, sales_rules(as_of, max_product_id))
+            fresh = scratch.store(keep_first(index.fresh(clean, batch_id), "transaction_id"))
+            if fresh.isEmpty():
+                return
+            replace_partitions(fresh.withColumn("batch", F.lit(batch_id)), path, ["partition_date", "batch"])
+            index.add(fresh, batch_id)
+
+    return handle

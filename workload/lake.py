@@ -136,24 +136,24 @@ def _(spark, d):
 
 # --- incremental ----------------------------------------------------------------------
 
-_RUNS = ("2001-06-28", "2001-06-29", "2001-06-30")
+RUN_DATES = ("2001-06-28", "2001-06-29", "2001-06-30")
 _ORDER = (
     "customer_id, product_id, quantity, unit_price, total_amount, transaction_timestamp,"
     " payment_method, store_id, status"
 )
 
 
-@query(
-    "incremental_ingest",
-    f"""WITH {CLEAN}, ranked AS (SELECT *, store_id % 3 AS run, row_number() OVER (
+INGESTED_ONCE = f"""WITH {CLEAN}, ranked AS (SELECT *, store_id % 3 AS run, row_number() OVER (
         PARTITION BY transaction_id ORDER BY store_id % 3, {_ORDER}) AS n FROM clean)
-    SELECT {SALE_COLUMNS}, CASE run WHEN 0 THEN '{_RUNS[0]}' WHEN 1 THEN '{_RUNS[1]}'
-      ELSE '{_RUNS[2]}' END AS run_date FROM ranked WHERE n = 1""",
-)
+    SELECT {SALE_COLUMNS}, CASE run WHEN 0 THEN '{RUN_DATES[0]}' WHEN 1 THEN '{RUN_DATES[1]}'
+      ELSE '{RUN_DATES[2]}' END AS run_date FROM ranked WHERE n = 1"""
+
+
+@query("incremental_ingest", INGESTED_ONCE)
 def _(spark, d):
     root = new_scratch(spark, "incremental")
     raw, n = fx.sales_raw(spark, d), fx.max_product_id(spark, d)
-    for i, run_date in enumerate(_RUNS):
+    for i, run_date in enumerate(RUN_DATES):
         land_raw(raw.where(F.col("store_id") % 3 == i), root, "sales", run_date.replace("-", ""))
         handler = silver_handler(f"{root}/silver", fx.AS_OF, n, run_date, scope="table")
         ingest_incremental(spark, f"{root}/sales", SALES_RAW, f"{root}/checkpoint", handler)

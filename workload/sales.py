@@ -87,15 +87,15 @@ def _(spark, d):
     return shown(rejected.withColumn("reasons", F.array_join("reject_reasons", ",")), "reasons")
 
 
-@query(
-    "silver_funnel",
-    f"""WITH {CLEAN}, old AS (SELECT DISTINCT transaction_id FROM clean WHERE partition_date < '{SPLIT}'),
+FUNNEL = f"""WITH {CLEAN}, old AS (SELECT DISTINCT transaction_id FROM clean WHERE partition_date < '{SPLIT}'),
     n AS (SELECT (SELECT COUNT(*) FROM sales_raw) AS records_read,
                  (SELECT COUNT(*) FROM clean) AS records_cleaned,
                  (SELECT COUNT(*) FROM clean WHERE transaction_id NOT IN
                     (SELECT transaction_id FROM old)) AS records_written)
-    SELECT *, records_cleaned - records_written AS duplicates_removed FROM n""",
-)
+    SELECT *, records_cleaned - records_written AS duplicates_removed FROM n"""
+
+
+@query("silver_funnel", FUNNEL)
 def _(spark, d):
     stored, _new = split(clean(spark, d))
     return r.funnel(typed(spark, d), sales_rules(spark, d), stored, "transaction_id")
