@@ -2,24 +2,27 @@
 
 A document is the set of its distinct 5-word shingles. Sets fall into bands of size; two
 sets of a Jaccard similarity of at least 0.8 differ in at most (a + b) / 9 shingles, so in
-a band with largest size r in at most k = 2r/9. The shingle domain is cut into 5k/4 + SPARE
-parts by a hash; the set's shingles in one part, if two or more, make a signature. k
-differences can spoil k parts at most: a set with more than k such parts agrees with every
-similar set of the band in one of them. The few sets with fewer also give every shingle as
-a signature, which settles pairs of two such sets. A set near the upper end of its band
-also signs for the next band. No similar pair is missed. (Parts of a single shingle are
-left out because every passage that two documents share would make them candidates.)
+a band with largest size r in at most k = 2r/9. The shingle domain is cut by a hash into
+groups, 9k/16 + SPARE of them, and every group into three parts. On the first level k
+differences cannot put two into every group; on the second, a group with one difference
+keeps two of its three parts: so the subsets of two parts of each group are enumerated, and
+the set's shingles in such a subset, if two or more, make a signature. How many signatures
+of a set k differences can spoil at most is counted exactly, group by group; a set with more
+agrees with every similar set of the band in one of them. The few sets with fewer also give
+every shingle as a signature, which settles pairs of two such sets. A set near the upper end
+of its band also signs for the next band. No similar pair is missed. (Subsets with a single
+shingle are left out because every passage that two documents share would make them candidates.)
 
 Sets that share a signature are candidates. More is promised: similar sets agree in at least
-t = parts - k signatures, so each set goes without its t - 1 most frequent ones. True overlaps
+t = signatures - spoiled ones, so each set goes without its t - 1 most frequent ones. True overlaps
 are counted, but not for all pairs of a signature's bucket. Each set is compared with its pivot, the
 set that leads most of its buckets; that unites
 most of a group of near copies at the cost of one comparison each. Sets that have their pivot
 in common are then joined on what sets them apart from it (prefixes of the rarest hashes
-first), which finds their similar pairs without going through all. What is left in a
-signature's bucket, sets of different pivots that are not united, is compared in rounds with
-one, sixteen, 256 ... of the bucket's sets, until every pair is either compared or united.
-No link between different groups is lost.
+first), which finds their similar pairs without going through all. Sets that still share a
+signature with one of another pivot that is not united with them are joined on their own
+shingles, the rarest first: two similar sets have one in common among the few first of both, so
+what many sets share brings none of them together. No link between different groups is lost.
 
 Defined cases: a null or wordless text has an empty set and is linked with nothing; fewer
 than five words are one shingle; rows with the same id are one node with several sets; rows
@@ -43,12 +46,12 @@ from lakeops.session import materialise
 WORDS = 5
 #: The similarity as a ratio: 4 / 5.
 NUM, DEN = 4, 5
-#: Parts beyond 5k/4, so that poor parts hardly ever use up the guarantee.
-SPARE = 8
+#: Groups beyond 9k/16, so that poor groups hardly ever use up the guarantee.
+SPARE = 4
+#: Parts of a group; its signatures leave out one of them each.
+SPLIT = 3
 #: Bands grow by 1 / 0.64: two steps of the largest ratio between similar sets.
 GROWTH = (25, 16)
-#: How many times as many sets of a bucket the next round compares with.
-STEP = 16
 _CACHE_WORDS = 500_000
 _U = np.uint64
 
@@ -110,14 +113,23 @@ def sign(u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out, notes = [], []
     inner = mix(u + _U(0x632BE59BD9B4E019))
     for place, (number, most) in enumerate(places):
-        parts = 5 * (2 * most // 9) // 4 + SPARE
-        part = (u % _U(parts)).astype(np.int64)
-        total = np.zeros(parts, _U)
+        groups = 9 * (2 * most // 9) // 16 + SPARE
+        part = (u % _U(groups * SPLIT)).astype(np.int64)
+        total = np.zeros(groups * SPLIT, _U)
         np.add.at(total, part, inner)
-        used = np.flatnonzero(np.bincount(part, minlength=parts) > 1)
+        total = total.reshape(groups, SPLIT)
+        count = np.bincount(part, minlength=groups * SPLIT).reshape(groups, SPLIT)
+        # a signature is a group without one of its parts
+        used = count.sum(1, keepdims=True) - count > 1
+        content = (total.sum(1, keepdims=True, dtype=_U) - total)[used]
         salt = mix(np.array([number + 1], _U))
-        agree = len(used) - (size + min(largest_partner, most)) // 9
-        out.append(mix(total[used] + salt * (used.astype(_U) + _U(1))))
+        out.append(mix(content + salt * (np.flatnonzero(used).astype(_U) + _U(1))))
+        # the first difference in a group spoils all but one of its signatures, the second that one
+        have = used.sum(1)
+        first = have - used.min(1)
+        spoils = np.sort(np.concatenate([first, have - first]))
+        differences = (size + min(largest_partner, most)) // 9
+        agree = int(have.sum() - spoils[max(0, len(spoils) - differences) :].sum())
         if agree < 1:
             out.append(mix(u + salt))
         count = sum(map(len, out)) - sum(map(len, notes))
@@ -267,37 +279,67 @@ def _resolve(rows: DataFrame, buckets: DataFrame, rep_of: DataFrame) -> DataFram
         .join(is_pivot, "rep", "left")
         .select("rep", F.when(F.col("_pivot"), F.col("rep")).otherwise(F.coalesce("_of", "rep")).alias("family"))
     )
-    of_family = materialise(of_family.groupBy("rep").agg(F.min("family").alias("family")), "families")
-    width, label = 1, None
-    while True:
-        if label is None:  # as long as no round finds a link, what is united stays the same
-            label = components(links).select(F.col("node").alias("rep"), F.col("component").alias("_label"))
-            label = materialise(label, "labels")
-        labelled = members.select("sig", "rep", "shared", "low", "high").join(of_family, "rep").join(label, "rep", "left")
-        labelled = labelled.withColumn("label", F.coalesce("_label", "rep")).drop("_label")
-        size = labelled.groupBy("sig").agg(
-            F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y"),
-            F.min("family").alias("f"), F.max("family").alias("g"),
-        )
-        members = materialise(labelled.join(size.where((F.col("x") < F.col("y")) & (F.col("f") < F.col("g")) & (F.col("n") > width // STEP + 1)).select("sig"), "sig"), "members")
-        if members.isEmpty():
-            return links
-        ranked = members.withColumn("rank", F.row_number().over(order))
-        heads = ranked.where(F.col("rank") <= width).select(
-            "sig", *[F.col(c).alias(f"head_{c}") for c in ("rep", "rank", "label", "family", "low", "high")]
-        )
-        pairs = ranked.join(heads, "sig").where(
-            (F.col("rank") > F.col("head_rank")) & (F.col("label") != F.col("head_label")) & (F.col("family") != F.col("head_family"))
-        )
-        pairs = pairs.where(_sizes_fit("low", "high", "head_low", "head_high"))
-        new = _ordered(pairs.select(F.col("head_rep").alias("a"), F.col("rep").alias("b"))).distinct()
-        checked = _verify(rows, new.join(tested, ["a", "b"], "left_anti"))
-        found = checked.where("linked").select("a", "b")
-        if not found.isEmpty():
-            links, label = links.unionByName(found), None
-        tested = tested.unionByName(checked.select("a", "b"))
-        # buckets of up to width + 1 sets are through; the next round compares with more of each
-        width *= STEP
+    of_family = of_family.groupBy("rep").agg(F.min("family").alias("family"))
+    label = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_label"))
+    known = of_family.join(label, F.col("rep") == F.col("_node"), "left")
+    known = materialise(known.select("rep", "family", F.coalesce("_label", "rep").alias("label")), "families")
+    labelled = members.select("sig", "rep").join(known, "rep")
+    several = labelled.groupBy("sig").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("label", "family") for f in (F.min, F.max)])
+    several = several.where("min_label < max_label AND min_family < max_family").select("sig")
+    left = materialise(labelled.join(several, "sig").select("rep", "family", "label").distinct(), "left")
+    rest = _ordered(_prefix_candidates(rows, left)).distinct()
+    checked = _verify(rows, rest.join(tested, ["a", "b"], "left_anti"))
+    return links.unionByName(checked.where("linked").select("a", "b"))
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each hash of a set; s tells the sets of one id apart."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 512):
+            part = batch.slice(start, 512)
+            sets = [np.frombuffer(x, np.int64) for x in part.column("shingles").to_pylist()]
+            sizes = np.array(list(map(len, sets)), np.int64)
+            keys = [xxhash.xxh3_64_intdigest(x, seed=i & 0xFFFFFFFF) for x, i in zip(part.column("shingles").to_pylist(), part.column("id").to_pylist())]
+            wide = lambda x: pa.array(np.repeat(x, sizes))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    wide(np.array(keys, _U).view(np.int64)), wide(part.column("id").to_numpy()), wide(sizes),
+                    pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)),
+                ],
+                ["s", "rep", "n", "e"],
+            )
+
+
+def _prefix_candidates(rows: DataFrame, left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the sets ``left`` of different label and family that may be similar.
+
+    Sets of x and y hashes are similar only if they have t = 4 (x + y) / 9 of them in common. In
+    any order of the hashes that all sets keep to, the first common one is then
+    among the first x - t + 1 of one and the first y - t + 1 of the other. The order is from
+    the rarest on; hashes that only one set has are counted and not joined.
+    """
+    own = _sets_of(rows, left.select("rep")).mapInArrow(_prefixes, "s bigint, rep bigint, n bigint, e bigint")
+    own = materialise(own, "elements")
+    often = own.groupBy("e").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    common = own.join(often, "e")
+    alone = F.col("n") - F.count(F.lit(1)).over(W.partitionBy("s"))
+    place = alone + F.row_number().over(W.partitionBy("s").orderBy("often", "e"))
+    # the longest prefix that any partner asks for, the smallest one
+    placed = common.withColumn("pos", place).where(F.col("pos") <= F.floor(F.col("n") / DEN) + 1).join(left, "rep")
+    placed = materialise(placed.select("e", "rep", "n", "pos", "label", "family"), "placed")
+    shared = placed.groupBy("e").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("label", "family") for f in (F.min, F.max)])
+    shared = shared.where("min_label < max_label AND min_family < max_family").select("e")
+    placed = materialise(placed.join(shared, "e"), "shared")
+    x, y = (placed.select("e", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "pos", "label", "family")]) for k in "xy")
+    needed = F.ceil(NUM * (F.col("n_x") + F.col("n_y")) / (NUM + DEN))
+    meet = (
+        (F.col("rep_x") < F.col("rep_y"))
+        & (F.col("label_x") != F.col("label_y"))
+        & (F.col("family_x") != F.col("family_y"))
+        & (F.col("pos_x") <= F.col("n_x") - needed + 1)
+        & (F.col("pos_y") <= F.col("n_y") - needed + 1)
+    )
+    return x.join(y, "e").where(meet).select(F.col("rep_x").alias("a"), F.col("rep_y").alias("b"))
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -312,16 +354,20 @@ def _sizes_fit(low: str, high: str, other_low: str, other_high: str) -> str:
 def _verify(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """a, b, linked, apart (hashes in one of the sets only), stored; only the pairs' texts are read again."""
     pairs = materialise(pairs, "pairs")
-    wanted = materialise(pairs.select(F.col("a").alias("_rep")).union(pairs.select("b")).distinct(), "wanted")
-    texts = rows.join(small_side(wanted), F.col("id") == F.col("_rep"), "left_semi")
-    sets = materialise(texts.mapInArrow(_sets, "id bigint, shingles binary"), "sets")
-    if sets.count() > wanted.count():  # rows that repeat an id
-        sets = sets.distinct()
+    sets = _sets_of(rows, pairs.select(F.col("a").alias("rep")).union(pairs.select("b")))
     left, right = (sets.select(F.col("id").alias(k), F.col("shingles").alias(f"set_{k}")) for k in ("a", "b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b")
     return materialise(both.mapInArrow(_compare, "a bigint, b bigint, linked boolean, apart array<bigint>"), "checked")
 
 
+def _sets_of(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """id, shingles of the sets with these ids, stored; each once."""
+    wanted = materialise(reps.select(F.col("rep").alias("_rep")).distinct(), "wanted")
+    texts = rows.join(small_side(wanted), F.col("id") == F.col("_rep"), "left_semi")
+    sets = materialise(texts.mapInArrow(_sets, "id bigint, shingles binary"), "sets")
+    return sets.distinct() if sets.count() > wanted.count() else sets  # rows that repeat an id
+
+
 def _family_candidates(first: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs (a, b) of sets with one pivot that may be similar, of which one is not linked with it.
 
