@@ -18,8 +18,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakeops.llm.frames import materialise
 from lakeops.llm.words import ascii_lower, hidden, text_of, with_windows
-from lakeops.session import materialise
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13

@@ -1,14 +1,18 @@
-"""Code for the executors, joins by checked size, connected components."""
+"""Code for the executors, tables that are passed on and go, joins by checked size, components."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.session import materialise
+from lakeops.session import new_scratch
 
 #: Up to so many rows of a few numbers a stored table is broadcast: about 64 MB in memory.
 BROADCAST_ROWS = 1_000_000
@@ -31,6 +35,31 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_folder: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder that takes what ``materialise`` stores inside; whoever opens it removes it.
+
+    That is due as soon as what was made from its tables is stored itself.
+    """
+    path = f"{_folder.get()}/{label}-{uuid.uuid4().hex}" if _folder.get() else new_scratch(spark, label)
+    token = _folder.set(path)
+    try:
+        yield path
+    finally:
+        _folder.reset(token)
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """As ``lakeops.session.materialise``, in the open scratch folder if there is one."""
+    spark = df.sparkSession
+    path = f"{_folder.get()}/{label}-{uuid.uuid4().hex}" if _folder.get() else new_scratch(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small_side(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``table``, marked for broadcast if a count proves it small; else it is shuffled."""
     return F.broadcast(table) if table.count() <= rows else table

@@ -39,9 +39,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from lakeops.llm.frames import components, small_side
+from lakeops.llm.frames import components, materialise, scratch_folder, small_side
 from lakeops.llm.words import hidden
-from lakeops.session import materialise
+from lakeops.session import remove
 
 WORDS = 5
 #: The similarity as a ratio: 4 / 5.
@@ -214,7 +214,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_shingles, component: one row per row of ``docs``."""
+    """id, n_shingles, component: one row per row of ``docs``, stored; all else that was stored on the way goes."""
+    spark = docs.sparkSession
+    with scratch_folder(spark, "jaccard") as folder:
+        found = _join(docs, doc_id, text)
+    stored = materialise(found, "similar")
+    remove(spark, folder)
+    return stored
+
+
+def _join(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     rows = _narrow(docs, doc_id, text)
     buckets = materialise(
         rows.mapInArrow(_sign_all, ROWS).repartition("sig").sortWithinPartitions("sig").mapInArrow(_shared, ROWS), "buckets"
@@ -408,7 +417,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Wordless documents and those without an id all stay; of rows that repeat an id one stays.
     """
-    found = materialise(join_similar(docs, doc_id, text).where("id IS NOT NULL AND n_shingles > 0"), "similar")
+    found = join_similar(docs, doc_id, text).where("id IS NOT NULL AND n_shingles > 0")
     repeated = found.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
     repeated = materialise(repeated, "repeated")
     gone = found.where("id <> component").select("id").unionByName(repeated).distinct()

@@ -25,8 +25,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakeops.llm.frames import materialise
 from lakeops.llm.words import ascii_lower, stretch, text_of, with_windows
-from lakeops.session import materialise
 
 WORDS = 5
 BANDS = 64

@@ -33,9 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm.frames import small_side
+from lakeops.llm.frames import materialise, small_side
 from lakeops.llm.words import hidden, text_of
-from lakeops.session import materialise, new_scratch
+from lakeops.session import new_scratch
 
 THRESHOLD = 10
 SLOTS = 4

@@ -25,10 +25,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeops.llm.frames import small_side
+from lakeops.llm.frames import materialise, small_side
 from lakeops.llm.words import ascii_lower
 from lakeops.operators.ordered import number_rows
-from lakeops.session import materialise
 
 FAN = 8
 #: Digits of a rank within a block: 512 leaves, some 80 KB.

@@ -23,9 +23,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from lakeops.llm.frames import materialise
 from lakeops.llm.words import hidden, space_words, text_of
 from lakeops.operators.ordered import number_rows
-from lakeops.session import materialise
 
 BUCKETS = 1 << 12
 MAX_EPOCHS = 3

@@ -20,8 +20,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakeops.llm.frames import materialise
 from lakeops.llm.words import SPACES, hidden, space_words, stretch, text_of, with_windows, without
-from lakeops.session import materialise
 
 SYMBOLS = "#*$%&|<>"
 

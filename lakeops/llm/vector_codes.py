@@ -35,8 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakeops.llm.frames import small_side
-from lakeops.session import materialise, new_scratch, remove
+from lakeops.llm.frames import materialise, small_side
+from lakeops.session import new_scratch, remove
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 OWNER_ROWS = 1 << 16

@@ -31,9 +31,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm.frames import small_side
+from lakeops.llm.frames import materialise, small_side
 from lakeops.llm.words import text_of
-from lakeops.session import materialise
 
 MIN_REVISIT = 1000
 #: Ranges closer than this are read in one request, of at most so many bytes.
