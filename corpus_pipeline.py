@@ -1,7 +1,8 @@
 """Documents to training tokens in five stages.
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read again as
-the next one's docs. All but the last return the columns of documents.
+the next one's docs. All but the last return the columns of documents. What a stage has stored
+on the way goes when the next one begins, unless that one still reads it.
 """
 
 from __future__ import annotations
@@ -9,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm import decontaminate, jaccard_join, mixing, quality_rules, token_grammar
-from lakeops.llm.frames import ship
+from lakeops.llm.frames import scratch_folder, ship
 from lakeops.llm.queries import table, tokenizer_file
-from lakeops.session import materialise, new_scratch
+from lakeops.session import materialise, new_scratch, remove
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,16 +42,32 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_grammar.read_documents(spark, path)
 
 
-def _shipped(stage):
-    return lambda spark, docs, sf_dir: stage(ship(spark), docs, sf_dir)
+#: Folders of stages that have returned.
+_passed: list[str] = []
+
+
+def _staged(name: str, stage):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        still_read = docs.inputFiles() if _passed else []
+        for folder in [*_passed]:
+            place = folder.split("://")[-1].removeprefix("file:")
+            if not any(place in f for f in still_read):
+                remove(spark, folder)
+                _passed.remove(folder)
+        with scratch_folder(spark, name) as folder:
+            out = stage(ship(spark), docs, sf_dir)
+        _passed.append(folder)
+        return out
+
+    return name, run_stage
 
 
 STAGES = [
-    ("quality_rules", _shipped(quality)),
-    ("ngram_jaccard_join", _shipped(near_duplicates)),
-    ("decontamination", _shipped(decontamination)),
-    ("source_mix", _shipped(mixture)),
-    ("token_grammar", _shipped(tokens)),
+    _staged("quality_rules", quality),
+    _staged("ngram_jaccard_join", near_duplicates),
+    _staged("decontamination", decontamination),
+    _staged("source_mix", mixture),
+    _staged("token_grammar", tokens),
 ]
 
 #: No SQL form: the last stage encodes with a tokenizer. Tests compare it with brute force.
