@@ -23,6 +23,7 @@ import hashlib
 import math
 import re
 import string
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -76,7 +77,7 @@ def base_spans(text: str) -> list[Span]:
         for i in range(0, len(parts) - 3, 4):
             four = parts[i : i + 4]
             end = at + sum(map(len, four)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in four)):
                 out.append((at, end, "ip"))
             at = end + 1
     for m in _DIGITS.finditer(text):
@@ -98,9 +99,9 @@ PLAIN_WORDS = ("order", "version", "page", "year", "isbn", "issue", "number", "c
 GENERATORS: list[tuple[str, re.Pattern]] = [
     ("secret", re.compile(r"(?i:pass(?:word|wd|phrase)|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}(?:=|:|\bis\b)\s{0,3}[\"']?([^\s\"',;<>]{4,}+)")),
     ("secret", re.compile(r"(?<![A-Za-z0-9_+/-])([A-Za-z0-9_+/-]{16,}+={0,2})(?![A-Za-z0-9_+/-])")),
-    ("email", re.compile(r"([A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s)\s?[A-Za-z0-9-]{1,63}){1,4})")),
+    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++\s?(?:\(at\)|\[at\]|\{at\}|\sat\s)\s?[A-Za-z0-9-]++(?:\s?(?:\(dot\)|\[dot\]|\{dot\}|\sdot\s)\s?[A-Za-z0-9-]++)+)")),
     ("account", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:\s?[A-Z0-9]{4}){2,7}(?:\s?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")),
-    ("number", re.compile(r"(?<![0-9A-Za-z.+])(\(?[0-9]{2,20}\)?(?:[\x20./-]{1,2}[0-9]{2,20}){0,6})(?![0-9A-Za-z])")),
+    ("number", re.compile(r"(?<![0-9A-Za-z.+])(\(?[0-9]{2,}+\)?(?:[\x20./-]{1,2}[0-9]{2,}+)*)(?![0-9A-Za-z])")),
 ]
 # How keys of well-known services begin.
 _KEY_START = re.compile(r"(?:sk_|pk_|AKIA|ASIA|ghp_|gho_|xox[abp]-|AIza)")
@@ -113,7 +114,8 @@ _NAMED = [
 # names written together, as in dbpassword: the long words stand for themselves anywhere
 _JOINED = re.compile(r"(?i:password|passwd|passphrase|token|secret|api_?key|access_?key|private_?key|credential)[a-zA-Z_-]{0,16}[\"']?\s{0,3}[=:]\s{0,3}[\"']?\Z")
 _DIGIT = re.compile(r"[0-9]")
-_HINT = re.compile(r"[@(\[{=:]|[0-9]|(?:\bis\b)")
+# every generator needs one of these; a text without them has no candidate
+_HINT = re.compile(r"[@(\[{=:]|[0-9]|\bis\b|\sat\s")
 
 
 @dataclass
@@ -315,6 +317,19 @@ def labelled(rows: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return np.array(xs[:rows]), np.array(ys[:rows])
 
 
+def _united(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover, in order and apart from each other."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end, _ in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 @dataclass
 class Model:
     trees: Boosted
@@ -325,12 +340,14 @@ class Model:
         if not found:
             return []
         p = self.trees.predict(np.array([c.features for c in found]))
-        taken = [(s, e) for s, e, _ in base]
+        starts, ends = _united(base)
         out = []
         for i in sorted(range(len(found)), key=lambda i: (-p[i], found[i].start, -found[i].end)):
             c = found[i]
-            if p[i] >= self.thresholds[c.generator] and all(c.end <= s or e <= c.start for s, e in taken):
-                taken.append((c.start, c.end))
+            at = bisect_left(starts, c.end)  # the last taken span that begins before the candidate ends
+            if p[i] >= self.thresholds[c.generator] and (not at or ends[at - 1] <= c.start):
+                starts.insert(at, c.start)
+                ends.insert(at, c.end)
                 out.append((c.start, c.end, GENERATORS[c.generator][0]))
         return out
 
