@@ -55,15 +55,13 @@ STOP_WORDS = set(
 )
 LONG, MEDIUM = 200, 70
 STOP_HIGH, STOP_LOW = 0.3, 0.15
-MAX_LINKS = 0.33
+MAX_LINKS, ALL_LINKS = 0.33, 0.95
+#: Least share of stop words in the running text of a page whose language they are of.
+KNOWN_LANGUAGE = 0.25
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?=[/a-zA-Z])[^<]*\Z",
-    re.S,
-)
+_NAME_END, _QUOTE_OR_END = re.compile(r"[\s/>]"), re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
-_RAW_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW}
+_RAW_END = {t: re.compile(rf"</{t}\b", re.I) for t in RAW}
 _SPACE = re.compile(r"\s+")
 
 
@@ -79,6 +77,85 @@ class Block:
     label: str = ""
 
 
+class Tags:
+    """Finds where tags end, in time that grows with the page, also where tags never end.
+
+    A tag that is not closed is text; a scan from it runs to where it fails. Every scan that
+    comes to a quote or bracket from which one has failed fails at once.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.failed = page, set()
+        self.known = {}  # pattern: the stretch without a match that was looked through last, and its end
+
+    def next(self, pattern: re.Pattern, at: int, hop: bool) -> int:
+        low, high = self.known.get((pattern, hop), (1, 0))
+        if not low <= at <= high:
+            m = pattern.search(self.page, at)
+            low, high = at, m.start() if m else len(self.page)
+            self.known[pattern, hop] = low, high
+        return high
+
+    def end(self, at: int) -> int:
+        """Place of the > that closes a tag whose attributes start at ``at``, or -1; quoted ones do not."""
+        passed, hop = [], False
+        while True:
+            at = self.next(_QUOTE_OR_END, at, hop)
+            if at < len(self.page) and self.page[at] == ">":
+                return at
+            passed.append(at)
+            close = -1 if at == len(self.page) or at in self.failed else self.page.find(self.page[at], at + 1)
+            if close < 0:
+                self.failed.update(passed)
+                return -1
+            at, hop = close + 1, True
+
+    def tag(self, at: int) -> tuple[bool, str, str, int] | None:
+        """closing, name, attributes and the end of the tag that starts at ``at``, if one does."""
+        name = at + 1 + self.page.startswith("/", at + 1)
+        first = self.page[name : name + 1]
+        if not (first.isascii() and first.isalpha()):
+            return None
+        until = self.next(_NAME_END, name, False)
+        end = self.end(until)
+        return None if end < 0 else (name > at + 1, self.page[name:until].lower(), self.page[until:end], end + 1)
+
+
+class Stack:
+    """The open elements, and where the last one of each tag is."""
+
+    def __init__(self, root: Element):
+        self.elements, self.places, self.blocks, self.forced = [root], {}, [], 0
+
+    @property
+    def top(self) -> Element:
+        return self.elements[-1]
+
+    def push(self, e: Element) -> None:
+        self.places.setdefault(e.tag, []).append(len(self.elements))
+        if e.tag == "p" or e.tag in BLOCK_TAGS:
+            self.blocks.append(len(self.elements))
+        self.forced += e.boiler and e.tag in FORCING
+        self.elements.append(e)
+
+    def pop_from(self, depth: int) -> None:
+        while len(self.elements) > depth:
+            e = self.elements.pop()
+            self.places[e.tag].pop()
+            if self.blocks and self.blocks[-1] == len(self.elements):
+                self.blocks.pop()
+            self.forced -= e.boiler and e.tag in FORCING
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost open element of a tag, 0 for none."""
+        own = self.places.get(tag)
+        return own[-1] if own else 0
+
+
+#: What never holds an article, even if one starts inside.
+FORCING = ("nav", "footer", "aside", "form", "template", "dialog")
+
+
 @dataclass
 class Element:
     tag: str
@@ -113,8 +190,7 @@ def _hinted(tag: str, attributes: str, in_article: bool) -> bool:
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order, with what pass one needs to know of them."""
-    root = Element("", False, 0, False, False)
-    stack: list[Element] = [root]
+    stack, tags = Stack(Element("", False, 0, False, False)), Tags(page)
     out: list[Block] = []
     now = Block()
     regions = 0
@@ -125,34 +201,46 @@ def blocks_of(page: str) -> list[Block]:
             now.text = _SPACE.sub(" ", "".join(now.parts)).strip()
             if now.text:
                 out.append(now)
-        top = stack[-1]
+        top = stack.top
         now = Block(region=top.region, in_article=top.in_article, boiler=top.boiler, heading=top.tag in ("h1", "h2", "h3"))
 
     def say(raw: str) -> None:
         if raw:
             text = unescape(raw)
             now.parts.append(text)
-            if stack[-1].link:
+            if stack.top.link:
                 now.linked += len(text.strip())
 
-    at = 0
-    while at < len(page):
-        m = _TOKEN.search(page, at)
-        if m is None:
-            say(page[at:])
+    said = at = 0  # up to where text was taken, up to where the page was read
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            say(page[said:])
             break
-        say(page[at : m.start()])
-        at = m.end()
-        if m[0].startswith("<![CDATA["):
-            say(m[0][9:].removesuffix("]]>"))
+        found = None
+        if page.startswith(("<!", "<?"), at):
+            cdata = page.startswith("<![CDATA[", at)
+            close = "-->" if page.startswith("<!--", at) else "]]>" if cdata else ">"
+            skip = 4 if close == "-->" else 9 if cdata else 2
+            until = page.find(close, at + skip)
+            say(page[said:at])
+            if cdata:
+                say(page[at + skip : until if until >= 0 else len(page)])
+            said = at = until + len(close) if until >= 0 else len(page)
             continue
-        if m[2] is None:
+        found = tags.tag(at)
+        if found is None:
+            if (page.startswith("/", at + 1) or page[at + 1 : at + 2].isalpha()) and page.find("<", at + 1) < 0:
+                say(page[said:at])  # the page breaks off inside a tag
+                break
+            at += 1
             continue
-        tag = m[2].lower()
-        if m[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth:
-                del stack[depth:]
+        say(page[said:at])
+        closing, tag, attributes, at = found
+        said = at
+        if closing:
+            if depth := stack.last(tag):
+                stack.pop_from(depth)
             if tag in BLOCK_TAGS:
                 end_block()
             continue
@@ -161,7 +249,8 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in RAW:
             end = _RAW_END[tag].search(page, at)
-            at = end.end() if end else len(page)
+            until = page.find(">", end.end()) if end else -1
+            said = at = until + 1 if until >= 0 else len(page)
             continue
         if tag in VOID:
             if tag in BLOCK_TAGS:
@@ -169,43 +258,64 @@ def blocks_of(page: str) -> list[Block]:
             continue
         # what the start of a block ends by itself
         if tag in ("p", "li", "td", "th", "tr", "dd", "dt", "option") or tag in BLOCK_TAGS:
-            if stack[-1].tag == "p" or (tag == stack[-1].tag and tag in ("li", "td", "th", "tr", "dd", "dt", "option")):
-                stack.pop()
-            elif tag == "p":  # inline elements left open inside a paragraph end with it
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag in BLOCK_TAGS), 0)
-                if depth and stack[depth].tag == "p":
-                    del stack[depth:]
-        top = stack[-1]
-        hint = _hinted(tag, m[3], top.in_article)
+            if stack.top.tag == "p" or (tag == stack.top.tag and tag in ("li", "td", "th", "tr", "dd", "dt", "option")):
+                stack.pop_from(len(stack.elements) - 1)
+            elif tag == "p" and stack.blocks:  # inline elements left open inside a paragraph end with it
+                depth = stack.blocks[-1]
+                if stack.elements[depth].tag == "p":
+                    stack.pop_from(depth)
+        top = stack.top
+        hint = _hinted(tag, attributes, top.in_article)
         region, in_article, boiler = top.region, top.in_article, top.boiler or hint
         if tag in REGIONS and not hint:
             if not top.in_article:
                 # an article starts afresh, also inside something left open before it
-                boiler = any(e.boiler and e.tag in ("nav", "footer", "aside", "form", "template", "dialog") for e in stack)
+                boiler = stack.forced > 0
             regions += not top.in_article
             region, in_article = (region if top.in_article else regions), True
-        if not m[3].rstrip().endswith("/") or tag in BLOCK_TAGS:
-            stack.append(Element(tag, boiler, region, in_article, top.link or tag == "a"))
+        if not attributes.rstrip().endswith("/") or tag in BLOCK_TAGS:
+            stack.push(Element(tag, boiler, region, in_article, top.link or tag == "a"))
         if tag in BLOCK_TAGS:
             end_block()
     end_block()
     return out
 
 
-def first_pass(b: Block) -> str:
-    """good, bad or open."""
+def _length(text: str) -> int:
+    """Letters, those of scripts that write a word or syllable with one sign twice."""
+    return len(text) + (0 if text.isascii() else sum(c >= "\u2e80" for c in text))
+
+
+def _stop_share(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+
+
+def speaks_known_language(blocks: list[Block]) -> bool:
+    """Whether the stop words can judge a page: enough of its running text is made of them."""
+    running = " ".join(b.text for b in blocks if not b.boiler and len(b.text) >= MEDIUM and b.linked <= MAX_LINKS * len(b.text))
+    return not running or _stop_share(running) >= KNOWN_LANGUAGE
+
+
+def first_pass(b: Block, known: bool = True) -> str:
+    """good, bad or open. ``known``: whether the stop words are of the page's language.
+
+    Where they are not, length and links decide alone. Inside an article a block with many
+    links is open, unless it is nothing but links.
+    """
     if b.boiler:
         return "bad"
-    length = len(b.text)
-    links = b.linked / length
+    length = _length(b.text)
+    links = b.linked / len(b.text)
     if links > MAX_LINKS and not (b.heading and b.in_article):
-        return "bad"
+        return "open" if b.in_article and links < ALL_LINKS else "bad"
     if "©" in b.text[:3] and length < LONG and not b.in_article:
         return "bad"
     if length < MEDIUM:
         return "open"
-    words = b.text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
+    if not known:
+        return "good" if length >= LONG else "open"
+    stops = _stop_share(b.text)
     if stops >= STOP_HIGH or (stops >= STOP_LOW and length >= LONG):
         return "good"
     if stops >= STOP_LOW or b.in_article:
@@ -249,8 +359,9 @@ def second_pass(blocks: list[Block]) -> None:
 
 def main_text(page: str | None) -> str:
     blocks = blocks_of(page or "")
+    known = speaks_known_language(blocks)
     for b in blocks:
-        b.label = first_pass(b)
+        b.label = first_pass(b, known)
     second_pass(blocks)
     return " ".join(b.text for b in blocks if b.label == "good")
 
