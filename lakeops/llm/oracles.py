@@ -113,8 +113,11 @@ judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base
     n_words > 0 AND (word_chars < 2.0 * n_words OR word_chars > 14.0 * n_words OR 100 * n_symbols > 10 * n_words
       OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_repeat_words > 30 * n_words) AS fine_failed FROM measured),
 hosts AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed OR fine_failed) AS bad FROM judged GROUP BY source),
-moments AS (SELECT avg(bad / n) AS m, var_pop(bad / n) AS v FROM hosts),
-prior AS (SELECT m, CASE WHEN v = 0 OR m <= 0 OR m >= 1 THEN 1 ELSE greatest(m * (1 - m) / v - 1, 1e-6) END AS s FROM moments),
+moments AS (SELECT count(*) AS k, CAST(sum(bad) AS DOUBLE) AS f, CAST(sum(n) AS DOUBLE) AS d,
+    sum(CAST(bad AS DOUBLE) * bad / n) AS fd, sum(CAST(n AS DOUBLE) * n) AS dd FROM hosts),
+shares AS (SELECT f / d AS m, CASE WHEN f > 0 AND f < d AND d - dd / d - (k - 1) > 1e-9
+    THEN ((fd - f * f / d) / (f / d * (1 - f / d)) - (k - 1)) / (d - dd / d - (k - 1)) ELSE 0 END AS share FROM moments),
+prior AS (SELECT m, CASE WHEN share <= 0 THEN 1e6 ELSE least(greatest(1 / share - 1, 1e-6), 1e6) END AS s FROM shares),
 verdicts AS (SELECT source, round((bad + m * s) / (n + s), 9) AS rate FROM hosts, prior)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR rate > 0.9 OR (rate > 0.5 AND fine_failed)) AS kept

@@ -106,7 +106,7 @@ def host_verdicts(judged: DataFrame, host: str, limits: Limits) -> DataFrame:
     """host, n_docs, n_failed, failure_rate (shrunk), verdict: ok, strict or block.
 
     One aggregation with map-side partial sums, so that a host with a third of all rows is
-    no burden. The prior comes from the hosts' rates by moments: one row of three numbers,
+    no burden. The prior comes from the hosts' counts by moments: one row of five numbers,
     all that the driver sees.
     """
     failed = (F.col("base_failed") | F.col("fine_failed")).cast("bigint")
@@ -116,9 +116,8 @@ def host_verdicts(judged: DataFrame, host: str, limits: Limits) -> DataFrame:
         ),
         "hosts",
     )
-    rate = F.col("n_failed") / F.col("n_docs")
-    mean, spread, n = hosts.agg(F.avg(rate), F.var_pop(rate), F.count(F.lit(1))).first()
-    a, b = beta_prior(mean, spread, n)
+    f, n = F.col("n_failed").cast("double"), F.col("n_docs").cast("double")
+    a, b = beta_prior(*hosts.agg(F.count(F.lit(1)), F.sum(f), F.sum(n), F.sum(f * f / n), F.sum(n * n)).first())
     shrunk = F.round((F.col("n_failed") + F.lit(a)) / (F.col("n_docs") + F.lit(a + b)), 9)
     return hosts.select(
         "*",
@@ -130,13 +129,28 @@ def host_verdicts(judged: DataFrame, host: str, limits: Limits) -> DataFrame:
     )
 
 
-def beta_prior(mean: float | None, spread: float | None, n_hosts: int) -> tuple[float, float]:
-    """Alpha and beta by moments; where the hosts do not differ, a prior worth one document."""
-    if not n_hosts:
+#: Strength of the prior, in documents, where the hosts do not differ more than by chance, and the least one.
+STRONGEST, WEAKEST = 1e6, 1e-6
+
+
+def beta_prior(
+    hosts: int, failed: float | None, docs: float | None, failed_by_docs: float | None, docs_squared: float | None
+) -> tuple[float, float]:
+    """Alpha and beta of the hosts' failure rates, by the moments of the beta-binomial distribution.
+
+    From the number of hosts and the sums of f, n, f * f / n and n * n over them. A host's
+    rate varies by the beta distribution and by the chance in n documents; the share of
+    chance is taken out, so hosts of few documents do not count as spread.
+    """
+    if not hosts:
         return 0.5, 0.5
-    if not spread or not 0 < mean < 1:
-        return float(mean), 1.0 - float(mean)
-    strength = max(mean * (1 - mean) / spread - 1, 1e-6)
+    mean = failed / docs
+    apart = docs - docs_squared / docs - (hosts - 1)
+    share = 0.0
+    if 0 < mean < 1 and apart > 1e-9:
+        between = (failed_by_docs - failed * failed / docs) / (mean * (1 - mean))
+        share = (between - (hosts - 1)) / apart
+    strength = STRONGEST if share <= 0 else min(max(1 / share - 1, WEAKEST), STRONGEST)
     return mean * strength, (1 - mean) * strength
 
 
