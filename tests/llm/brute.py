@@ -88,7 +88,7 @@ def luhn(digits):
 def base_spans(text):
     out = [(m.start(), 0, m.end(), "email") for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
-        if all(int(x) <= 255 for x in m[0].split(".")):
+        if all(len(x) <= 3 and int(x or "0") <= 255 for x in (part.lstrip("0") for part in m[0].split("."))):
             out.append((m.start(), 1, m.end(), "ip"))
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         digits = re.sub("[^0-9]", "", m[0])

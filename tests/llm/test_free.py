@@ -1,6 +1,7 @@
 """Token grammars, Jaccard join, personal data, line dedup, WARC, main text."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -202,6 +203,8 @@ def test_base_spans():
     for _ in range(3000):
         text = "".join(rng.choice(pieces) + rng.choice(["", " ", ""]) for _ in range(rng.randrange(1, 9)))
         assert pii.base_spans(text) == brute.base_spans(text), text
+    for text in ("0" * 5000 + "1.1.1.1", "1.1.1." + "0" * 5000, "1.1.1." + "9" * 5000, "1.2.3." + "0" * 5000 + "256"):
+        assert pii.base_spans(text) == brute.base_spans(text)
 
 
 def test_scanning_is_linear():
@@ -257,6 +260,31 @@ def test_proposing_is_linear():
         pii.candidates_of(unit * (200_000 // len(unit)))
 
 
+def test_selecting_is_linear():
+    model = pii.train()
+    for unit in ("tel: 555-867-5309 ", "a@b.co 12-34-56 ", "x at y dot z ", "token=a1b2c3 ", "1.2.3.4 "):
+        took = []
+        for n in (5_000, 40_000):
+            start = time.process_time()
+            model.spans(unit * (n // len(unit)))
+            took.append(time.process_time() - start)
+        assert took[1] < 20 * took[0] + 0.5, unit
+
+
+def test_candidates_do_not_depend_on_signs_elsewhere():
+    text = "write john at example dot com please"
+    spans = [(c.start, c.end) for c in pii.candidates_of(text)]
+    assert spans == [(c.start, c.end) for c in pii.candidates_of(text + ": ok")] != []
+
+
+def test_long_candidates_are_whole():
+    local = "a" * 200
+    found = [(c.start, c.end) for c in pii.candidates_of(f"to {local}(at){local}.x now")]
+    assert found == [] or (3, 3 + 200) not in found
+    text = f"to {local} at b dot c dot d dot e dot f dot g dot com"
+    assert (3, len(text)) in [(c.start, c.end) for c in pii.candidates_of(text)]
+
+
 def test_personal_data_query(llm, sf):
     rows = llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     got = {r["doc_id"]: r for r in QUERIES["op4_personal_data"](llm, sf).collect()}
@@ -373,6 +401,38 @@ def test_main_text_of_broken_pages(page):
     assert html_main.main_text(page) == ""
 
 
+@pytest.mark.parametrize("unit", ["<a ", '<a "', '"<a ', "<b>", "</i>", "<a<a", "<p><b>", "<article>", "<a '\"", "<!", "</script "])
+def test_main_text_takes_linear_time(unit):
+    start = time.process_time()
+    html_main.main_text(unit * (500_000 // len(unit)))
+    assert time.process_time() - start < 20
+
+
+def test_main_text_of_deeply_open_pages():
+    start = time.process_time()
+    html_main.main_text("<b>" * 100_000 + "</i>" * 100_000 + "<article></article>" * 10_000 + "<p></p>" * 10_000)
+    assert time.process_time() - start < 20
+
+
+@pytest.mark.parametrize("text", [
+    "Сегодня комитет по делам города собрался, чтобы обсудить новый план развития улиц и площадей, который был представлен осенью. " * 3,
+    "Oggi il comitato della città si è riunito per discutere il nuovo piano di sviluppo delle strade che era stato presentato. " * 3,
+    "今天城市委员会开会讨论新的街道和广场发展计划，该计划是在秋天提出的。" * 5,
+])
+@pytest.mark.parametrize("around", ["div", "article"])
+def test_main_text_in_other_languages(text, around):
+    menu = "<div class='nav'><a href='/'>Home</a></div><div><a href='/a'>One link</a> <a href='/b'>and another link</a></div>"
+    page = f"<html><body>{menu}<{around}><p>{text}</p><p>{text}</p></{around}></body></html>"
+    assert html_main.main_text(page) == f"{text.strip()} {text.strip()}"
+
+
+def test_linked_sentences_of_an_article_stay():
+    plain = "The committee met on the new plan of the city and it was a long day for all of us in the hall."
+    linked = "See the <a href='x'>report of the committee on the plan for the streets of the town</a> today."
+    text = html_main.main_text(f"<article><p>{plain}</p><p>{linked}</p><p>{plain}</p><p><a href='y'>Read more here</a></p></article>")
+    assert text == f"{plain} See the report of the committee on the plan for the streets of the town today. {plain}"
+
+
 def test_main_text_query(llm, sf):
     rows = llm.read.parquet(f"{sf}/pages.parquet").collect()
     got = {r["page_id"]: r for r in QUERIES["op7_main_text"](llm, sf).collect()}
