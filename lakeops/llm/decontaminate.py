@@ -23,8 +23,8 @@ from lakeops.llm.words import ascii_lower, hidden, text_of, with_windows
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
-#: One entry is a hash and a number: 2 million take about 100 MB as a broadcast table.
-BROADCAST_WINDOWS = 2_000_000
+#: The set of windows is broadcast up to so many rows and, as measured, so many bytes in memory.
+BROADCAST_WINDOWS, BROADCAST_BYTES = 2_000_000, 256 << 20
 
 
 def item_words(text: str) -> Column:
@@ -45,7 +45,7 @@ def windows_of(df: DataFrame, lengths: list[int]) -> DataFrame:
 
 def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """gram (number), h, n, gram_words, item_ids: one row per distinct window."""
-    words = items.select(F.col(f"`{item_id}`").cast("string").alias("item"), item_words(text).alias("words")).where(
+    words = items.select(F.col(f"`{item_id}`").cast("string").alias("item"), item_words(f"`{text}`").alias("words")).where(
         F.size("words") > 0
     )
     n = F.least(F.size("words"), F.lit(window))
@@ -66,6 +66,13 @@ def benchmark_windows(items: DataFrame, item_id: str = "item_id", text: str = "t
     return materialise(out, "grams-hashed")
 
 
+def can_broadcast(grams: DataFrame) -> bool:
+    """Whether the windows, with their words and all their item ids, are small enough."""
+    text = lambda c: F.octet_length(F.array_join(c, "")) + 24 * F.size(c)
+    rows, size = grams.agg(F.count(F.lit(1)), F.sum(64 + text("gram_words") + text("item_ids"))).first()
+    return rows <= BROADCAST_WINDOWS and (size or 0) <= BROADCAST_BYTES
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
               item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """id, text_key, copies, n_words, hits (array of (at, n)), items (sorted ids as strings).
@@ -73,23 +80,28 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", tex
     One row per distinct (id, text); ``copies`` says how many rows of the table it stands for.
     Every document sends one row without a position besides its hits, so that the table is
     read once and no document is lost.
+
+    A set of windows too large to broadcast is joined by hash, on rows of a position and a hash
+    each; what is found meets its document's words, to be verified, once per document. That
+    moves every text once, however long it is.
     """
     grams = benchmark_windows(benchmark, item_id, item_text, window)
     lengths = sorted(r[0] for r in grams.select("n").distinct().collect())
     flat = docs.select(
         F.col(f"`{doc_id}`").alias("id"),
-        F.xxhash64(text_of(text), F.lit(1)).alias("text_key"),
+        F.xxhash64(text_of(f"`{text}`"), F.lit(1)).alias("text_key"),
         item_words(f"`{text}`").alias("words"),
     ).withColumn("n_words", F.size("words").cast("bigint"))
+    if not can_broadcast(grams):
+        return _find_shuffled(flat, grams, lengths)
     nothing = F.struct(F.lit(None).cast("bigint").alias("h"), F.lit(0).alias("n"), F.lit(-1).alias("at"))
     spread = windows_of(flat, lengths) if lengths else flat.withColumn("windows", F.array().cast("array<struct<h:bigint,n:int,at:int>>"))
     probe = spread.select("id", "text_key", "n_words", "words", F.explode(F.concat(F.array(nothing), "windows")).alias("w")).select(
         "id", "text_key", "n_words", "words", "w.*"
     )
     table = grams.withColumnsRenamed({"h": "_h", "n": "_n"})
-    small = table if grams.count() > BROADCAST_WINDOWS else F.broadcast(table)
     match = (F.col("h") == F.col("_h")) & (F.col("n") == F.col("_n"))
-    found = probe.join(small, match, "left").where(
+    found = probe.join(F.broadcast(table), match, "left").where(
         "at < 0 OR (_h IS NOT NULL AND slice(words, at + 1, n) = gram_words)"
     )
     found = found.select("id", "text_key", "n_words", "at", "n", "item_ids")
@@ -100,6 +112,26 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", tex
     )
 
 
+def _find_shuffled(flat: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    keys = ["id", "text_key", "n_words"]
+    once = flat.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.first("words").alias("words"))
+    once = materialise(once, "document-words")
+    probe = windows_of(once, lengths).select(*keys, F.explode("windows").alias("w")).select(*keys, "w.*")
+    found = probe.join(grams, ["h", "n"]).groupBy(*keys).agg(F.collect_list(F.struct("at", "n", "gram_words", "item_ids")).alias("found"))
+    found = found.select(*[F.col(k).alias(f"_{k}") for k in keys], "found")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text_key")) & (F.col("n_words") == F.col("_n_words"))
+    both = once.join(found, same, "left").select(
+        *keys, "copies", F.filter("found", lambda w: F.slice("words", w["at"] + 1, w["n"]) == w["gram_words"]).alias("found")
+    )
+    hits = F.array_distinct(F.transform("found", lambda w: F.struct(w["at"].alias("at"), w["n"].alias("n"))))
+    items = F.array_sort(F.array_distinct(F.flatten(F.transform("found", lambda w: w["item_ids"]))))
+    return both.select(
+        *keys, "copies",
+        F.coalesce(hits, F.array().cast("array<struct<at:int,n:int>>")).alias("hits"),
+        F.coalesce(items, F.array().cast("array<string>")).alias("items"),
+    )
+
+
 def hit_words(hits: Column) -> Column:
     """How many words the windows cover: sorted by start, each adds what lies beyond the last."""
     return F.aggregate(

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +46,27 @@ def test_contamination_shuffled_set(llm, docs, monkeypatch):
     assert got == sorted(brute.contamination(rows, [(1, "one two three")]), key=repr)
 
 
+def test_contamination_shuffled_long_text(llm, docs, monkeypatch):
+    """Beyond the bound in bytes; the join's rows carry no arrays of words."""
+    long = " ".join(f"w{i % 7000}" for i in range(20_000))
+    bench = items(llm, (1, " ".join(f"w{i}" for i in range(100, 130))), (2, "w5 w6 w7"), (3, "not there at all"))
+    df = docs((1, long), (2, "x " + long), (1, long), (None, "w5 w6 w7"), (4, None))
+    want = answer(decontaminate.contamination(df, bench))
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    found = decontaminate.contamination(df, bench)
+    assert answer(found) == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    exploded = next(i for i, line in enumerate(plan) if "Generate" in line)
+    assert not re.search(r"[\[ ]words#", plan[exploded] + plan[exploded + 1])
+
+
+def test_contamination_of_columns_with_dots(llm, docs):
+    df = docs((1, "one two three"), (2, "four")).withColumnRenamed("text", "my.text")
+    bench = items(llm, (1, "one two")).withColumnRenamed("text", "its.text")
+    found = decontaminate.contamination(df, bench, text="my.text", item_text="its.text").collect()
+    assert {r["id"]: r["items"] for r in found} == {1: ["1"], 2: []}
+
+
 def test_contamination_empty(llm, docs):
     assert decontaminate.contamination(docs(), items(llm, (1, "a b"))).count() == 0
     rows = [(1, "a b"), (2, None)]
