@@ -290,7 +290,7 @@ def _(spark, d):
 
 @query(
     "top10_products",
-    f"""WITH {CLEAN}, {PARTS}, {performance(day=fx.AS_OF_DAY)}
+    f"""WITH {CLEAN}, {PARTS}, {performance(day=repr(fx.AS_OF_DAY))}
     SELECT product_id, product_name, category, revenue, units_sold FROM performance
     ORDER BY revenue DESC, product_id LIMIT 10""",
 )
