@@ -12,8 +12,10 @@ without a shuffle while both are small (``BROADCAST_BYTES``, measured first); be
 documents' keys are joined with the counts.
 
 ``insert`` and ``delete`` add and take away whole documents: counts are added up, keys that
-cross the threshold are put into or taken out of their filters. Deleting what was inserted
-gives back the index and the texts as they were. Every version is a new folder; the old one
+cross the threshold are put into or taken out of their filters. Where the frequent keys have
+outgrown the shards, their number is doubled until they fit and the filters are made anew
+from the counts, so no shard grows without bound however small the first batch was. Deleting
+what was inserted gives back the counts and the texts as they were. Every version is a new folder; the old one
 stays valid, so a job that dies is simply run again.
 
 Defined cases: a null or empty text is one empty line; empty keys are never dropped; a line
@@ -179,6 +181,17 @@ def _shard_column(shards: int):
     return (F.conv(turned, 16, 10).cast("bigint") % shards).cast("int")
 
 
+def _make_filters(frequent: DataFrame, shards: int) -> DataFrame:
+    """shard, buckets from the frequent keys; about KEYS_PER_SHARD of them meet in a shard."""
+
+    def make(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = sorted(bytes(k) for k in pdf["key"])
+        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "buckets": [filled(keys).to_bytes()]})
+
+    by_shard = frequent.select("key", _shard_column(shards).alias("shard"))
+    return by_shard.groupBy("shard").applyInPandas(make, "shard int, buckets binary")
+
+
 def build(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, path: str | None = None) -> LineIndex:
     """The index of ``docs``."""
     spark = docs.sparkSession
@@ -186,29 +199,37 @@ def build(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, path:
     document_keys(docs, text).write.parquet(f"{path}/counts")
     frequent = spark.read.parquet(f"{path}/counts").where(F.col("docs") >= threshold)
     index = LineIndex(path, max(1, math.ceil(frequent.count() / KEYS_PER_SHARD)), threshold)
-
-    def make(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = sorted(bytes(k) for k in pdf["key"])
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "buckets": [filled(keys).to_bytes()]})
-
-    # a shard has about KEYS_PER_SHARD distinct keys, whatever the corpus
-    by_shard = frequent.select("key", _shard_column(index.shards).alias("shard"))
-    by_shard.groupBy("shard").applyInPandas(make, "shard int, buckets binary").write.parquet(f"{path}/filters")
+    _make_filters(frequent, index.shards).write.parquet(f"{path}/filters")
     _find_exceptions(spark, index)
     return index
 
 
 def _change(spark: SparkSession, index: LineIndex, docs: DataFrame, sign: int, text: str) -> LineIndex:
-    new = LineIndex(new_scratch(spark, "lines"), index.shards, index.threshold)
+    path = new_scratch(spark, "lines")
     step = document_keys(docs, text).withColumn("docs", F.col("docs") * sign)
     both = index.counts(spark).select("key", "docs", F.col("docs").alias("old")).unionByName(
         step.select("key", "docs", F.lit(0).cast("bigint").alias("old"))
     )
     merged = materialise(both.groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("old").alias("old")), "counts")
-    merged.where("docs > 0").select("key", "docs").write.parquet(f"{new.path}/counts")
+    merged.where("docs > 0").select("key", "docs").write.parquet(f"{path}/counts")
     is_now, was = F.col("docs") >= index.threshold, F.col("old") >= index.threshold
-    moved = merged.where(is_now != was).select("key", _shard_column(index.shards).alias("shard"), is_now.alias("come"))
-    of_shard = merged.where(is_now).select("key", _shard_column(index.shards).alias("shard"))
+    frequent, shards = merged.where(is_now), index.shards
+    n_frequent = frequent.count()
+    while n_frequent > shards * KEYS_PER_SHARD:
+        shards *= 2
+    new = LineIndex(path, shards, index.threshold)
+    if shards > index.shards:
+        filters = _make_filters(frequent, shards)
+    else:
+        moved = merged.where(is_now != was).select("key", _shard_column(shards).alias("shard"), is_now.alias("come"))
+        filters = _updated_filters(index.filters(spark), moved, frequent, shards)
+    filters.write.parquet(f"{path}/filters")
+    _find_exceptions(spark, new)
+    return new
+
+
+def _updated_filters(old: DataFrame, moved: DataFrame, frequent: DataFrame, shards: int) -> DataFrame:
+    """The filters after the keys of ``moved`` have come or gone; full ones are made anew."""
 
     def update(pdf: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
         shard = int((pdf if len(pdf) else old)["shard"].iloc[0])
@@ -217,18 +238,12 @@ def _change(spark: SparkSession, index: LineIndex, docs: DataFrame, sign: int, t
         room = made.insert([bytes(k) for k in pdf.loc[pdf["come"], "key"]])
         return pd.DataFrame({"shard": [shard], "buckets": [made.to_bytes() if room else None]})
 
-    def make(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "buckets": [filled(sorted(bytes(k) for k in pdf["key"])).to_bytes()]})
-
-    old = index.filters(spark)
     done = materialise(
         moved.groupBy("shard").cogroup(old.groupBy("shard")).applyInPandas(update, "shard int, buckets binary"), "filters"
     )
-    full = done.where("buckets IS NULL").select("shard")  # no room: made anew from the counts
-    again = of_shard.join(full, "shard", "left_semi").groupBy("shard").applyInPandas(make, "shard int, buckets binary")
-    done.where("buckets IS NOT NULL").unionByName(again).write.parquet(f"{new.path}/filters")
-    _find_exceptions(spark, new)
-    return new
+    full = done.where("buckets IS NULL").select("shard")
+    again = frequent.withColumn("shard", _shard_column(shards)).join(full, "shard", "left_semi")
+    return done.where("buckets IS NOT NULL").unionByName(_make_filters(again, shards))
 
 
 def insert(spark: SparkSession, index: LineIndex, docs: DataFrame, text: str = "text") -> LineIndex:

@@ -333,6 +333,23 @@ def test_lines_reversible(llm, docs):
     assert line_dedup.clean(docs(), line_dedup.build(docs())).count() == 0
 
 
+@pytest.mark.parametrize("start", [0, 70])
+def test_shards_grow_with_the_frequent_keys(llm, docs, monkeypatch, start):
+    """An index of an empty or a small batch is not left with one shard for all later keys."""
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", 2)
+    rows = line_rows()
+    small = line_dedup.build(docs(*rows[:start]))
+    grown = line_dedup.insert(llm, small, docs(*rows[start:]))
+    n = grown.counts(llm).where(F.col("docs") >= grown.threshold).count()
+    assert small.shards < grown.shards and n <= 2 * grown.shards < 2 * n
+    assert cleaned(line_dedup.clean(docs(*rows), grown)) == sorted(brute.dedup_lines(pairs(rows)), key=repr)
+    back = line_dedup.delete(llm, grown, docs(*rows[start:]))
+    assert cleaned(line_dedup.clean(docs(*rows[:start]), back)) == sorted(brute.dedup_lines(pairs(rows[:start])), key=repr)
+    again = line_dedup.insert(llm, back, docs(*rows[start:]))
+    assert again.shards == grown.shards
+    assert cleaned(line_dedup.clean(docs(*rows), again)) == sorted(brute.dedup_lines(pairs(rows)), key=repr)
+
+
 def test_cuckoo():
     keys = [line_dedup.digest(str(i).encode()) for i in range(3000)]
     f = line_dedup.filled(keys)
