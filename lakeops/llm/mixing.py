@@ -7,9 +7,11 @@ from the largest key down, and the prefix sum of their sizes decides where to st
 border that comes nearest to the budget.
 
 No source is ever sorted in one task. Keys lie in (0, 1), so they fall into equal buckets;
-sizes are summed by source and bucket (partial sums first), the prefix sum over buckets
-finds the one that holds the border, and only that bucket's rows are sorted. The outcome
-for a source is one cut (key, id), and a document compares itself with its source's cut.
+sizes are summed by source and bucket (partial sums first), and the prefix sum over buckets
+finds the one that holds the border. That bucket is cut into as many again in the same way,
+and only the rows of the small bucket with the border, about one in ``BUCKETS`` squared of a
+source, are sorted. The outcome for a source is one cut (key, id), and a document compares
+itself with its source's cut.
 
 Defined cases: a null text has size 0; a null source is a source of its own, ordered last;
 null ids sort before others; a null weight is 1; documents with the same id and text share
@@ -79,8 +81,9 @@ def mix_plan(rows: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_ep
     ``rows`` has source, size, key, id. A document above or at the cut is taken once more
     than ``epochs``; without a cut (null) none is.
     """
-    bucket = F.least((F.col("key") * BUCKETS).cast("int"), F.lit(BUCKETS - 1))
-    rows = rows.withColumn("bucket", bucket)
+    scaled = F.col("key") * BUCKETS  # a power of two, so this and what follows is exact
+    rows = rows.withColumn("bucket", _floored(scaled))
+    rows = rows.withColumn("fine", _floored((scaled - F.col("bucket")) * BUCKETS))
     by_bucket = materialise(rows.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "buckets")
     sizes = by_bucket.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = source_targets(sizes, weights, max_epochs)
@@ -91,17 +94,17 @@ def mix_plan(rows: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_ep
         ),
         "plan",
     )
-    # at most BUCKETS rows of a source meet here, however many documents it has
-    down = W.partitionBy("source").orderBy(F.desc("bucket"))
-    p = plan.select(F.col("source").alias("_source"), "rest")
-    cum = by_bucket.withColumn("before", F.sum("words").over(down) - F.col("words"))
-    border = (
-        cum.join(p, F.col("source").eqNullSafe(F.col("_source")))
-        .where("rest > 0 AND before < rest AND before + words >= rest")
-        .select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"), "before", "rest")
+    start = plan.select(F.col("source").alias("_source"), F.lit(0).cast("bigint").alias("before"), "rest").where("rest > 0")
+    of_source = F.col("source").eqNullSafe(F.col("_source"))
+    coarse = _border(by_bucket.join(start, of_source), "bucket").withColumnRenamed("bucket", "_bucket")
+    by_fine = (
+        rows.join(coarse, of_source & (F.col("bucket") == F.col("_bucket")))
+        .groupBy("source", "_source", "_bucket", "fine", "before", "rest")
+        .agg(F.sum("size").alias("words"))
     )
-    # only these rows are sorted: one bucket of each source
-    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket"))
+    border = materialise(_border(by_fine, "fine").withColumnRenamed("fine", "_fine"), "borders")
+    # only these rows are sorted: one small bucket of each source
+    same = of_source & (F.col("bucket") == F.col("_bucket")) & (F.col("fine") == F.col("_fine"))
     step = W.partitionBy("source").orderBy(F.desc("key"), F.desc("id"))
     inside = (
         rows.join(border, same)
@@ -110,12 +113,11 @@ def mix_plan(rows: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_ep
         .withColumn("through", F.col("before") + F.sum("size").over(step))
     )
     # taken while the border is nearer after the document than before it; a source's first
-    # document of the bucket may fall out, then the cut is the bucket's upper edge
+    # document of the small bucket may fall out, then the cut is that bucket's upper edge
     taken = F.col("through") - F.col("size") / 2 <= F.col("rest")
-    cut = inside.groupBy("source").agg(
-        F.min(F.when(taken, F.struct("key", "id"))).alias("low"), F.first("before").alias("before")
-    )
-    edges = border.select(F.col("_source").alias("_s"), ((F.col("_bucket") + 1) / F.lit(float(BUCKETS))).alias("edge"))
+    cut = inside.groupBy("source").agg(F.min(F.when(taken, F.struct("key", "id"))).alias("low"))
+    edge = (F.col("_bucket") + (F.col("_fine") + 1) / F.lit(float(BUCKETS))) / F.lit(float(BUCKETS))
+    edges = border.select(F.col("_source").alias("_s"), edge.alias("edge"))
     cuts = cut.join(edges, F.col("source").eqNullSafe(F.col("_s"))).select(
         F.col("source").alias("_source"),
         F.coalesce(F.col("low.key"), F.col("edge")).alias("cut_key"),
@@ -129,6 +131,21 @@ def mix_plan(rows: DataFrame, weights: Sequence[float] = (1.0, 2.0, 3.0), max_ep
     )
 
 
+def _floored(scaled: Column) -> Column:
+    return F.least(scaled.cast("int"), F.lit(BUCKETS - 1))
+
+
+def _border(parts: DataFrame, part: str) -> DataFrame:
+    """The one ``part`` of each source that holds the border, and the words ``before`` it.
+
+    ``parts``: source, words, before (words above all parts), rest; ``BUCKETS`` rows of a
+    source meet here at most, however many documents it has.
+    """
+    down = W.partitionBy("source").orderBy(F.desc(part))
+    above = parts.withColumn("before", F.col("before") + F.sum("words").over(down) - F.col("words"))
+    return above.where("before < rest AND before + words >= rest").drop("source", "words")
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
