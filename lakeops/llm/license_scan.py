@@ -89,6 +89,45 @@ def templates_of(texts: DataFrame, license: str = "license", text: str = "text")
     return materialise(sized.withColumn("bands", _bands("template")), "templates")
 
 
+def _placed(short: list[int]) -> list:
+    """A document's hashes with their places; short: the number of words, 0 for five."""
+    return [_placed_hashes(f"h{WORDS}", 0), *[_placed_hashes(f"h{n}", n) for n in short]]
+
+
+#: Position -1 stands for the document itself.
+_ITSELF = "struct<at:int,short:int,h:bigint,_classes:array<int>>"
+
+
+def _near(hashed: DataFrame, known: DataFrame, short: list[int]) -> DataFrame:
+    """id, text_key, copies, h5 and the shingles (at, short, h, _classes) that templates know too.
+
+    A row more for each document stands for itself.
+    """
+    itself = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("short"), F.lit(None).cast("bigint").alias("h")))
+    spread = hashed.select("id", "text_key", F.lit(1).cast("bigint").alias("copies"), "h5", F.inline(F.concat(itself, *_placed(short))))
+    same = (F.col("h") == F.col("_h")) & (F.col("short") == F.col("_short"))
+    return spread.join(F.broadcast(known), same, "left").where("at < 0 OR _h IS NOT NULL")
+
+
+def _near_shuffled(hashed: DataFrame, known: DataFrame, short: list[int]) -> DataFrame:
+    """The same for more template shingles than are broadcast, a row for each different text.
+
+    Places and hashes alone are shuffled; what is found meets the document's shingles once.
+    """
+    once = hashed.groupBy("id", "text_key").agg(
+        F.count(F.lit(1)).alias("copies"), *[F.first(f"h{n}").alias(f"h{n}") for n in [*short, WORDS]]
+    )
+    once = materialise(once, "license-documents")
+    probe = once.select("id", "text_key", F.inline(F.concat(*_placed(short))))
+    same = (F.col("h") == F.col("_h")) & (F.col("short") == F.col("_short"))
+    found = probe.join(known, same).groupBy("id", "text_key").agg(F.collect_list(F.struct("at", "short", "h", "_classes")).alias("found"))
+    found = found.withColumnsRenamed({"id": "_id", "text_key": "_key"})
+    both = once.join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
+    itself = F.array(F.struct(F.lit(-1), F.lit(0), F.lit(None), F.lit(None)).cast(_ITSELF))
+    every = F.concat(itself, F.coalesce("found", F.array().cast(f"array<{_ITSELF}>")))
+    return both.select("id", "text_key", "copies", "h5", F.inline(every))
+
+
 def scan(docs: DataFrame, texts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, text_key, copies, licenses (sorted names), matches (license, start, containment).
 
@@ -99,17 +138,13 @@ def scan(docs: DataFrame, texts: DataFrame, doc_id: str = "doc_id", text: str =
     short = [-c for c in classes if c < 0]
     known = templates.select(F.explode("template").alias("_h"), F.col("class").alias("_class")).distinct()
     known = known.groupBy("_h", F.greatest(-F.col("_class"), F.lit(0)).alias("_short")).agg(F.collect_set("_class").alias("_classes"))
-    known = known if known.count() > BROADCAST_SHINGLES else F.broadcast(known)
+    small = known.count() <= BROADCAST_SHINGLES
 
     flat = docs.select(
         F.col(f"`{doc_id}`").alias("id"), F.xxhash64(text_of(f"`{text}`"), F.lit(1)).alias("text_key"), scan_words(f"`{text}`").alias("words")
     )
     hashed = with_windows(flat, "words", [*short, WORDS], "h").drop("words")
-    # position -1 stands for the document itself; short: the number of words, 0 for five
-    each = [_placed_hashes(f"h{WORDS}", 0), *[_placed_hashes(f"h{n}", n) for n in short]]
-    itself = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("short"), F.lit(None).cast("bigint").alias("h")))
-    spread = hashed.select("id", "text_key", "h5", F.inline(F.concat(itself, *each)))
-    near = spread.join(known, (F.col("h") == F.col("_h")) & (F.col("short") == F.col("_short")), "left").where("at < 0 OR _h IS NOT NULL")
+    near = _near(hashed, known, short) if small else _near_shuffled(hashed, known, short)
     at = F.col("at")
     windows = F.flatten(
         F.transform(
@@ -124,14 +159,14 @@ def scan(docs: DataFrame, texts: DataFrame, doc_id: str = "doc_id", text: str =
     # the first window also serves what lies before its second half
     only = F.array(F.struct((-F.col("short")).alias("class"), F.greatest(at, F.lit(0)).alias("n")))  # class 0: the document
     wanted = F.when((at < 0) | (F.col("short") > 0), only).otherwise(wanted)
-    placed = near.select("id", "text_key", "h5", "h", F.explode(wanted).alias("w")).select(
-        "id", "text_key", F.col("w.class").alias("class"), F.col("w.n").alias("n"),
+    placed = near.select("id", "text_key", "copies", "h5", "h", F.explode(wanted).alias("w")).select(
+        "id", "text_key", "copies", F.col("w.class").alias("class"), F.col("w.n").alias("n"),
         F.when(F.col("w.class") > 0, F.array_distinct(stretch(F.col("h5"), F.col("w.n") * F.col("w.class"), 2 * F.col("w.class"))))
         .when(F.col("w.class") < 0, F.array("h"))
         .alias("shingles"),
     )
     placed = placed.groupBy("id", "text_key", "class", "n").agg(
-        F.first("shingles").alias("shingles"), F.count(F.lit(1)).alias("rows")
+        F.first("shingles").alias("shingles"), F.sum("copies").alias("rows")
     )
     placed = materialise(placed, "license-windows")
     names = templates.select(F.col("license").alias("license"), F.col("class").alias("_class"), F.explode("bands").alias("_band"))

@@ -174,6 +174,19 @@ def test_mix(llm, docs):
     assert mixing.mix(docs()).count() == 0
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 16])
+def test_mix_of_any_bucket_size(docs, monkeypatch, buckets):
+    """The cut is where sorting a whole source would put it, and as near to the target as a document allows."""
+    rows = [(i, "word " * (1 + i * 7 % 23), "ab"[i % 2] if i % 5 else "hot") for i in range(300)] + [(7, None, "a"), (9, "", "hot")]
+    answer = lambda: sorted(mixing.mix(docs(*rows)).where("size > 0").select("row.doc_id", "row.source", "size", "target", "taken").collect())
+    usual = answer()
+    monkeypatch.setattr(mixing, "BUCKETS", buckets)
+    assert answer() == usual
+    for s in ("a", "b", "hot"):
+        own = [r for r in usual if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own) / 2
+
+
 def test_quality_weighs(llm, docs):
     rows = [(i, f"w{i} " * 10, "a" if i < 2000 else "b") for i in range(4000)]
     weight = F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(F.when(F.col("doc_id") == 1, None).otherwise(0.5))
@@ -199,6 +212,23 @@ def test_licenses(llm, docs):
     assert license_scan.scan(docs((1, "a")), license_scan.notices(llm).limit(0)).count() == 1
 
 
+def test_licenses_shuffled_templates(llm, docs, monkeypatch):
+    """More template shingles than are broadcast; a text of 30,000 words, copies, null ids."""
+    w = license_scan.NOTICES["bsd"].split()
+    rows = [
+        (1, None), (2, "Released under the MIT license!"), (2, "Released under the MIT license!"), (3, LONG + " All rights reserved. " + LONG),
+        (None, "x " * 40 + " ".join([*w[:-1], "changed"]) + " y" * 40), (None, "x"), (4, " ".join(w[:9])), (5, "ALL RIGHTS RESERVED"),
+    ]
+    answer = lambda: sorted(map(tuple, license_scan.scan(docs(*rows), license_scan.notices(llm)).collect()), key=repr)
+    usual = answer()
+    monkeypatch.setattr(license_scan, "BROADCAST_SHINGLES", 0)
+    assert answer() == usual
+    got = {(r[0], r[2]): r[3] for r in usual}
+    assert got[2, 2] == ["mit"] and got[3, 1] == got[5, 1] == ["all-rights-reserved-notice"] and got[4, 1] == got[1, 1] == []
+    assert sorted(r[3] for r in usual if r[0] is None) == [[], ["bsd"]]
+    assert license_scan.scan(docs(), license_scan.notices(llm)).count() == 0
+
+
 def test_short_licenses(llm, docs):
     """Templates of one to four words are found word by word, in texts of any length."""
     texts = llm.createDataFrame(
