@@ -13,8 +13,8 @@ seeded generator around true and false personal data. Thresholds are set on sent
 other patterns than the trees have seen. No document is needed for either.
 
 All scanning is linear in the length of a text, and a secret of any length under a name of any
-length is one span. A digit group is a candidate from ``LEAST_DIGITS`` digits on. Offsets are
-code points, ends exclusive.
+length is one span. A digit group is a candidate from ``LEAST_DIGITS`` digits on, the value
+behind an account's name from so many signs on. Offsets are code points, ends exclusive.
 
 Defined cases: a null or empty text has no spans; repeated rows are answered each; an empty
 table gives an empty result; other columns are left alone.

@@ -1,4 +1,4 @@
-"""Lines written by hand, apart from the patterns that the trees learn from: a text and the personal data in it beyond the base rules."""
+"""Lines written by hand, not drawn from the patterns that the trees learn from: a text and the personal data in it beyond the base rules."""
 
 TRUE = [
     ("You can leave a message for Ana at (212) 736-5000 until noon.", "(212) 736-5000"),
