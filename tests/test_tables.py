@@ -19,6 +19,14 @@ def test_land_and_read_back(spark, path):
     assert rows(read_json(spark, landed.path, SALES_RAW)) == rows(raw)
 
 
+def test_landed_lines_are_gzipped_in_files_of_bounded_length(spark, path, monkeypatch):
+    monkeypatch.setattr("lakeops.sources.json_files.FILE_ROWS", 2)
+    landed = land_raw(sales(spark, {}, {}, {}, {}, {}).coalesce(1), path, "sales", "1")
+    files = [f for f in os.listdir(landed.path) if f.startswith("part-")]
+    assert landed.count == 5 and len(files) == 3 and all(f.endswith(".json.gz") for f in files)
+    assert read_json(spark, landed.path, SALES_RAW).count() == 5
+
+
 def test_landing_nothing_is_skipped(spark, path):
     assert land_raw(sales(spark, {}).limit(0), path, "sales", "1").status == "skipped"
 
