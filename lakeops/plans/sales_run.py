@@ -140,19 +140,25 @@ def run_sales(
 def _to_silver(spark: SparkSession, cfg: SalesConfig, landed: LandResult, path: str) -> dict[str, int]:
     """Clean, de-duplicate and append one landed file.
 
-    The clean and the new rows are stored on the way, so their counts come from file
-    footers and stay exact when a stage runs again after losing an executor.
+    Counts come from file footers, so they stay exact when a stage runs again after losing
+    an executor: those written are what the run's partition has gained. Clean rows are
+    stored on the way only if there are stored ones to compare them with.
     """
     rules = sales_rules(cfg.as_of, cfg.max_product_id)
     typed = to_silver_schema(read_json(spark, landed.path, SALES_RAW), cfg.run_date, cfg.as_of)
     with Scratch(spark, "silver") as scratch:
-        clean = scratch.store(accept(typed, rules))
+        clean, today = accept(typed, rules), F.col("partition_date") == cfg.run_date
         stored = read_or_none(spark, path, SALES_SILVER)
-        if stored is not None:
-            stored = stored.where(F.col("partition_date") == cfg.run_date)
-        fresh = scratch.store(anti_dedup(clean, stored, "transaction_id"))
-        cleaned, written = clean.count(), fresh.count()
-        append_partitioned(fresh, path, ["partition_date"])
+        before = 0 if stored is None else stored.where(today).count()
+        if before:
+            clean = scratch.store(clean)
+            fresh = anti_dedup(clean, stored.where(today), "transaction_id")
+        else:
+            fresh = clean
+        append_partitioned(fresh, path, ["partition_date"], one=True)
+        stored = read_or_none(spark, path, SALES_SILVER)
+        written = 0 if stored is None else stored.where(today).count() - before
+        cleaned = clean.count() if before else written
     return {
         "read": landed.count,
         "cleaned": cleaned,

@@ -54,9 +54,13 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def append_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Create the table on first use, append afterwards."""
-    balanced(df, partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(path)
+def append_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], one: bool = False) -> None:
+    """Create the table on first use, append afterwards.
+
+    ``one``: all rows are of one partition, so there is nothing to bring together and every
+    task writes the rows it has, without a shuffle.
+    """
+    (df if one else balanced(df, partition_cols)).write.mode("append").partitionBy(*partition_cols).parquet(path)
 
 
 def create_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
@@ -70,10 +74,10 @@ def create_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str])
     )
 
 
-def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
+def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], one: bool = False) -> None:
+    """Replace exactly the partitions that occur in ``df``; ``one`` as in ``append_partitioned``."""
     (
-        balanced(df, partition_cols)
+        (df if one else balanced(df, partition_cols))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)

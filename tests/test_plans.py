@@ -134,6 +134,20 @@ def test_nothing_to_do(spark, path):
     assert status(out) == {"ingest_to_bronze": ("skipped", 0)}
 
 
+def test_only_a_repeated_run_stores_the_clean_rows_on_the_way(spark, path, monkeypatch):
+    from lakeops.session import Scratch
+
+    stores, store = [], Scratch.store
+    monkeypatch.setattr("lakeops.sources.tables.balanced", lambda *_: pytest.fail("not needed"))
+    monkeypatch.setattr(Scratch, "store", lambda self, df: stores.append(1) or store(self, df))
+    raw = sales(spark, {}, {}, {"quantity": 0})
+    for n, written, times in ((raw, 2, 0), (raw, 0, 1), (sales(spark, {}, {}, {}), 1, 2)):
+        ran = run_sales(spark, config(path, checks_enabled=False, aggregate=False), n, *dims(spark))
+        assert status(ran)["transform_to_silver"] == ("success", written)
+        assert len(stores) == times
+    assert read_table(spark, path + "/silver/sales").count() == 3
+
+
 def test_check_table_outcomes(spark, path):
     checks = dq.silver_sales_checks(**dq.EXAMPLE_BOUNDS)
     t = path + "/t"
