@@ -1,7 +1,7 @@
 """Declarative table checks, evaluated together.
 
 The input is evaluated once. All row-level metrics come out of one aggregation; only
-duplicate counts need a shuffle of their own, of one column, texts as digests.
+duplicate counts need a shuffle of their own, of one column, long texts as digests.
 """
 
 from __future__ import annotations
@@ -171,16 +171,17 @@ class ChecksFailed(ValueError):
 
 
 def run_checks(
-    df: DataFrame, checks: Sequence[Check], as_of: Moment, fail_on_error: bool = False
+    df: DataFrame, checks: Sequence[Check], as_of: Moment, fail_on_error: bool = False, columnar: bool = False
 ) -> DataFrame:
     """One row per check: ``check_name, metric, value, passed, failed_rows``.
 
-    A check on a column the table lacks fails with a null value.
+    A check on a column the table lacks fails with a null value. ``columnar``: ``df`` reads a
+    columnar table as it lies, so it is not stored again.
     """
     present = set(df.columns)
     lacking = {c.name for c in checks if c.column is not None and c.column not in present}
     counted = [c for c in checks if c.metric == "duplicate_count" and c.name not in lacking]
-    if counted:
+    if counted and not columnar:
         # stored once: each duplicate count then reads one column of it, the rest another few
         names = sorted({n for c in checks for n in _reads(c, df.columns)})
         stored = materialise(df.select(*names), "checked")
@@ -250,9 +251,12 @@ def _aggregate(df: DataFrame, check: Check, as_of: Moment) -> Column | None:
 
 
 def _duplicates(df: DataFrame, column: str) -> DataFrame:
-    """How many distinct values occur more than once; texts are compared by digest."""
-    text = df.schema[column].dataType.simpleString() == "string"
-    key = F.sha2(F.col(column), 256) if text else F.col(column)
+    """How many distinct values occur more than once; texts longer than half their digest by that.
+
+    A digest has 64 characters, so it never equals a text that is compared itself.
+    """
+    text, key = df.schema[column].dataType.simpleString() == "string", F.col(column)
+    key = F.when(F.octet_length(key) <= 32, key).otherwise(F.sha2(key, 256)) if text else key
     copies = df.where(F.col(column).isNotNull()).groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
     return copies.agg(F.count_if(F.col("n") > 1).cast("double").alias("v"))
 

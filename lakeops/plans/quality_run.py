@@ -43,7 +43,7 @@ def check_table(
     if table.isEmpty():
         return QualityResult("skipped", "empty_table")
     try:
-        report = materialise(dq.run_checks(table, checks, as_of), "check-report")
+        report = materialise(dq.run_checks(table, checks, as_of, columnar=True), "check-report")
     except Exception as e:  # a check that cannot be evaluated
         if fail_on_error:
             raise

@@ -148,6 +148,15 @@ def test_only_a_repeated_run_stores_the_clean_rows_on_the_way(spark, path, monke
     assert read_table(spark, path + "/silver/sales").count() == 3
 
 
+def test_a_stored_table_is_checked_as_it_lies(spark, path, monkeypatch):
+    monkeypatch.setattr("lakeops.operators.checks.materialise", lambda *_: pytest.fail("stored again"))
+    long = "x" * 40
+    ids = [{"transaction_id": t} for t in ("a", "a", "b", long, long, "c" * 32, "c" * 32)]
+    silver(spark, *ids).write.parquet(path + "/t")
+    checked = check_table(spark, path + "/t", [dq.no_duplicates("copies", "transaction_id")], AS_OF)
+    assert (checked.status, checked.report.first()["value"]) == ("failed", 3.0)
+
+
 def test_check_table_outcomes(spark, path):
     checks = dq.silver_sales_checks(**dq.EXAMPLE_BOUNDS)
     t = path + "/t"
