@@ -97,7 +97,8 @@ def indexed_handler(
             fresh = scratch.store(keep_first(index.fresh(clean, batch_id), "transaction_id"))
             if fresh.isEmpty():
                 return
-            replace_partitions(fresh.withColumn("batch", F.lit(batch_id)), path, ["partition_date", "batch"])
+            mine = fresh.withColumn("batch", F.lit(batch_id))
+            replace_partitions(mine, path, ["partition_date", "batch"], one=run_date is not None)
             index.add(fresh, batch_id)
 
     return handle

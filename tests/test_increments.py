@@ -149,6 +149,18 @@ def test_repeated_batch_leaves_the_same(spark, path):
     assert stored() == once
 
 
+def test_a_dated_indexed_batch_is_written_without_a_shuffle(spark, path, monkeypatch):
+    def never(*_):
+        raise AssertionError("not needed")
+
+    monkeypatch.setattr("lakeops.sources.tables.balanced", never)
+    handle = indexed_handler(path + "/silver", KeyIndex(spark, path + "/keys", "transaction_id", buckets=2), AS_OF, 50, "2024-05-10")
+    handle(sales(spark, {}, {}), 0)
+    handle(sales(spark, {}, {}, {}), 1)
+    handle(sales(spark, {}, {}, {}), 1)
+    assert rows(spark.read.parquet(path + "/silver"), "transaction_id", "batch") == [("t1", 0), ("t2", 0), ("t3", 1)]
+
+
 def test_sketches(spark, path):
     df = spark.range(60_000).select(
         F.concat(F.lit("2024-01-"), F.lpad((F.col("id") % 7 + 1).cast("string"), 2, "0")).alias("partition_date"),
