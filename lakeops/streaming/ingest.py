@@ -57,20 +57,18 @@ def silver_handler(
 ) -> Callable[[DataFrame, int], None]:
     """Clean a batch, drop what the table already holds, append the rest.
 
-    The anti-join against the stored keys makes a replayed batch write nothing new.
+    The anti-join against the stored keys makes a replayed batch write nothing new. The
+    batch is parsed once, by the job that writes.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        typed = to_silver_schema(batch, run_date, as_of)
-        with Scratch(spark, "batch") as scratch:
-            # parsed once; its stored size tells the join whether it can be broadcast
-            clean = scratch.store(accept(typed, sales_rules(as_of, max_product_id)))
-            stored = read_or_none(spark, path, SALES_SILVER)
-            if stored is not None and scope == "partition" and run_date is not None:
-                stored = stored.where(F.col("partition_date") == run_date)
-            fresh = anti_dedup(clean, stored, "transaction_id", scope, within_batch)
-            append_partitioned(fresh, path, list(partition_cols))
+        clean = accept(to_silver_schema(batch, run_date, as_of), sales_rules(as_of, max_product_id))
+        stored = read_or_none(batch.sparkSession, path, SALES_SILVER)
+        if stored is not None and scope == "partition" and run_date is not None:
+            stored = stored.where(F.col("partition_date") == run_date)
+        fresh = anti_dedup(clean, stored, "transaction_id", scope, within_batch)
+        one = run_date is not None and partition_cols == ("partition_date",)
+        append_partitioned(fresh, path, list(partition_cols), one)
 
     return handle
 

@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.schemas import SALES_RAW, SALES_SILVER
+from lakeops.session import Scratch
 from lakeops.sources.json_files import land_raw
 from lakeops.sources.tables import read_or_none, read_table
 from lakeops.streaming.ingest import ingest_incremental, silver_handler
@@ -56,6 +58,25 @@ def test_batch_without_clean_rows(spark, path):
     assert table is None or table.isEmpty()
 
 
+def never(*_):
+    raise AssertionError("not needed")
+
+
+def test_a_dated_batch_is_written_without_a_shuffle_or_a_copy(spark, path, monkeypatch):
+    monkeypatch.setattr("lakeops.sources.tables.balanced", never)
+    monkeypatch.setattr(Scratch, "store", never)
+    handle = silver_handler(f"{path}/silver", AS_OF, 50, "2024-05-10", within_batch=False)
+    handle(sales(spark, {}, {}, {"quantity": 0}), 0)
+    handle(sales(spark, {}, {}, {}), 1)
+    assert stored(spark, path) == [("t1",), ("t2",), ("t3",)]
+
+
+def test_a_batch_with_days_of_its_own_is_still_balanced(spark, path, monkeypatch):
+    monkeypatch.setattr("lakeops.sources.tables.balanced", never)
+    with pytest.raises(AssertionError):
+        silver_handler(f"{path}/silver", AS_OF, 50)(sales(spark, {}), 0)
+
+
 def test_watching_job(spark, path):
     land_raw(sales(spark, {}), path, "sales", "1")
     handler = silver_handler(f"{path}/silver", AS_OF, 50, "2024-05-10")
