@@ -71,6 +71,13 @@ def test_a_dated_batch_is_written_without_a_shuffle_or_a_copy(spark, path, monke
     assert stored(spark, path) == [("t1",), ("t2",), ("t3",)]
 
 
+def test_a_dated_batch_is_written_without_a_shuffle_over_the_whole_table(spark, path, monkeypatch):
+    monkeypatch.setattr("lakeops.sources.tables.balanced", never)
+    for day, rows_ in (("2024-05-09", [{}, {}]), ("2024-05-10", [{}, {}, {}, {"transaction_id": "t3"}])):
+        silver_handler(f"{path}/silver", AS_OF, 50, day, scope="table")(sales(spark, *rows_), 0)
+    assert stored(spark, path) == [("t1",), ("t2",), ("t3",)]
+
+
 def test_a_batch_with_days_of_its_own_is_still_balanced(spark, path, monkeypatch):
     monkeypatch.setattr("lakeops.sources.tables.balanced", never)
     with pytest.raises(AssertionError):
