@@ -14,6 +14,9 @@ EXTRACTED_AT = "_airbyte_extracted_at"
 DATA = "_airbyte_data"
 REQUIRED_FIELDS = (RAW_ID, EXTRACTED_AT, DATA)
 
+#: Rows of one landed file at most. A gzip file is read by one task.
+FILE_ROWS = 100_000
+
 _AS_MAP = "map<string,string>"
 _STRICT = {"mode": "FAILFAST"}
 
@@ -59,7 +62,9 @@ def write_lines_gz(lines: DataFrame, path: str, mode: str = "append") -> None:
     """Write ``(stream, value)`` as gzip text under ``stream=<name>`` directories.
 
     ``mode="overwrite"`` replaces the whole folder: right for a folder that one run owns,
-    so that repeating the run does not double its records. Gzip files do not split on reading, so their size is balanced on writing.
+    so that repeating the run does not double its records. Gzip files do not split on reading,
+    so their size is balanced on writing and none has more than ``FILE_ROWS`` lines: a
+    stream is read by as many tasks as it has files.
     """
     (
         balanced(lines, ["stream"])
@@ -67,6 +72,7 @@ def write_lines_gz(lines: DataFrame, path: str, mode: str = "append") -> None:
         .option("partitionOverwriteMode", "static")
         .partitionBy("stream")
         .option("compression", "gzip")
+        .option("maxRecordsPerFile", FILE_ROWS)
         .text(path)
     )
 
