@@ -140,6 +140,13 @@ def test_gated_promotion_end_to_end(spark, path):
     assert spark.read.json(path + "/logs/dq_reports").count() == 2
 
 
+def test_a_stream_is_landed_in_files_of_bounded_length(spark, path, monkeypatch):
+    monkeypatch.setattr(ev, "FILE_ROWS", 2, raising=False)
+    ev.write_lines_gz(spark.range(5).selectExpr("'s' AS stream", "string(id) AS value"), path + "/b", "overwrite")
+    assert spark.read.text(path + "/b").count() == 5
+    assert len(spark.read.text(path + "/b").inputFiles()) == 3
+
+
 def test_promotion_rate_without_streams(spark):
     report = ec.quality_score(opened(spark, ("s", line()))).limit(0)
     assert ec.promotion_rate(report).first()["promotion_rate"] == 0.0
