@@ -28,6 +28,15 @@ def test_daily_summary_counts_every_status(spark):
     }
 
 
+def test_daily_summary_counts_each_id_by_itself(spark):
+    df = silver(spark, {}, {"customer_id": None}, {"transaction_id": None})
+    df = df.unionByName(df.withColumn("partition_date", F.lit(None).cast("string")))
+    counted = gold.daily_sales_summary(df)
+    assert "Expand" not in plan(counted)  # which holds every row once for each of the ids
+    assert rows(counted, "total_transactions", "unique_customers", "total_items_sold") == [(2, 1, 6), (2, 1, 6)]
+    assert gold.daily_sales_summary(df, ()).columns == [c for c in counted.columns if c not in gold.DISTINCT]
+
+
 def test_product_performance_inner_join_completed_only(spark):
     df = silver(
         spark,

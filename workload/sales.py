@@ -200,8 +200,8 @@ def _(spark, d):
 # --- gold -----------------------------------------------------------------------------
 
 
-def summary(spark, d) -> DataFrame:
-    return gold.daily_sales_summary(clean(spark, d))
+def summary(spark, d, distinct=tuple(gold.DISTINCT)) -> DataFrame:
+    return gold.daily_sales_summary(clean(spark, d), distinct)
 
 
 def per_day(spark, d) -> DataFrame:
@@ -251,22 +251,22 @@ def _newest(column: str, expr: str | None = None) -> str:
 
 @query("kpi_total_revenue", _newest("total_revenue"))
 def _(spark, d):
-    return reports.latest(summary(spark, d), "partition_date", "total_revenue")
+    return reports.latest(summary(spark, d, ()), "partition_date", "total_revenue")
 
 
 @query("kpi_total_transactions", _newest("total_transactions"))
 def _(spark, d):
-    return reports.latest(summary(spark, d), "partition_date", "total_transactions")
+    return reports.latest(summary(spark, d, ["total_transactions"]), "partition_date", "total_transactions")
 
 
 @query("kpi_unique_customers", _newest("unique_customers"))
 def _(spark, d):
-    return reports.latest(summary(spark, d), "partition_date", "unique_customers")
+    return reports.latest(summary(spark, d, ["unique_customers"]), "partition_date", "unique_customers")
 
 
 @query("kpi_completion_rate", _newest("completion_rate", "completion_rate / 100.0::DOUBLE"))
 def _(spark, d):
-    return reports.latest_fraction(summary(spark, d), "partition_date", "completion_rate")
+    return reports.latest_fraction(summary(spark, d, ()), "partition_date", "completion_rate")
 
 
 @query(
@@ -274,7 +274,7 @@ def _(spark, d):
     f"WITH {CLEAN}, {SUMMARY} SELECT partition_date, total_revenue FROM summary ORDER BY 1",
 )
 def _(spark, d):
-    return reports.trend(summary(spark, d), "partition_date", "total_revenue")
+    return reports.trend(summary(spark, d, ()), "partition_date", "total_revenue")
 
 
 @query(
@@ -284,7 +284,7 @@ def _(spark, d):
 )
 def _(spark, d):
     return reports.trend(
-        summary(spark, d), "partition_date", "total_revenue", "total_transactions", last=7
+        summary(spark, d, ["total_transactions"]), "partition_date", "total_revenue", "total_transactions", last=7
     )
 
 
@@ -333,7 +333,7 @@ def _(spark, d):
     FROM summary GROUP BY 1 ORDER BY 1 DESC LIMIT 12""",
 )
 def _(spark, d):
-    weeks = reports.weekly_revenue(summary(spark, d))
+    weeks = reports.weekly_revenue(summary(spark, d, ()))
     return weeks.withColumn("week", F.date_format("week", "yyyy-MM-dd"))
 
 
@@ -360,7 +360,7 @@ def _(spark, d):
     GROUP BY category ORDER BY 2 DESC, 1""",
 )
 def _(spark, d):
-    return reports.cross_layer_join(per_day(spark, d), summary(spark, d))
+    return reports.cross_layer_join(per_day(spark, d), summary(spark, d, ()))
 
 
 @query(
