@@ -29,16 +29,18 @@ not read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 SHARD_IDS = 1 << 21
+#: Bytes of text that are encoded at once, to within a document.
+TEXT_BYTES = 6 << 20
 #: A rule must replace so many pairs in its shard.
 MIN_PAIRS = 24
 SHARD_SCHEMA = (
@@ -49,100 +51,118 @@ SHARD_SCHEMA = (
 STEP = 4
 _CACHE_CHUNKS = 1_500_000
 _END = np.uint32(0xFFFFFFFF)
+#: The chunk that ends a document. UTF-8 has no such byte.
+_STOP = b"\xff"
 
 
-class Chunks(dict):
-    """Numbers chunks as they come up and remembers the new ones."""
+_OTHER, _SPACE, _SIGN, _LETTER = range(4)
 
-    def __init__(self):
-        self.new: list[bytes] = []
 
-    def __missing__(self, chunk: bytes) -> int:
-        number = self[chunk] = len(self)
-        self.new.append(chunk)
-        return number
+def _byte_kind(byte: int) -> int:
+    one = bytes([byte])
+    if one.isspace():
+        return _SPACE
+    if one.islower():
+        return _LETTER
+    return _SIGN if 0x20 < byte < 0x7F and not one.isalnum() else _OTHER
 
 
-# The first of the signs that follow a word up to white space. The word ends in a letter of
-# ASCII or of the two-byte range from A with grave to y with diaeresis.
-_SIGN = rb"[!-/:-@\[-`{-~]"
-_MARKED = re.compile(
-    rb"(%s)(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))(?=%s*(?:\s|\Z))" % (_SIGN, _SIGN)
-)
+_KINDS = bytes(map(_byte_kind, range(256)))
+
+
+def cut_signs(text: bytes) -> bytes:
+    """A space before the signs that follow a word up to white space.
+
+    The word ends in a lower-case letter of ASCII or a letter of the two-byte range from A
+    with grave to y with diaeresis. White space begins and ends the text.
+    """
+    raw, kinds = np.frombuffer(text, np.uint8), np.frombuffer(text.translate(_KINDS), np.uint8)
+    signs = np.flatnonzero(kinds == _SIGN)
+    begins = np.diff(signs, prepend=-2) > 1
+    first, last = signs[begins], signs[np.append(begins[1:], True)[: len(signs)]]
+    first = first[kinds[last + 1] == _SPACE]
+    first = first[first > 1]
+    two, one = raw[first - 2], raw[first - 1]
+    accented = (two == 0xC3) & (one >= 0x80) & (one <= 0xBF) & (one != 0x97) & (one != 0xB7)
+    first = first[(kinds[first - 1] == _LETTER) | accented]
+    return np.insert(raw, first, 32).tobytes()
 
 
 class ChunkEncoder:
     """Encodes texts by looking up their white-space separated chunks.
 
     The tokenizer drops white space and never joins what it separates, nor a word and the
-    signs after it, so a text's ids are the ids of its chunks. Each new chunk
-    is encoded once. Lower-case words go in long lines to a tokenizer with the same model
-    that cuts at spaces only; the ids that end a word tell them apart again.
+    signs after it, so a text's ids are the ids of its chunks. The different chunks of
+    many texts are looked up together, and each new one is encoded once: lower-case words
+    by the tokenizer's model alone, in the form its byte-level step gives them.
     """
 
     def __init__(self, path: str):
-        # one line at a time: threads of the library's own would only get in Spark's way
+        # one word at a time: threads of the library's own would only get in Spark's way
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers as pre
-
-        self.tokenizer, self.by_space, self.by_space_ascii = (Tokenizer.from_file(path) for _ in range(3))
-        for t in (self.by_space, self.by_space_ascii):
-            t.normalizer = normalizers.Sequence([])
-        self.by_space.pre_tokenizer = pre.Sequence([pre.WhitespaceSplit(), pre.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.by_space_ascii.pre_tokenizer = pre.WhitespaceSplit()
-        vocab = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
+        from tokenizers import Tokenizer, pre_tokenizers as pre
+
+        self.tokenizer, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.model = plain.model
+        self.model._resize_cache(0)  # no word comes twice
+        # what the byte-level step writes for each byte, spaces apart
+        byte_level = pre.ByteLevel(add_prefix_space=False, use_regex=False)
+        spelled = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xA1, 0x250))}
+        self.spelling = {b: c for char, two in spelled.items() for b, c in zip(chr(char).encode(), two)}
+        self.n_ids = max(self.tokenizer.get_vocab().values()) + 1
         self._forget()
 
     def _forget(self) -> None:
-        self.chunks = Chunks()
-        # the empty chunk ends a document
-        self.chunks[b""] = 0
-        self.ids, self.starts, self.sizes = np.array([_END]), np.zeros(1, np.int64), np.ones(1, np.int64)
+        # the chunk that ends a document, and what is before the first space
+        self.chunks = {_STOP: 0, b"": 1}
+        self.ids, self.starts, self.sizes = np.array([_END]), np.zeros(2, np.int64), np.array([1, 0])
 
-    def encode(self, texts: list[str | None]) -> np.ndarray:
+    def encode(self, texts: list[str | bytes | None]) -> np.ndarray:
         """The ids of all texts in one array, ``_END`` after each text."""
         if len(self.chunks) > _CACHE_CHUNKS:
             self._forget()
-        words: list[bytes] = []
-        for t in texts:
-            raw = (t or "").encode("utf-8", "surrogatepass")
-            if b"<|" in raw:  # a special token is looked for before anything is lower-cased, and stays whole
-                words += [w if b"<|" in w else w.lower() for w in raw.split()]
-            else:
-                words += _MARKED.sub(rb" \1", raw.lower()).split()
-            words.append(b"")
-        code = np.fromiter(map(self.chunks.__getitem__, words), np.int64, len(words))
-        if self.chunks.new:
-            self._learn(self.chunks.new)
-            self.chunks.new = []
+        raws = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else t or b"" for t in texts]
+        special = [i for i, raw in enumerate(raws) if b"<|" in raw]
+        kept = [raws[i] for i in special]
+        for i in special:
+            raws[i] = b""
+        marked = cut_signs(b"\n" + b"\n\xff\n".join([*raws, b""]).lower())
+        if special:  # a special token is looked for before anything is lower-cased, and stays whole
+            parts = marked.split(_STOP)
+            for i, raw in zip(special, kept):
+                parts[i] = b" ".join([b"", *(w if b"<|" in w else w.lower() for w in raw.split()), b""])
+            marked = _STOP.join(parts)
+        offsets = pa.py_buffer(np.array([0, len(marked)], np.int64))
+        whole = pa.Array.from_buffers(pa.large_string(), 1, [None, offsets, pa.py_buffer(marked)])
+        words = pc.ascii_split_whitespace(whole).values.dictionary_encode()
+        different = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.chunks.get, different))
+        new = [chunk for chunk, number in zip(different, known) if number is None]
+        if new:
+            self.chunks.update(zip(new, range(len(self.chunks), len(self.chunks) + len(new))))
+            self._learn(new)
+            known = list(map(self.chunks.__getitem__, different))
+        code = np.array(known, np.int64)[words.indices.to_numpy()]
+        if np.count_nonzero(code == 0) != len(texts):
+            raise ValueError("a text is not UTF-8")
         return gather(self.ids, self.starts[code], self.sizes[code])
 
     def _learn(self, chunks: list[bytes]) -> None:
         texts = [c.decode("utf-8", "surrogatepass") for c in chunks]
-        kind = np.array([_kind(t) for t in texts], np.int8)
-        ids, sizes = [self.ids], np.zeros(len(texts), np.int64)
-        order = np.argsort(kind, kind="stable")
-        odd = order[kind[order] == 2].tolist()
-        for which, tokenizer in ((0, self.by_space_ascii), (1, self.by_space)):
-            words = order[kind[order] == which]
-            for at in range(0, len(words), 512):
-                part = words[at : at + 512]
-                line = " ".join([texts[i] for i in part])
-                line = line.lower() if which else line
-                got = np.array(tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
-                ends = np.flatnonzero(self.ends_word[got]) + 1
-                if len(ends) != len(part) or ends[-1] != len(got):
-                    raise ValueError("the tokenizer does not end every word with one id")
-                ids.append(got)
-                sizes[part] = np.diff(ends, prepend=0)
-        for i in odd:
-            ids.append(np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32))
-            sizes[i] = len(ids[-1])
-        starts = np.empty(len(texts), np.int64)
-        starts[order] = len(self.ids) + np.cumsum(sizes[order]) - sizes[order]
-        self.ids = np.concatenate(ids)
+        ids: list[int] = []
+        ends: list[int] = []
+        model, spelling = self.model.tokenize, self.spelling
+        for t in texts:
+            kind = _kind(t)
+            if kind == 2:
+                ids += self.tokenizer.encode(t, add_special_tokens=False).ids
+            else:
+                word = t.lower().encode().decode("latin-1").translate(spelling) if kind else t
+                ids += [token.id for token in model(word)]
+            ends.append(len(ids))
+        flat, sizes = np.array(ids, np.uint32), np.diff(ends, prepend=0)
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids = np.concatenate([self.ids, flat])
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
 
@@ -166,45 +186,50 @@ def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) ->
 
     A round replaces all pairs at least a ``STEP``-th as frequent as the most frequent one.
     Pairs are counted exactly, and numbered once: a replacement changes only the pairs beside
-    it, and those hold a new symbol. A pair of old symbols never gets more frequent, so one
-    that is rarer than ``min_pairs`` needs no number.
+    it, which leave their counts, and those that take their place hold a new symbol. A pair of
+    old symbols never gets more frequent, so one that is rarer than ``min_pairs`` needs no number.
     """
     rules: list[np.ndarray] = []
     n_rules, symbols = 0, symbols.copy()
-    pairs = np.zeros(1, np.uint64)
+    pairs, counts = np.zeros(1, np.uint64), np.zeros(1, np.int64)
     # number of the pair that starts there, 0 for a rare one or none
     pair_of = np.zeros(len(symbols), np.int32)
     at = np.flatnonzero((symbols[:-1] != _END) & (symbols[1:] != _END))
     while True:
-        order, new, counts = _sorted_pairs(symbols[at], symbols[at + 1], first_rule + n_rules)
-        enough = counts >= min_pairs
-        pair_of[at[order]] = np.repeat(np.where(enough, len(pairs) - 1 + np.cumsum(enough), 0), counts)
-        pairs = np.concatenate([pairs, new[enough]])
+        order, new, found = _sorted_pairs(symbols[at], symbols[at + 1], first_rule + n_rules)
+        enough = found >= min_pairs
+        order = order[np.repeat(enough, found)]
+        new, found = new[enough], found[enough]
+        pair_of[at[order]] = np.repeat(np.arange(len(pairs), len(pairs) + len(new)), found)
+        pairs, counts = np.concatenate([pairs, new]), np.concatenate([counts, found])
 
-        counts = np.bincount(pair_of, minlength=len(pairs))
-        counts[0] = 0
         top = int(counts.max())
         if top < min_pairs:
             break
-        at = np.flatnonzero((counts >= max(min_pairs, top // STEP))[pair_of])
+        at = np.flatnonzero(np.take(counts >= max(min_pairs, top // STEP), pair_of))
         # of overlapping pairs every second one, from the left
         run_start = np.r_[True, np.diff(at) > 1]
         first = np.maximum.accumulate(np.where(run_start, np.arange(len(at)), 0))
         at = at[(np.arange(len(at)) - first) % 2 == 0]
+        number = pair_of[at]
         used = np.zeros(len(pairs), bool)
-        used[pair_of[at]] = True
+        used[number] = True
         rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        symbols[at] = first_rule + n_rules - 1 + np.cumsum(used)[pair_of[at]]
+        symbols[at] = first_rule + n_rules - 1 + np.cumsum(used)[number]
         n_rules += len(rules[-1])
+        # the pairs that are replaced, those after them, and those before that are neither
+        before = at[np.diff(at, prepend=-2) > 2] - 1
+        gone = np.concatenate([at, at + 1, before[before >= 0]])
+        counts -= np.bincount(pair_of[gone], minlength=len(pairs))
+        counts[0] = 0
+        pair_of[gone] = 0
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
         symbols, pair_of = symbols[stay], pair_of[stay]
         at -= np.arange(len(at))
-        beside = np.zeros(len(symbols), bool)
-        beside[at] = True
-        beside[at[at > 0] - 1] = True
-        at = np.flatnonzero(beside)
-        pair_of[at] = 0
+        # the pairs that start at the new symbols and before them, each once and in order
+        beside = np.stack([at - 1, at], 1).ravel()
+        at = beside[np.diff(beside, prepend=-1) > 0]
         at = at[at < len(symbols) - 1]
         at = at[(symbols[at] != _END) & (symbols[at + 1] != _END)]
     return symbols, np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
@@ -212,18 +237,21 @@ def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) ->
 
 def _sorted_pairs(left: np.ndarray, right: np.ndarray, above: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order that sorts the pairs, each different pair and how often it is there. Symbols are less than ``above``."""
-    key = (left.astype(np.uint64) << np.uint64(32)) | right
-    width, places = above.bit_length(), len(key).bit_length()
+    width, places = above.bit_length(), len(left).bit_length()
     if 2 * width + places <= 64:  # sorting numbers is several times faster than sorting indices
-        packed = (left.astype(np.uint64) << np.uint64(width)) | right
-        packed = (packed << np.uint64(places)) | np.arange(len(key), dtype=np.uint64)
-        packed.sort()
-        order = (packed & np.uint64((1 << places) - 1)).astype(np.int64)
+        key = (left.astype(np.uint64) << np.uint64(width)) | right
+        key = (key << np.uint64(places)) | np.arange(len(key), dtype=np.uint64)
+        key.sort()
+        order = (key & np.uint64((1 << places) - 1)).astype(np.int64)
+        key >>= np.uint64(places)
     else:
+        key = (left.astype(np.uint64) << np.uint64(32)) | right
         order = np.argsort(key)
-    key = key[order]
+        key, width = key[order], 32
     starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-    return order, key[starts], np.diff(np.append(starts, len(key)))
+    pairs = key[starts]
+    pairs = ((pairs >> np.uint64(width)) << np.uint64(32)) | (pairs & np.uint64((1 << width) - 1))
+    return order, pairs, np.diff(np.append(starts, len(key)))
 
 
 def expand_rules(rules: np.ndarray, first_rule: int, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -302,6 +330,11 @@ class Shard:
         s = self.symbols[self.ends[i - 1] if i else 0 : self.ends[i]]
         return gather(self.table, self.starts[s], self.sizes[s])
 
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all documents one after the other, and where each ends."""
+        sizes = self.sizes[self.symbols]
+        return gather(self.table, self.starts[self.symbols], sizes), np.append(0, np.cumsum(sizes))[self.ends]
+
     def ids_between(self, i: int, start: int, stop: int) -> np.ndarray:
         """Ids start to stop of a document: lengths alone find the symbols that hold them."""
         s = self.symbols[self.ends[i - 1] if i else 0 : self.ends[i]]
@@ -315,6 +348,15 @@ class Shard:
 _encoders: dict[str, ChunkEncoder] = {}
 
 
+def by_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``TEXT_BYTES`` of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    step = (np.cumsum(sizes, dtype=np.int64) - sizes) // TEXT_BYTES
+    cuts = [*np.flatnonzero(np.diff(step, prepend=-1)).tolist(), batch.num_rows]
+    for start, stop in zip(cuts, cuts[1:]):
+        yield batch.slice(start, stop - start)
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2) -> None:
     """Encode ``docs`` and write the shards to ``path``. ``tokenizer``: a file on every executor."""
     ordered = (
@@ -327,7 +369,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
         if tokenizer not in _encoders:
             _encoders[tokenizer] = ChunkEncoder(tokenizer)
         encoder = _encoders[tokenizer]
-        first_rule = len(encoder.ends_word)
+        first_rule = encoder.n_ids
         number, ids, streams, size = 0, [], [], 0
 
         def shard() -> pa.RecordBatch:
@@ -335,10 +377,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_
             return pa.RecordBatch.from_pylist([made], SHARD_ARROW)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):  # documents are never cut, shards end between them
-                part = batch.slice(at, 500)
+            for part in by_bytes(batch):  # documents are never cut, shards end between them
                 ids += part.column("id").to_pylist()
-                streams.append(encoder.encode(part.column("text").to_pylist()))
+                streams.append(encoder.encode(part.column("text").cast(pa.binary()).to_pylist()))
                 size += len(streams[-1])
                 if size >= SHARD_IDS:
                     yield shard()
@@ -364,16 +405,13 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(batch.num_rows):
             row = batch.slice(at, 1).to_pylist()[0]
             shard = Shard(row)
-            sizes, sums = [], []
-            for i in range(len(row["doc_ids"])):
-                ids = shard.document(i)
-                sizes.append(len(ids))
-                sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
-            n = len(sizes)
+            ids, ends = shard.all()
+            n, sizes, data = len(ends), np.diff(ends, prepend=0), memoryview(ids.astype("<u4").tobytes())
+            sums = [zlib.crc32(data[4 * (end - size) : 4 * end]) for end, size in zip(ends.tolist(), sizes.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row["part"]] * n, pa.int32()), pa.array([row["shard"]] * n, pa.int32()),
-                    pa.array(row["doc_ids"], pa.int64()), pa.array(np.cumsum(sizes) - sizes, pa.int64()),
+                    pa.array(row["doc_ids"], pa.int64()), pa.array(ends - sizes, pa.int64()),
                     pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()),
                 ],
                 ["part", "shard", "doc_id", "start", "n_tokens", "ids_crc32"],

@@ -1,9 +1,12 @@
 """Token grammars, Jaccard join, personal data, line dedup, WARC, main text."""
 
 import random
+import re
 import time
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +109,13 @@ def test_chunks_are_what_the_tokenizer_sees(tokenizer):
         assert got.tolist() == want, texts
 
 
+def test_words_of_every_letter(tokenizer):
+    """Words go to the model alone, in the spelling of the byte-level step."""
+    texts = [f"{a}{chr(i)}{b}" for i in range(0x21, 0x260) for a, b in (("", ""), ("no", "ted"), ("T", ","))]
+    want = [x for t in texts for x in (*tokenizer.encode(t, add_special_tokens=False).ids, 0xFFFFFFFF)]
+    assert token_grammar.ChunkEncoder(tokenizer_file()).encode(texts).tolist() == want
+
+
 def test_special_tokens_in_other_case(tokenizer):
     """Only the exact form is a special token; the tokenizer looks for it before it lower-cases."""
     rng = random.Random(10)
@@ -117,6 +127,83 @@ def test_special_tokens_in_other_case(tokenizer):
         assert encoder.encode(texts).tolist() == want, texts
 
 
+def test_signs_are_cut_off_as_by_the_pattern():
+    sign = rb"[!-/:-@\[-`{-~]"
+    pattern = re.compile(
+        rb"(%s)(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))(?=%s*(?:\s|\Z))" % (sign, sign)
+    )
+    rng = random.Random(11)
+    pieces = [bytes([i]) for i in range(256)] + ["é".encode(), "×".encode(), "÷".encode(), "É".encode(), b"a.", b"z,)", b" ", b"\n", b"_", b"`~"]
+    for _ in range(2000):
+        text = b"\n" + b"".join(rng.choices(pieces, k=rng.randrange(40))) + b"\n"
+        assert token_grammar.cut_signs(text) == pattern.sub(rb" \1", text)
+
+
+def test_a_chunk_is_looked_up_once_for_many_texts(tokenizer):
+    """However often a word occurs in a step, the model spells it once and the index is asked once."""
+    encoder = token_grammar.ChunkEncoder(tokenizer_file())
+    asked = []
+
+    class Known(dict):
+        def get(self, chunk):
+            asked.append(chunk)
+            return super().get(chunk)
+
+    encoder.chunks = Known(encoder.chunks)
+    texts = ["one two, one", b"two one two.", None, "One TWO"] * 50
+    got = encoder.encode(texts).tolist()
+    assert len(asked) == len(set(asked)) < 10
+    plain = [t.decode() if isinstance(t, bytes) else t or "" for t in texts]
+    assert got == [x for t in plain for x in (*tokenizer.encode(t, add_special_tokens=False).ids, 0xFFFFFFFF)]
+    with pytest.raises(ValueError):
+        encoder.encode([b"a \xff b"])
+
+
+def test_texts_are_taken_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(token_grammar, "TEXT_BYTES", 10)
+    texts = ["a" * 4, None, "é" * 3, "", "b" * 30, "c", "d" * 9, "e"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(8)), "text": texts})
+    parts = [p.column("text").to_pylist() for p in token_grammar.by_bytes(batch)]
+    assert [t for p in parts for t in p] == texts
+    assert [len(p) for p in parts] == [3, 2, 2, 1]
+    assert list(token_grammar.by_bytes(batch.slice(0, 0))) == []
+
+
+def test_pairs_are_counted_on_as_if_counted_anew():
+    """What every symbol stands for is as after rounds that count all pairs again."""
+
+    def plain(symbols, first_rule, least):
+        symbols, rules = symbols.tolist(), []
+        while True:
+            inside = [p for p in zip(symbols, symbols[1:]) if 0xFFFFFFFF not in p]
+            counts = Counter(inside)
+            top = max(counts.values(), default=0)
+            if top < least:
+                return symbols, rules
+            bound, out, used, i = max(least, top // token_grammar.STEP), [], set(), 0
+            frequent = {p for p, n in counts.items() if n >= bound}
+            while i < len(symbols):
+                pair = tuple(symbols[i : i + 2])
+                out.append(pair if pair in frequent else symbols[i])
+                used |= {pair} & frequent
+                i += 1 + (pair in frequent)
+            new = {p: first_rule + len(rules) + k for k, p in enumerate(sorted(used))}
+            rules += [list(p) for p in new]
+            symbols = [new.get(s, s) if isinstance(s, tuple) else s for s in out]
+
+    def spell(s, rules):
+        return [s] if s < 60 or s == 0xFFFFFFFF else [x for half in rules[s - 60] for x in spell(half, rules)]
+
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        symbols = (rng.zipf(1.3, int(rng.integers(1, 800))) % int(rng.integers(2, 60))).astype(np.uint32)
+        symbols[rng.random(len(symbols)) < 0.03] = 0xFFFFFFFF
+        got, rules = token_grammar.re_pair(symbols, 60, 4)
+        want, expected = plain(symbols, 60, 4)
+        rules = rules.tolist()
+        assert [spell(s, rules) for s in got.tolist()] == [spell(s, expected) for s in want]
+
+
 # --- Jaccard join
 
 
