@@ -27,16 +27,16 @@ def calendar_day(moment: Moment) -> Column:
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to wall-clock time. The zone is dropped, bad text gives null."""
-
-    def part(i: int, default: str) -> Column:
-        found = F.regexp_extract(text, ISO_MOMENT, i)
-        return F.when(found == "", default).otherwise(found)
-
-    day = F.concat_ws("-", part(1, ""), part(2, ""), part(3, ""))
-    time = F.concat_ws(":", part(4, "00"), part(5, "00"), part(6, "00"))
-    plain = F.concat(day, F.lit(" "), time, F.lit("."), part(7, "0"))
-    return F.when(text.rlike(ISO_MOMENT), plain.try_cast("timestamp_ntz"))
+    """ISO-8601 text to wall-clock time. The zone is dropped, bad text gives null.
+
+    A text is matched once: its parts are put between marks, and those left empty are
+    filled by plain replacement. A text without marks did not match.
+    """
+    plain = F.regexp_replace(text, ISO_MOMENT, "#$1-$2-$3 $4:$5:$6.$7#")
+    for empty, full in ((" :", " 00:"), ("::", ":00:"), (":.", ":00."), (".#", ".0#")):
+        plain = F.replace(plain, F.lit(empty), F.lit(full))
+    marked = F.split_part(plain, F.lit("#"), F.lit(2))
+    return F.when(~F.contains(text, F.lit("#")), marked.try_cast("timestamp_ntz"))
 
 
 def hours_between(earlier: Column, later: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lakeops.functions.times import parse_iso
+from lakeops.functions.times import ISO_MOMENT, parse_iso
 from lakeops.operators import envelope_checks as ec, reports, rules as r, silver as sl
 from lakeops.sources import envelopes as ev, layers
 from lakeops.sources.tables import append_partitioned, read_table
@@ -75,3 +75,16 @@ def test_iso_forms(spark):
     df = spark.createDataFrame([(t,) for t in [*texts, *bad]], "t string")
     got = {x["t"]: x["v"] for x in df.select("t", parse_iso(F.col("t")).alias("v")).collect()}
     assert got == {**{k: at(v) for k, v in texts.items()}, **dict.fromkeys(bad)}
+
+
+def test_iso_text_is_matched_once(spark):
+    df = spark.createDataFrame([("x",)], "t string").select(parse_iso(F.col("t")).alias("v"))
+    assert plan(df).count(ISO_MOMENT) == 1
+
+
+def test_iso_text_with_marks_and_line_ends(spark):
+    good = {"2024-05-10\n": "2024-05-10 00:00:00", "20240510T1020\r\n": "2024-05-10 10:20:00"}
+    bad = ["#2024-05-10 10:00:00.5#", "x#2024-05-10#", "2024-05-10#", "#", "2024-05-10\n\n", " :", "::", "2024-05-10 :."]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad]], "t string")
+    got = {x["t"]: x["v"] for x in df.select("t", parse_iso(F.col("t")).alias("v")).collect()}
+    assert got == {**{k: at(v) for k, v in good.items()}, **dict.fromkeys(bad)}
