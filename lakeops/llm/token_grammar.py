@@ -31,6 +31,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 from unicodedata import is_normalized
 
 import numpy as np
@@ -136,29 +137,30 @@ class ChunkEncoder:
         whole = pa.Array.from_buffers(pa.large_string(), 1, [None, offsets, pa.py_buffer(marked)])
         words = pc.ascii_split_whitespace(whole).values.dictionary_encode()
         different = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
-        known = list(map(self.chunks.get, different))
-        new = [chunk for chunk, number in zip(different, known) if number is None]
-        if new:
-            self.chunks.update(zip(new, range(len(self.chunks), len(self.chunks) + len(new))))
-            self._learn(new)
-            known = list(map(self.chunks.__getitem__, different))
-        code = np.array(known, np.int64)[words.indices.to_numpy()]
+        known = np.fromiter(map(self.chunks.get, different, repeat(-1)), np.int64, len(different))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            known[new] = np.arange(len(self.chunks), len(self.chunks) + len(new))
+            chunks = [different[i] for i in new.tolist()]
+            self.chunks.update(zip(chunks, known[new].tolist()))
+            self._learn(chunks)
+        code = known[words.indices.to_numpy()]
         if np.count_nonzero(code == 0) != len(texts):
             raise ValueError("a text is not UTF-8")
         return gather(self.ids, self.starts[code], self.sizes[code])
 
     def _learn(self, chunks: list[bytes]) -> None:
-        texts = [c.decode("utf-8", "surrogatepass") for c in chunks]
         ids: list[int] = []
         ends: list[int] = []
         model, spelling = self.model.tokenize, self.spelling
-        for t in texts:
-            kind = _kind(t)
-            if kind == 2:
-                ids += self.tokenizer.encode(t, add_special_tokens=False).ids
+        for chunk in chunks:
+            text = chunk.decode("utf-8", "surrogatepass")
+            if chunk.isalpha():
+                ids += [token.id for token in model(text)]
+            elif _one_word(text):
+                ids += [token.id for token in model(text.lower().encode().decode("latin-1").translate(spelling))]
             else:
-                word = t.lower().encode().decode("latin-1").translate(spelling) if kind else t
-                ids += [token.id for token in model(word)]
+                ids += self.tokenizer.encode(text, add_special_tokens=False).ids
             ends.append(len(ids))
         flat, sizes = np.array(ids, np.uint32), np.diff(ends, prepend=0)
         starts = len(self.ids) + np.cumsum(sizes) - sizes
@@ -166,11 +168,9 @@ class ChunkEncoder:
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
 
-def _kind(t: str) -> int:
-    """0 for a word of ASCII letters, 1 for one that normalising leaves one word, else 2."""
-    if t.isascii():
-        return 0 if t.isalpha() else 2
-    return 1 if t.isalpha() and max(t) < "\u0250" and "\u0130" not in t and is_normalized("NFC", t) else 2
+def _one_word(text: str) -> bool:
+    """A word of letters of more than ASCII that normalising leaves one word."""
+    return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text and is_normalized("NFC", text)
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

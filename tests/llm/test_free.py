@@ -145,9 +145,9 @@ def test_a_chunk_is_looked_up_once_for_many_texts(tokenizer):
     asked = []
 
     class Known(dict):
-        def get(self, chunk):
+        def get(self, chunk, default=None):
             asked.append(chunk)
-            return super().get(chunk)
+            return super().get(chunk, default)
 
     encoder.chunks = Known(encoder.chunks)
     texts = ["one two, one", b"two one two.", None, "One TWO"] * 50
