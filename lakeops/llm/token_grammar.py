@@ -175,10 +175,17 @@ def _one_word(text: str) -> bool:
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The stretches of ``flat`` one after the other."""
-    ends = np.cumsum(sizes)
-    if not len(sizes) or not ends[-1]:
+    some = sizes > 0
+    if not some.all():
+        starts, sizes = starts[some], sizes[some]
+    if not len(sizes):
         return flat[:0]
-    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])]
+    ends = np.cumsum(sizes)
+    # from one place to the next: one on, but to the next start where a stretch begins
+    at = np.ones(ends[-1], np.int64)
+    at[0] = starts[0]
+    at[ends[:-1]] = starts[1:] - starts[:-1] - sizes[:-1] + 1
+    return flat[np.cumsum(at, out=at)]
 
 
 def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) -> tuple[np.ndarray, np.ndarray]:
@@ -279,7 +286,10 @@ def rule_lengths(rules: np.ndarray, first_rule: int) -> np.ndarray:
 
 
 def pack24(x: np.ndarray) -> bytes:
-    return x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    wide, out = x.astype("<u4").view(np.uint8).reshape(-1, 4), np.empty((len(x), 3), np.uint8)
+    for i in range(3):  # a column at a time is several times faster than rows of three bytes
+        out[:, i] = wide[:, i]
+    return out.tobytes()
 
 
 def unpack24(data: bytes) -> np.ndarray:

@@ -159,6 +159,18 @@ def test_a_chunk_is_looked_up_once_for_many_texts(tokenizer):
         encoder.encode([b"a \xff b"])
 
 
+def test_stretches_of_any_length():
+    rng = np.random.default_rng(6)
+    flat = np.arange(100, dtype=np.uint32)
+    for n in (0, 1, 2, 40, 400):
+        sizes = rng.integers(0, 4, n)
+        starts = rng.integers(0, 96, n)
+        want = [x for a, k in zip(starts.tolist(), sizes.tolist()) for x in range(a, a + k)]
+        assert token_grammar.gather(flat, starts, sizes).tolist() == want
+        assert token_grammar.unpack24(token_grammar.pack24(starts + (1 << 20))).tolist() == (starts + (1 << 20)).tolist()
+    assert token_grammar.gather(flat, starts, 0 * sizes).tolist() == []
+
+
 def test_texts_are_taken_by_their_bytes(monkeypatch):
     monkeypatch.setattr(token_grammar, "TEXT_BYTES", 10)
     texts = ["a" * 4, None, "é" * 3, "", "b" * 30, "c", "d" * 9, "e"]
