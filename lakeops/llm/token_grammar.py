@@ -29,10 +29,11 @@ not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import repeat
-from unicodedata import is_normalized
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +70,8 @@ def _byte_kind(byte: int) -> int:
 
 
 _KINDS = bytes(map(_byte_kind, range(256)))
+#: A-Z to lower case, every white space to a space.
+_FOLDED = bytes(b" "[0] if bytes([i]).isspace() else bytes([i]).lower()[0] for i in range(256))
 
 
 def cut_signs(text: bytes) -> bytes:
@@ -89,6 +92,35 @@ def cut_signs(text: bytes) -> bytes:
     return np.insert(raw, first, 32).tobytes()
 
 
+def different_chunks(text: bytes) -> tuple[list[int | bytes], np.ndarray]:
+    """The different chunks of a text, and for each chunk in order the number of its different one.
+
+    A chunk goes to the space after it, inclusive; the text ends with one. Chunks of up to
+    eight bytes are told apart as little-endian numbers, in which the space is the highest byte.
+    """
+    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1
+    sizes = np.diff(ends, prepend=0)
+    short = sizes <= 8
+    eight = np.ndarray(len(text), "<u8", text + bytes(8), strides=(1,))
+    numbers = eight[(ends - sizes)[short]] & _LOW_BYTES[sizes[short]]
+    few = pa.array(numbers).dictionary_encode()
+    offsets = pa.py_buffer(np.append(0, ends))
+    whole = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, offsets, pa.py_buffer(text)])
+    many = whole.filter(pa.array(~short)).dictionary_encode()
+    which = np.empty(len(ends), np.int64)
+    which[short] = few.indices.to_numpy()
+    which[~short] = many.indices.to_numpy() + len(few.dictionary)
+    return few.dictionary.to_numpy().tolist() + many.dictionary.to_numpy(zero_copy_only=False).tolist(), which
+
+
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _bytes(chunk: int | bytes) -> bytes:
+    """A chunk of ``different_chunks`` as it stands in the text, without its space."""
+    return (chunk.to_bytes(8, "little").rstrip(b"\0") if isinstance(chunk, int) else chunk)[:-1]
+
+
 class ChunkEncoder:
     """Encodes texts by looking up their white-space separated chunks.
 
@@ -108,14 +140,15 @@ class ChunkEncoder:
         self.model._resize_cache(0)  # no word comes twice
         # what the byte-level step writes for each byte, spaces apart
         byte_level = pre.ByteLevel(add_prefix_space=False, use_regex=False)
-        spelled = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xA1, 0x250))}
-        self.spelling = {b: c for char, two in spelled.items() for b, c in zip(chr(char).encode(), two)}
+        self.spelling = np.arange(256, dtype="<u4")
+        for char in map(chr, range(0xA1, 0x250)):
+            self.spelling[list(char.encode())] = list(map(ord, byte_level.pre_tokenize_str(char)[0][0]))
         self.n_ids = max(self.tokenizer.get_vocab().values()) + 1
         self._forget()
 
     def _forget(self) -> None:
         # the chunk that ends a document, and what is before the first space
-        self.chunks = {_STOP: 0, b"": 1}
+        self.chunks: dict[int | bytes, int] = {int.from_bytes(_STOP + b" ", "little"): 0, 32: 1}
         self.ids, self.starts, self.sizes = np.array([_END]), np.zeros(2, np.int64), np.array([1, 0])
 
     def encode(self, texts: list[str | bytes | None]) -> np.ndarray:
@@ -127,24 +160,21 @@ class ChunkEncoder:
         kept = [raws[i] for i in special]
         for i in special:
             raws[i] = b""
-        marked = cut_signs(b"\n" + b"\n\xff\n".join([*raws, b""]).lower())
+        marked = cut_signs((b"\n" + b"\n\xff\n".join([*raws, b""])).translate(_FOLDED))
         if special:  # a special token is looked for before anything is lower-cased, and stays whole
             parts = marked.split(_STOP)
             for i, raw in zip(special, kept):
                 parts[i] = b" ".join([b"", *(w if b"<|" in w else w.lower() for w in raw.split()), b""])
             marked = _STOP.join(parts)
-        offsets = pa.py_buffer(np.array([0, len(marked)], np.int64))
-        whole = pa.Array.from_buffers(pa.large_string(), 1, [None, offsets, pa.py_buffer(marked)])
-        words = pc.ascii_split_whitespace(whole).values.dictionary_encode()
-        different = words.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        different, which = different_chunks(marked)
         known = np.fromiter(map(self.chunks.get, different, repeat(-1)), np.int64, len(different))
         new = np.flatnonzero(known < 0)
         if len(new):
             known[new] = np.arange(len(self.chunks), len(self.chunks) + len(new))
             chunks = [different[i] for i in new.tolist()]
             self.chunks.update(zip(chunks, known[new].tolist()))
-            self._learn(chunks)
-        code = known[words.indices.to_numpy()]
+            self._learn(list(map(_bytes, chunks)))
+        code = known[which]
         if np.count_nonzero(code == 0) != len(texts):
             raise ValueError("a text is not UTF-8")
         return gather(self.ids, self.starts[code], self.sizes[code])
@@ -152,13 +182,13 @@ class ChunkEncoder:
     def _learn(self, chunks: list[bytes]) -> None:
         ids: list[int] = []
         ends: list[int] = []
-        model, spelling = self.model.tokenize, self.spelling
-        for chunk in chunks:
-            text = chunk.decode("utf-8", "surrogatepass")
-            if chunk.isalpha():
-                ids += [token.id for token in model(text)]
-            elif _one_word(text):
-                ids += [token.id for token in model(text.lower().encode().decode("latin-1").translate(spelling))]
+        joined = b" ".join(chunks).decode("utf-8", "surrogatepass")
+        raw = np.frombuffer(joined.lower().encode("utf-8", "surrogatepass"), np.uint8)
+        spelled = self.spelling[raw].tobytes().decode("utf-32-le").split(" ")
+        model, get_id = self.model.tokenize, attrgetter("id")
+        for text, word in zip(joined.split(" "), spelled):
+            if text.isalpha() and _near(text):
+                ids.extend(map(get_id, model(word)))
             else:
                 ids += self.tokenizer.encode(text, add_special_tokens=False).ids
             ends.append(len(ids))
@@ -168,9 +198,8 @@ class ChunkEncoder:
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
 
-def _one_word(text: str) -> bool:
-    """A word of letters of more than ASCII that normalising leaves one word."""
-    return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text and is_normalized("NFC", text)
+#: Letters up to U+024F, of which normalising and lower-casing leave one word (but for I with a dot).
+_near = re.compile("[\0-\u012f\u0131-\u024f]*").fullmatch
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -195,29 +224,46 @@ def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) ->
     Pairs are counted exactly, and numbered once: a replacement changes only the pairs beside
     it, which leave their counts, and those that take their place hold a new symbol. A pair of
     old symbols never gets more frequent, so one that is rarer than ``min_pairs`` needs no number.
+    Symbols keep their places until the end and know the places beside them. Once few places
+    hold a frequent pair, these are listed.
     """
     rules: list[np.ndarray] = []
-    n_rules, symbols = 0, symbols.copy()
+    n_rules, n = 0, len(symbols)
+    # the end put after the last symbol is before the first one as well, at place -1
+    symbols = np.append(symbols, _END)
+    after, before, stay = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32), np.ones(n, bool)
     pairs, counts = np.zeros(1, np.uint64), np.zeros(1, np.int64)
     # number of the pair that starts there, 0 for a rare one or none
-    pair_of = np.zeros(len(symbols), np.int32)
-    at = np.flatnonzero((symbols[:-1] != _END) & (symbols[1:] != _END))
+    pair_of = np.zeros(n + 1, np.int32)
+    live: np.ndarray | None = None
+    at, left, right = np.arange(n), symbols[:-1], symbols[1:]
     while True:
-        order, new, found = _sorted_pairs(symbols[at], symbols[at + 1], first_rule + n_rules)
-        enough = found >= min_pairs
-        order = order[np.repeat(enough, found)]
+        # an end is sorted as the symbol after the last one
+        end = first_rule + n_rules
+        places, new, found = _sorted_pairs(np.minimum(left, np.uint32(end)), np.minimum(right, np.uint32(end)), end + 1, at)
+        enough = (found >= min_pairs) & (new >> np.uint64(32) < end) & (new & np.uint64(0xFFFFFFFF) < end)
+        places = places[np.repeat(enough, found)]
         new, found = new[enough], found[enough]
-        pair_of[at[order]] = np.repeat(np.arange(len(pairs), len(pairs) + len(new)), found)
+        pair_of[places] = np.repeat(np.arange(len(pairs), len(pairs) + len(new)), found)
         pairs, counts = np.concatenate([pairs, new]), np.concatenate([counts, found])
 
         top = int(counts.max())
         if top < min_pairs:
             break
-        at = np.flatnonzero(np.take(counts >= max(min_pairs, top // STEP), pair_of))
+        frequent = counts >= max(min_pairs, top // STEP)
+        if live is not None:
+            live = np.sort(np.concatenate([live, places]))
+        elif counts[counts >= min_pairs].sum() < n // 8:
+            live = np.flatnonzero((counts >= min_pairs)[pair_of])
+        if live is None:  # no number is out of range, and "clip" spares a copy
+            at = np.flatnonzero(np.take(frequent, pair_of, mode="clip"))
+        else:
+            at = live[frequent[pair_of[live]]]
         # of overlapping pairs every second one, from the left
-        run_start = np.r_[True, np.diff(at) > 1]
-        first = np.maximum.accumulate(np.where(run_start, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - first) % 2 == 0]
+        index = np.arange(len(at))
+        run_start = np.append(True, after[at[:-1]] != at[1:])
+        first = np.maximum.accumulate(np.where(run_start, index, 0))
+        at = at[(index - first) & 1 == 0]
         number = pair_of[at]
         used = np.zeros(len(pairs), bool)
         used[number] = True
@@ -225,40 +271,54 @@ def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) ->
         symbols[at] = first_rule + n_rules - 1 + np.cumsum(used)[number]
         n_rules += len(rules[-1])
         # the pairs that are replaced, those after them, and those before that are neither
-        before = at[np.diff(at, prepend=-2) > 2] - 1
-        gone = np.concatenate([at, at + 1, before[before >= 0]])
-        counts -= np.bincount(pair_of[gone], minlength=len(pairs))
-        counts[0] = 0
-        pair_of[gone] = 0
-        stay = np.ones(len(symbols), bool)
-        stay[at + 1] = False
-        symbols, pair_of = symbols[stay], pair_of[stay]
-        at -= np.arange(len(at))
-        # the pairs that start at the new symbols and before them, each once and in order
-        beside = np.stack([at - 1, at], 1).ravel()
-        at = beside[np.diff(beside, prepend=-1) > 0]
-        at = at[at < len(symbols) - 1]
-        at = at[(symbols[at] != _END) & (symbols[at + 1] != _END)]
-    return symbols, np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
-
-
-def _sorted_pairs(left: np.ndarray, right: np.ndarray, above: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order that sorts the pairs, each different pair and how often it is there. Symbols are less than ``above``."""
-    width, places = above.bit_length(), len(left).bit_length()
-    if 2 * width + places <= 64:  # sorting numbers is several times faster than sorting indices
-        key = (left.astype(np.uint64) << np.uint64(width)) | right
-        key = (key << np.uint64(places)) | np.arange(len(key), dtype=np.uint64)
+        second, one_before = after[at], before[at]
+        one_before = one_before[np.append(True, second[:-1] != one_before[1:])]
+        for gone in (second, one_before):
+            counts -= np.bincount(pair_of[gone], minlength=len(pairs))
+            pair_of[gone] = 0
+        pair_of[at] = 0
+        counts[frequent] = counts[0] = 0
+        stay[second] = False
+        third = after[second]
+        after[at], before[third] = third, at
+        # the pairs that start at the new symbols and before them, each once
+        at = np.concatenate([at, one_before[one_before >= 0]])
+        left, right = symbols[at], symbols[after[at]]
+        # a pair is no more frequent than all that share its slot; most are rare and need no sorting
+        slot = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(14)
+        enough = np.bincount(slot, minlength=1 << 18)[slot] >= min_pairs
+        at, left, right = at[enough], left[enough], right[enough]
+        if live is not None:
+            live = live[pair_of[live] > 0]
+    return symbols[:-1][stay], np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
+
+
+def _sorted_pairs(
+    left: np.ndarray, right: np.ndarray, above: int, places: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places (by default the order) as they sort the pairs, each different pair and how often it is there.
+
+    Symbols are less than ``above``.
+    """
+    places = np.arange(len(left)) if places is None else places
+    width, bits = above.bit_length(), int(places.max(initial=0)).bit_length()
+    if 2 * width + bits <= 64:  # sorting numbers is several times faster than sorting indices
+        key = left.astype(np.uint64)
+        key <<= np.uint64(width)
+        key |= right
+        key <<= np.uint64(bits)
+        key |= places.view(np.uint64)
         key.sort()
-        order = (key & np.uint64((1 << places) - 1)).astype(np.int64)
-        key >>= np.uint64(places)
+        places = (key & np.uint64((1 << bits) - 1)).view(np.int64)
+        key >>= np.uint64(bits)
     else:
         key = (left.astype(np.uint64) << np.uint64(32)) | right
         order = np.argsort(key)
-        key, width = key[order], 32
+        key, places, width = key[order], places[order], 32
     starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
     pairs = key[starts]
     pairs = ((pairs >> np.uint64(width)) << np.uint64(32)) | (pairs & np.uint64((1 << width) - 1))
-    return order, pairs, np.diff(np.append(starts, len(key)))
+    return places, pairs, np.diff(np.append(starts, len(key)))
 
 
 def expand_rules(rules: np.ndarray, first_rule: int, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

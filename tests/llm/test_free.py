@@ -216,6 +216,28 @@ def test_pairs_are_counted_on_as_if_counted_anew():
         assert [spell(s, rules) for s in got.tolist()] == [spell(s, expected) for s in want]
 
 
+def test_rare_pairs_are_neither_sorted_nor_looked_for(monkeypatch):
+    """Next to a new symbol most pairs are rare; only those that may be frequent are sorted."""
+    asked, sort = [], token_grammar._sorted_pairs
+    monkeypatch.setattr(token_grammar, "_sorted_pairs", lambda left, *more: asked.append(len(left)) or sort(left, *more))
+    others = np.random.default_rng(12).permutation(5000).astype(np.uint32) + 10
+    symbols = np.stack([np.full(5000, 1, np.uint32), np.full(5000, 2, np.uint32), others], 1).ravel()
+    got, rules = token_grammar.re_pair(symbols, 6000)
+    assert rules.tolist() == [[1, 2]] and got.tolist() == [x for o in others.tolist() for x in (6000, o)]
+    assert len(asked) == 2 and asked[1] == 0
+
+
+def test_different_chunks_make_up_the_text():
+    rng = random.Random(13)
+    pieces = [b"a", b"\0", b"ab", b"abcdefg", b"abcdefgh", b"abcdefg\0", b"\xff", b"\xc3\xa9", b" ", b" ", b" "]
+    for _ in range(500):
+        text = b"".join(rng.choices(pieces, k=rng.randrange(60))) + b" "
+        different, which = token_grammar.different_chunks(text)
+        chunks = [token_grammar._bytes(c) for c in different]
+        assert len(set(different)) == len(set(chunks)) == len(chunks)
+        assert [chunks[i] for i in which.tolist()] == text[:-1].split(b" ")
+
+
 # --- Jaccard join
 
 
