@@ -156,11 +156,14 @@ class ChunkEncoder:
         if len(self.chunks) > _CACHE_CHUNKS:
             self._forget()
         raws = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else t or b"" for t in texts]
-        special = [i for i, raw in enumerate(raws) if b"<|" in raw]
-        kept = [raws[i] for i in special]
-        for i in special:
-            raws[i] = b""
-        marked = cut_signs((b"\n" + b"\n\xff\n".join([*raws, b""])).translate(_FOLDED))
+        whole = b"\n" + b"\n\xff\n".join([*raws, b""])
+        special = [i for i, raw in enumerate(raws) if b"<|" in raw] if b"<|" in whole else []
+        if special:
+            kept = [raws[i] for i in special]
+            for i in special:
+                raws[i] = b""
+            whole = b"\n" + b"\n\xff\n".join([*raws, b""])
+        marked = cut_signs(whole.translate(_FOLDED))
         if special:  # a special token is looked for before anything is lower-cased, and stays whole
             parts = marked.split(_STOP)
             for i, raw in zip(special, kept):
@@ -268,11 +271,14 @@ def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) ->
         used = np.zeros(len(pairs), bool)
         used[number] = True
         rules.append(np.stack([pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        symbols[at] = first_rule + n_rules - 1 + np.cumsum(used)[number]
+        made = (first_rule + n_rules - 1 + np.cumsum(used)).astype(np.uint32)[number]
+        symbols[at] = made
         n_rules += len(rules[-1])
         # the pairs that are replaced, those after them, and those before that are neither
         second, one_before = after[at], before[at]
-        one_before = one_before[np.append(True, second[:-1] != one_before[1:])]
+        apart = np.append(True, second[:-1] != one_before[1:])
+        apart[0] = one_before[0] >= 0
+        one_before = one_before[apart]
         for gone in (second, one_before):
             counts -= np.bincount(pair_of[gone], minlength=len(pairs))
             pair_of[gone] = 0
@@ -282,11 +288,11 @@ def re_pair(symbols: np.ndarray, first_rule: int, min_pairs: int = MIN_PAIRS) ->
         third = after[second]
         after[at], before[third] = third, at
         # the pairs that start at the new symbols and before them, each once
-        at = np.concatenate([at, one_before[one_before >= 0]])
-        left, right = symbols[at], symbols[after[at]]
+        at = np.concatenate([at, one_before])
+        left, right = np.concatenate([made, symbols[one_before]]), np.concatenate([symbols[third], made[apart]])
         # a pair is no more frequent than all that share its slot; most are rare and need no sorting
-        slot = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(14)
-        enough = np.bincount(slot, minlength=1 << 18)[slot] >= min_pairs
+        slot = ((left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA6B)) >> np.uint32(14)).astype(np.intp)
+        enough = np.take(np.bincount(slot, minlength=1 << 18) >= min_pairs, slot, mode="clip")
         at, left, right = at[enough], left[enough], right[enough]
         if live is not None:
             live = live[pair_of[live] > 0]
